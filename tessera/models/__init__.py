@@ -1,0 +1,21 @@
+"""Spark ML wrappers: vectors, grids, hold-out search, run log."""
+
+from tessera.models.search import (
+    DEFAULT_GRIDS,
+    RUN_LOG_SCHEMA,
+    Run,
+    append_run_log,
+    assemble,
+    best_run,
+    correlation_matrix,
+    grid,
+    holdout_search,
+    make_estimator,
+    run_log,
+    run_name,
+)
+
+__all__ = [
+    "DEFAULT_GRIDS", "RUN_LOG_SCHEMA", "Run", "append_run_log", "assemble", "best_run",
+    "correlation_matrix", "grid", "holdout_search", "make_estimator", "run_log", "run_name",
+]

@@ -40,6 +40,14 @@ QUERIES = {
     "feature_selection": c.feature_selection,
     "key_split": c.key_split_q,
     "rmse": c.rmse_q,
+    "linear_regression": c.linear_regression,
+    "vector_features": c.vector_features,
+    "random_split": c.random_split_q,
+    "random_forest": c.random_forest,
+    "gbt": c.gbt,
+    "model_search": c.model_search,
+    "run_log": c.run_log_q,
+    "incremental_ingest": c.incremental_ingest,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
