@@ -13,14 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__tessera_rn"
+_N = "__tessera_n"
 
 
 def _order_cols(df: DataFrame, keys: list[str], order) -> list[Column]:
     cols: list[Column] = []
+    named = set()
     for o in order or []:
-        cols.append(F.col(o).asc_nulls_last() if isinstance(o, str) else o)
+        if isinstance(o, str):
+            desc = o.startswith("-")
+            name = o[1:] if desc else o
+            named.add(name)
+            cols.append(F.col(name).desc_nulls_last() if desc else F.col(name).asc_nulls_last())
+        else:
+            cols.append(o)
     # every remaining column breaks ties, so full ties are identical rows
-    named = {o for o in (order or []) if isinstance(o, str)}
     for name, dtype in df.dtypes:
         if name in keys or name in named:
             continue
@@ -33,8 +40,8 @@ def _order_cols(df: DataFrame, keys: list[str], order) -> list[Column]:
 def keep_one(df: DataFrame, keys, order=None) -> DataFrame:
     """One row per key: the first by ``order`` (then by every other column).
 
-    ``order`` holds column names (ascending) or Column sort expressions such
-    as ``F.col('ts').desc()``.  Null keys form one group, as in
+    ``order`` holds column names (ascending, nulls last; ``"-name"`` for
+    descending, nulls last) or Column sort expressions.  Null keys form one group, as in
     ``dropDuplicates``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -56,5 +63,5 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     for k in keys:
         c = F.col(k).isNull()
         null_key = c if null_key is None else (null_key | c)
-    counted = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter((F.col("n") > 1) | null_key)
+    counted = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+    return counted.filter((F.col(_N) > 1) | null_key)

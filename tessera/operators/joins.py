@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.dedup import duplicate_keys
-from tessera.session import checkpoint_dir
+from tessera.session import scratch_path
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
@@ -27,17 +27,20 @@ class DimensionNotUnique(ValueError):
     pass
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage
-    (survives executor loss; never a machine-local copy)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "materialised") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and read it back: lineage is cut (survives executor loss; never a
+    machine-local copy), and Catalyst sees its real on-disk size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
     """Return ``(side, broadcast?)``: the materialised side, hinted for
-    broadcast only if its measured row count is within ``max_rows``."""
-    small = materialise(df)
+    broadcast only if its measured row count is within ``max_rows``
+    (counted from the Parquet footers, not by re-reading the rows)."""
+    small = materialise(df, "dimension")
     n = small.count()
     if n <= max_rows:
         return F.broadcast(small), True

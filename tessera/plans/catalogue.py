@@ -317,8 +317,7 @@ def keyed_dedup(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate",
                                           "l_partkey", "l_suppkey", "l_extendedprice")
     one = keep_one(li, ["l_orderkey", "l_linenumber"],
-                   order=[F.col("l_shipdate").desc_nulls_last(), "l_partkey", "l_suppkey",
-                          "l_extendedprice"])
+                   order=["-l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
     return one.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
@@ -387,18 +386,12 @@ def _model_input(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linear_regression(spark: SparkSession, sf: str) -> DataFrame:
-    """Ordinary least squares (regParam 0, normal equations) of net price on
-    price; the fitted line as one row."""
-    from pyspark.ml.regression import LinearRegression
+    """Least-squares line of net price on price (regParam 0, closed form)."""
+    from tessera.models.linear import fit_line
 
-    from tessera.models import assemble
-
-    data = assemble(_model_input(spark, sf), ["l_extendedprice"]).select("features", "net_price")
-    model = LinearRegression(featuresCol="features", labelCol="net_price", regParam=0.0,
-                             solver="normal").fit(data)
-    row = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
-                                "slope double, intercept double")
-    return row.select(F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
+    line = fit_line(_model_input(spark, sf), "net_price", "l_extendedprice",
+                    digits={"slope": 4, "intercept": 2})
+    return line.select("slope", "intercept")
 
 
 def vector_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -416,11 +409,11 @@ def random_split_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> DataFrame:
     from tessera.models import make_estimator
-    from tessera.plans.training import prepare, scored, split
+    from tessera.plans.training import balance, prepare, scored, split
 
     vec, _, _ = prepare(_model_input(spark, sf), MODEL_FEATURES, "net_price",
                         keep=["l_orderkey"])
-    train, val = split(vec, "key", "l_orderkey")
+    train, val = split(balance(vec), "key", "l_orderkey")
     model = make_estimator(family, "net_price", "selected_features").setParams(**params).fit(train)
     return scored(model, val, keep=["l_orderkey", "net_price"])
 
@@ -475,7 +468,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "ingest")
     source, target, ckpt = (os.path.join(root, p) for p in ("landing", "target", "checkpoint"))
     day = F.dayofmonth("ts")
-    order = [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()]
+    order = ["-ts", "-event_id"]
     out = None
     for lo, hi in ((1, 10), (11, 20), (21, 31)):
         events.filter(day.between(lo, hi)).write.mode("append").json(source)

@@ -32,6 +32,14 @@ class NoFeatureSelected(ValueError):
     pass
 
 
+def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least ``defaultParallelism`` partitions before it
+    is cached for iterative fits (each fit pass runs one task per partition).
+    Frames that already have enough partitions are left alone."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 @dataclass
 class TrainResult:
     selected: list
@@ -73,7 +81,7 @@ def train_and_validate(df: DataFrame, feature_columns, label: str = "price", gri
     grids = DEFAULT_GRIDS if grids is None else grids
     keep = [key] if (split_how == "key" and key) else []
     vec, selected, ranking = prepare(df, feature_columns, label, threshold, keep=keep)
-    train, val = split(vec, split_how, key, seed)
+    train, val = split(balance(vec), split_how, key, seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     runs = []
