@@ -25,7 +25,8 @@ def read_keyed_objects(spark: SparkSession, path, value_schema: StructType,
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    text = r.text(path)
+    # format("text").load: DataFrameReader.text() would reset wholetext to False
+    text = r.format("text").load(path)
     cols = [F.from_json("value", MapType(StringType(), value_schema)).alias("m")]
     if year_col:
         cols.append(year_from_name(F.col("_metadata.file_name")).alias(year_col))
