@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType, TimestampNTZType
@@ -397,8 +398,12 @@ def linear_regression(spark: SparkSession, sf: str) -> DataFrame:
 def vector_features(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.models import assemble
 
+    from pyspark.ml.functions import vector_to_array
+
     data = mean_impute(_model_input(spark, sf), MODEL_FEATURES)
-    return assemble(data, MODEL_FEATURES).select("l_orderkey", "features")
+    vec = assemble(data, MODEL_FEATURES)
+    # the vector's values as array<double>: same content, Arrow/pandas friendly
+    return vec.select("l_orderkey", vector_to_array("features").alias("features"))
 
 
 def random_split_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -414,7 +419,11 @@ def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> D
     vec, _, _ = prepare(_model_input(spark, sf), MODEL_FEATURES, "net_price",
                         keep=["l_orderkey"])
     train, val = split(balance(vec), "key", "l_orderkey")
-    model = make_estimator(family, "net_price", "selected_features").setParams(**params).fit(train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # every tree pass re-reads it
+    try:
+        model = make_estimator(family, "net_price", "selected_features").setParams(**params).fit(train)
+    finally:
+        train.unpersist()
     return scored(model, val, keep=["l_orderkey", "net_price"])
 
 
@@ -434,11 +443,16 @@ SEARCH_GRIDS = {
 }
 
 
+# independent grid fits submitted concurrently (each one a distributed job)
+SEARCH_PARALLELISM = 4
+
+
 def model_search(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.plans.training import train_and_validate
 
     res = train_and_validate(_model_input(spark, sf), MODEL_FEATURES, "net_price",
-                             grids=SEARCH_GRIDS, split_how="key", key="l_orderkey")
+                             grids=SEARCH_GRIDS, split_how="key", key="l_orderkey",
+                             parallelism=SEARCH_PARALLELISM)
     return res.log
 
 
@@ -448,7 +462,7 @@ def run_log_q(spark: SparkSession, sf: str) -> DataFrame:
 
     res = train_and_validate(_model_input(spark, sf), MODEL_FEATURES, "net_price",
                              grids={"LR": SEARCH_GRIDS["LR"]}, split_how="key", key="l_orderkey",
-                             save_dir=scratch_path(spark, "models"))
+                             parallelism=SEARCH_PARALLELISM, save_dir=scratch_path(spark, "models"))
     return append_run_log(res.log, scratch_path(spark, "run_log"))
 
 
