@@ -36,11 +36,16 @@ def materialise(df: DataFrame, name: str = "materialised") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-    """Return ``(side, broadcast?)``: the materialised side, hinted for
-    broadcast only if its measured row count is within ``max_rows``
-    (counted from the Parquet footers, not by re-reading the rows)."""
-    small = materialise(df, "dimension")
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      materialise_first: bool = True):
+    """Return ``(side, broadcast?)``: the side, hinted for broadcast only if its
+    measured row count is within ``max_rows``.
+
+    ``materialise_first`` (for derived sides such as aggregates) writes it
+    once and counts from the Parquet footers, so the join reads the written
+    copy instead of recomputing it.  A side that is already a stored table
+    is counted where it is (``materialise_first=False``), with no copy."""
+    small = materialise(df, "dimension") if materialise_first else df
     n = small.count()
     if n <= max_rows:
         return F.broadcast(small), True
@@ -49,13 +54,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 def enrich(fact: DataFrame, dim: DataFrame, keys, how: str = "left",
            strategy: str = "auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           check_unique: bool = False) -> DataFrame:
+           check_unique: bool = False, materialise_dim: bool = True) -> DataFrame:
     """``fact ⟕ dim USING (keys)``: keys first in the output, null keys never
-    match.  With ``check_unique`` a non-unique dimension key raises
+    match.  ``materialise_dim=False`` for a dimension that is a stored table
+    (see ``bounded_broadcast``).  With ``check_unique`` a non-unique dimension key raises
     ``DimensionNotUnique`` (the fan-out hazard); without it fan-out is kept."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if strategy == "auto":
-        side, _ = bounded_broadcast(dim, max_broadcast_rows)
+        side, _ = bounded_broadcast(dim, max_broadcast_rows, materialise_dim)
     elif strategy == "broadcast":
         side = F.broadcast(dim)
     elif strategy == "shuffle":

@@ -285,7 +285,7 @@ def left_join(spark: SparkSession, sf: str) -> DataFrame:
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nation = _t(spark, sf, "nation").filter(F.col("n_regionkey") < 3) \
         .select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return enrich(cust, nation, ["c_nationkey"]).select("c_custkey", "n_name")
+    return enrich(cust, nation, ["c_nationkey"], materialise_dim=False).select("c_custkey", "n_name")
 
 
 def left_join_two_keys_null(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,7 +299,7 @@ def left_join_two_keys_null(spark: SparkSession, sf: str) -> DataFrame:
 def left_join_fanout(spark: SparkSession, sf: str) -> DataFrame:
     nation = _t(spark, sf, "nation").select("n_nationkey")
     sup = _t(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_suppkey")
-    return enrich(nation, sup, ["n_nationkey"], check_unique=False)
+    return enrich(nation, sup, ["n_nationkey"], materialise_dim=False)
 
 
 # ---------------------------------------------------------------- set operations

@@ -6,31 +6,54 @@ scheduled job that remembers, via its checkpoint, what it has seen).  Each
 micro-batch is merged into a keyed target table: the target's latest
 version plus the batch, one row per key, latest by the given order wins.
 
-The state lives in the target table itself, written as a new ``version=N``
-partition per batch (N = batch id, dynamic partition overwrite).  A
-replayed batch rewrites the same partition from the same previous version,
-so the merge is idempotent after a failure; readers take the highest
-version.
+The state lives in the target table itself, kept in two alternating slots:
+batch N overwrites ``slot_{N mod 2}`` with version N, computed from the
+newest version below N (which sits in the other slot).  So
+* a replayed batch recomputes the same version from the same input
+  (idempotent after a failure),
+* readers take the highest version; the slot being rewritten never holds it,
+* storage stays at two copies of the table, with no file-system calls.
+Every row carries its ``version``; Parquet min/max statistics let a read
+of the latest version skip the other slot's row groups.
 """
 
 from __future__ import annotations
 
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from tessera.operators.dedup import keep_one
 
 VERSION = "version"
+SLOTS = ("slot_0", "slot_1")
+
+
+def _slot_path(target: str, batch_id: int) -> str:
+    return os.path.join(target, SLOTS[batch_id % 2])
+
+
+def _with_version(schema: StructType) -> StructType:
+    fields = [f for f in schema.fields if f.name != VERSION]
+    return StructType(fields).add(VERSION, LongType())
 
 
-def latest(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
+def latest(spark: SparkSession, target: str, schema: StructType,
+           before: int | None = None) -> DataFrame | None:
     """The newest version of the target (or the newest below ``before``)."""
-    try:
-        table = spark.read.parquet(target)
-    except Exception:  # no version written yet
+    frames = []
+    for slot in SLOTS:
+        try:
+            frames.append(spark.read.schema(_with_version(schema)).parquet(os.path.join(target, slot)))
+        except AnalysisException:  # slot not written yet
+            continue
+    if not frames:
         return None
-    versions = table.select(VERSION).distinct()
+    table = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    versions = table.select(VERSION)
     if before is not None:
         versions = versions.filter(F.col(VERSION) < before)
     top = versions.agg(F.max(VERSION).alias("v")).first()["v"]
@@ -44,12 +67,11 @@ def keyed_merge(target: str, keys, order):
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = latest(spark, target, before=batch_id)
+        current = latest(spark, target, batch.schema, before=batch_id)
         rows = batch if current is None else current.unionByName(batch)
         merged = keep_one(rows, keys, order)
-        (merged.withColumn(VERSION, F.lit(batch_id))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(VERSION).parquet(target))
+        (merged.withColumn(VERSION, F.lit(batch_id).cast("long"))
+               .write.mode("overwrite").parquet(_slot_path(target, batch_id)))
 
     return merge
 
@@ -68,4 +90,4 @@ def ingest_available(spark: SparkSession, source: str, target: str, checkpoint:
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return latest(spark, target)
+    return latest(spark, target, schema)

@@ -19,3 +19,20 @@ def test_incremental_ingest_last_snapshot_wins(spark, tmp):
     # nothing new: the table stays as it is
     out = ingest_available(spark, src, tgt, ck, SCHEMA, ["k"], ["-d"])
     assert out.count() == 3
+
+
+def test_merge_replay_is_idempotent_and_storage_bounded(spark, tmp):
+    from tessera.streaming import keyed_merge, latest
+
+    tgt = os.path.join(tmp, "tgt")
+    merge = keyed_merge(tgt, ["k"], ["-d"])
+    b0 = spark.createDataFrame([("a", 1, "a1")], SCHEMA)
+    b1 = spark.createDataFrame([("a", 2, "a2"), ("b", 1, "b1")], SCHEMA)
+    b2 = spark.createDataFrame([("b", 5, "b5")], SCHEMA)
+    merge(b0, 0)
+    merge(b1, 1)
+    merge(b1, 1)  # replay of the same batch
+    merge(b2, 2)
+    out = {r.k: r.v for r in latest(spark, tgt, SCHEMA).collect()}
+    assert out == {"a": "a2", "b": "b5"}
+    assert sorted(os.listdir(tgt)) == ["slot_0", "slot_1"]
