@@ -26,6 +26,31 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 128 << 20, shuffle_fraction: float = 0.25) -> dict:
+    """Spill-aware sizing for a run over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes``
+    (default 128 MiB, well inside one core's share of executor memory).
+    The initial shuffle partition count covers the expected shuffled bytes
+    (``shuffle_fraction`` of the input, after pruning and partial
+    aggregation) at that size, clamped to 3-10 waves of all cores so map
+    output metadata stays bounded.  AQE then coalesces small partitions and
+    splits skewed ones (5x the median and over 4x the target size)."""
+    cores = max(1, executors * cores_per_executor)
+    wanted = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
+    parts = min(max(3 * cores, wanted), 10 * cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.default.parallelism": str(3 * cores),
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "tessera",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:

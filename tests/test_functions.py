@@ -73,3 +73,11 @@ def test_indicator_null_is_zero_and_bool_to_double(spark):
 def test_year_from_name(spark):
     df = spark.createDataFrame([("BCN_usat_acumulat_2021.json",), ("no_year.json",), ("x12345",)], "n string")
     assert [r[0] for r in df.select(year_from_name("n")).collect()] == [2021, None, 1234]
+
+
+def test_cluster_conf_bounds():
+    from tessera.session import cluster_conf
+    big = cluster_conf(100 * 10**12, 1000, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 80000  # clamped at 10 waves
+    small = cluster_conf(37 * 10**6, 1, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least 3 waves
