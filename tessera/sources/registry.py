@@ -47,6 +47,15 @@ class SourceRegistry:
         """``{name: {"fmt": ..., "path": ..., "options": {...}}}``"""
         return cls(SourceSpec(name=k, **v) for k, v in config.items())
 
+    @classmethod
+    def from_file(cls, path: str) -> "SourceRegistry":
+        """Load the same mapping from a small JSON config file (driver-side
+        configuration, not data)."""
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            return cls.from_dict(json.load(f))
+
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     r = spark.read.format(spec.fmt)

@@ -116,3 +116,13 @@ def test_collection_rejects_duplicate_and_null_keys(spark, tmp):
     null = spark.createDataFrame([(None, 1)], "_id string, v int")
     with pytest.raises(DuplicateKey):
         write_collection(null, os.path.join(tmp, "null"))
+
+
+def test_registry_from_file(spark, tmp):
+    cfg = os.path.join(tmp, "sources.json")
+    data = os.path.join(tmp, "d")
+    spark.range(3).write.parquet(data)
+    with open(cfg, "w") as f:
+        json.dump({"ids": {"fmt": "parquet", "path": data}}, f)
+    reg = SourceRegistry.from_file(cfg)
+    assert reg.names() == ["ids"] and reg.read(spark, "ids").count() == 3
