@@ -19,7 +19,14 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructType, TimestampNTZType
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+)
 
 from tessera.functions import (
     canonicalise,
@@ -140,19 +147,23 @@ def schema_unify(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
-NATION_VALUE = StructType().add("n_nationkey", IntegerType()).add("n_regionkey", IntegerType())
+CUSTOMER_VALUE = (StructType().add("c_custkey", LongType()).add("c_nationkey", IntegerType())
+                  .add("c_acctbal", DoubleType()))
 
 
 def keyed_object_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Nations stored as one JSON object per region keyed by nation name,
-    read back with ``from_json`` + ``explode``."""
-    nation = _t(spark, sf, "nation")
+    """Customers stored as JSON objects keyed by customer name — one object
+    (file) per block of 100k consecutive keys: each whole-file value stays a
+    few MB, and the file count grows only with the table — read back with
+    ``from_json`` + ``explode``."""
+    cust = _t(spark, sf, "customer")
     root = scratch_path(spark, "keyed")
-    write_keyed_objects(nation.withColumn("file_region", F.col("n_regionkey")), root,
-                        key_col="n_name", value_cols=["n_nationkey", "n_regionkey"],
-                        file_cols=["file_region"])
-    df = read_keyed_objects(spark, root, NATION_VALUE, key_col="n_name", glob=None, recursive=True)
-    return df.select("n_name", "n_nationkey", "n_regionkey")
+    files = cust.select("*", F.floor(F.col("c_custkey") / 100_000).alias("file_block"))
+    write_keyed_objects(files, root, key_col="c_name",
+                        value_cols=["c_custkey", "c_nationkey", "c_acctbal"],
+                        file_cols=["file_block"])
+    df = read_keyed_objects(spark, root, CUSTOMER_VALUE, key_col="c_name", glob=None, recursive=True)
+    return df.select("c_name", "c_custkey", "c_nationkey", "c_acctbal")
 
 
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,8 +200,8 @@ def paged_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def source_registry(spark: SparkSession, sf: str) -> DataFrame:
     registry = SourceRegistry([
-        SourceSpec("nation", "parquet", os.path.join(sf, "nation.parquet")),
-        SourceSpec("region", "parquet", os.path.join(sf, "region.parquet")),
+        SourceSpec("orders", "parquet", os.path.join(sf, "orders.parquet")),
+        SourceSpec("lineitem", "parquet", os.path.join(sf, "lineitem.parquet")),
     ])
     return source_counts(spark, registry)
 
@@ -218,7 +229,8 @@ def rename_drop(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def constant_column(spark: SparkSession, sf: str) -> DataFrame:
-    return with_constant(_t(spark, sf, "region"), "year", 2020, "int")
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return with_constant(orders, "year", 2020, "int")
 
 
 def filter_equal_q(spark: SparkSession, sf: str) -> DataFrame:

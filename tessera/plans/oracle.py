@@ -25,20 +25,20 @@ SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(year(o_orderdate) AS INT) A
 SELECT o_orderkey, o_orderstatus,
        CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority
 FROM orders""",
-    "keyed_object_scan": "SELECT n_name, n_nationkey, n_regionkey FROM nation",
+    "keyed_object_scan": "SELECT c_name, c_custkey, c_nationkey, c_acctbal FROM customer",
     "csv_scan": "SELECT p_partkey, p_brand, p_size FROM part",
     "parquet_scan": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     "partitioned_scan": """
 SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS year, o_orderstatus FROM orders""",
     "paged_records": "SELECT conv_id, turn, role, text FROM conversations",
     "source_registry": """
-SELECT 'nation' AS source, count(*) AS n_rows FROM nation
-UNION ALL SELECT 'region', count(*) FROM region""",
+SELECT 'orders' AS source, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     "document_collection": """
 SELECT CAST(c_custkey AS VARCHAR) AS _id, c_name, c_mktsegment FROM customer""",
     "table_profile": "SELECT count(*) AS n_rows, CAST(6 AS INT) AS n_cols FROM orders",
     "rename_drop": "SELECT p_partkey AS id, p_brand AS brand, p_partkey AS _id FROM part",
-    "constant_column": "SELECT r_regionkey, r_name, CAST(2020 AS INT) AS year FROM region",
+    "constant_column": "SELECT o_orderkey, o_orderstatus, CAST(2020 AS INT) AS year FROM orders",
     "filter_equal": """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
     "filter_not_equal_null": """
