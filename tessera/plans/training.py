@@ -81,9 +81,15 @@ def train_and_validate(df: DataFrame, feature_columns, label: str = "price", gri
     grids = DEFAULT_GRIDS if grids is None else grids
     keep = [key] if (split_how == "key" and key) else []
     vec, selected, ranking = prepare(df, feature_columns, label, threshold, keep=keep)
-    train, val = split(balance(vec), split_how, key, seed)
+    # one pass over the input feeds both splits; each split is then cached
+    # as-is (a random split re-sorts its input on every use otherwise)
+    data = balance(vec).persist(StorageLevel.MEMORY_AND_DISK)
+    train, val = split(data, split_how, key, seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
+    train.count()
+    val.count()
+    data.unpersist()
     runs = []
     try:
         for family, spec in grids.items():
