@@ -37,6 +37,7 @@ from tessera.functions import (
     year_from_name,
 )
 from tessera.operators import (
+    balance,
     copy_as_id,
     correlation_ranking,
     distinct_values,
@@ -426,7 +427,7 @@ def random_split_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> DataFrame:
     from tessera.models import make_estimator
-    from tessera.plans.training import balance, prepare, scored, split
+    from tessera.plans.training import prepare, scored, split
 
     vec, _, _ = prepare(_model_input(spark, sf), MODEL_FEATURES, "net_price",
                         keep=["l_orderkey"])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.models import DEFAULT_GRIDS, assemble, holdout_search, run_log
 from tessera.operators import (
+    balance,
     correlation_ranking,
     key_split,
     mean_impute,
@@ -32,14 +33,6 @@ class NoFeatureSelected(ValueError):
     pass
 
 
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least ``defaultParallelism`` partitions before it
-    is cached for iterative fits (each fit pass runs one task per partition).
-    Frames that already have enough partitions are left alone."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 @dataclass
 class TrainResult:
     selected: list
