@@ -72,15 +72,25 @@ def get_session(master: str | None = None, app_name: str = "tessera",
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    pass
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session; set a local one only
-    when the session has none (tests, single machine)."""
+    """The shared checkpoint folder of this session.
+
+    Taken from the session (``setCheckpointDir`` or ``spark.checkpoint.dir``).
+    Only a local-mode session without one (tests, a single machine) gets a
+    fresh local folder; on a cluster a machine-local folder would be
+    invisible to the executors, so that is an error instead."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder shared by all executors")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
