@@ -23,13 +23,17 @@ def _pearson(x: Column, y: Column) -> Column:
 
 
 def correlation_ranking(df: DataFrame, features, target, digits: int | None = None,
-                        feature_col: str = "feature", value_col: str = "r") -> DataFrame:
+                        feature_col: str = "feature", value_col: str = "r",
+                        include_target: bool = False) -> DataFrame:
     """Long DataFrame ``(feature, r)`` of Pearson r against ``target``,
     ordered by ``|r|`` descending (nulls last).
 
     ``features`` is a list of names or a dict ``{name: Column}``; ``target``
-    a name or Column."""
+    a name or Column.  ``include_target`` adds the target's own row (r = 1
+    unless it is constant), as the last column of a correlation matrix has."""
     feats = features if isinstance(features, dict) else {f: F.col(f) for f in features}
+    if include_target and isinstance(target, str) and target not in feats:
+        feats = {**feats, target: F.col(target)}
     y = _as_col(target).cast("double")
     exprs = []
     for i, (name, x) in enumerate(feats.items()):

@@ -47,7 +47,7 @@ def prepare(df: DataFrame, feature_columns, label: str, threshold: float = 0.1,
     the label, keep ``|r| > threshold`` and assemble the chosen columns."""
     cols = list(feature_columns)
     data = mean_impute(df, cols + [label])
-    ranking = correlation_ranking(data, cols, label)
+    ranking = correlation_ranking(data, cols, label, include_target=True)
     chosen = select_features(ranking, threshold, exclude=[label]).collect()
     selected = [r["feature"] for r in chosen]  # at most len(feature_columns) names
     if not selected:

@@ -8,6 +8,7 @@ snapshot wins" needs no per-file loop).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -18,6 +19,10 @@ from tessera.sources.files import CORRUPT_COLUMN, file_path, read_json
 DATE_PATTERN = r".*(\d{4})_(\d{2})_(\d{2})"
 
 
+class NoSnapshots(FileNotFoundError):
+    """No snapshot file matched: nothing to ingest (no output is written)."""
+
+
 def _merge_field(a: StructField, b: StructField) -> StructField:
     if isinstance(a.dataType, StructType) and isinstance(b.dataType, StructType):
         return StructField(a.name, unify_schemas([a.dataType, b.dataType], "merge"),
@@ -71,7 +76,10 @@ def read_snapshots(spark: SparkSession, paths, schema: StructType | None = None,
     keeps only snapshots of those years (pruned per file via the metadata
     column).  ``corrupt`` keeps malformed lines in ``_corrupt_record``."""
     if schema is None:
-        schema = infer_schema(spark, paths, policy, glob, recursive, sampling_ratio)
+        try:
+            schema = infer_schema(spark, paths, policy, glob, recursive, sampling_ratio)
+        except AnalysisException as e:  # no file matched, or the folder is missing
+            raise NoSnapshots(f"no snapshot files under {paths} matching {glob}") from e
         schema = StructType([f for f in schema.fields if f.name != CORRUPT_COLUMN])
     df = read_json(spark, paths, schema=schema, glob=glob, recursive=recursive,
                    corrupt_column=CORRUPT_COLUMN if corrupt else None)

@@ -163,3 +163,11 @@ def test_sets_and_profile(spark):
     assert distinct_values(union_all([a, a]), "o").count() == 1
     assert table_profile(a).first().asDict() == {"n_rows": 1, "n_cols": 2}
     assert rename(a, {"o": "other", "missing": "x"}).columns == ["id", "other"]
+
+
+def test_ranking_can_include_the_target(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.0)], "x double, price double")
+    rows = [(r.feature, r.r) for r in correlation_ranking(df, ["x"], "price", include_target=True).collect()]
+    assert rows[0] == ("price", 1.0) and rows[1][0] == "x"
+    assert [r.feature for r in select_features(correlation_ranking(df, ["x"], "price", include_target=True),
+                                               0.1, exclude=["price"]).collect()] == ["x"]

@@ -126,3 +126,10 @@ def test_registry_from_file(spark, tmp):
         json.dump({"ids": {"fmt": "parquet", "path": data}}, f)
     reg = SourceRegistry.from_file(cfg)
     assert reg.names() == ["ids"] and reg.read(spark, "ids").count() == 3
+
+
+def test_no_snapshot_files_is_a_clear_outcome(spark, tmp):
+    from tessera.sources import NoSnapshots
+    os.makedirs(os.path.join(tmp, "empty"))
+    with pytest.raises(NoSnapshots):
+        read_snapshots(spark, os.path.join(tmp, "empty"), glob="*_idealista.json", recursive=False)
