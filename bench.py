@@ -39,6 +39,7 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
+        spark.sparkContext.setJobDescription(name)
         t0 = time.perf_counter()
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

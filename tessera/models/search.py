@@ -16,6 +16,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -117,8 +118,9 @@ def holdout_search(family: str, spec: dict, train: DataFrame, val: DataFrame, la
         return Run(family, params, float(score), model, path)
 
     if parallelism > 1:
+        # inheritable: pool threads keep the caller's job group / description / pool
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            return list(pool.map(one, enumerate(maps)))
+            return list(pool.map(inheritable_thread_target(one), enumerate(maps)))
     return [one(x) for x in enumerate(maps)]
 
 

@@ -5,7 +5,7 @@ from tessera.operators.columns import copy_as_id, drop_columns, has_columns, ren
 from tessera.operators.dedup import drop_duplicates, duplicate_keys, keep_one
 from tessera.operators.encode import discover_values, one_hot
 from tessera.operators.filters import drop_corrupt, filter_equal, filter_not_equal
-from tessera.operators.impute import column_means, mean_impute
+from tessera.operators.impute import column_means, impute_with, mean_impute
 from tessera.operators.joins import bounded_broadcast, enrich, materialise
 from tessera.operators.partitioning import balance
 from tessera.operators.profile import preview, table_profile
@@ -17,7 +17,7 @@ __all__ = [
     "balance", "bounded_broadcast", "column_means", "copy_as_id", "correlation_ranking",
     "discover_values", "distinct_values", "drop_columns", "drop_corrupt",
     "drop_duplicates", "duplicate_keys", "enrich", "filter_equal",
-    "filter_not_equal", "global_means", "group_mean", "has_columns", "keep_one",
+    "filter_not_equal", "global_means", "group_mean", "has_columns", "impute_with", "keep_one",
     "key_split", "materialise", "mean_impute", "one_hot", "preview",
     "random_split", "random_split_labelled", "rename", "rmse", "row_count",
     "select_features", "split_parts", "table_profile", "union_all",

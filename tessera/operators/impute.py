@@ -21,6 +21,14 @@ def column_means(df: DataFrame, cols) -> dict:
     return {c: row[c] for c in cols}
 
 
+def impute_with(df: DataFrame, means: dict) -> DataFrame:
+    """Cast the columns of ``means`` to double and fill their nulls (and NaN)
+    with the given means; columns without a mean are only cast."""
+    out = df.withColumns({c: F.col(c).cast("double") for c in means})
+    fill = {c: m for c, m in means.items() if m is not None}
+    return out.fillna(fill) if fill else out
+
+
 def mean_impute(df: DataFrame, cols, fit_on: DataFrame | None = None,
                 strict: bool = False) -> DataFrame:
     """Cast ``cols`` to double and fill nulls with their mean.

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from tessera.models import DEFAULT_GRIDS, assemble, holdout_search, run_log
 from tessera.operators import (
     balance,
+    column_means,
     correlation_ranking,
+    impute_with,
     key_split,
-    mean_impute,
     random_split,
     select_features,
     split_parts,
@@ -41,19 +42,41 @@ class TrainResult:
     log: DataFrame
 
 
-def prepare(df: DataFrame, feature_columns, label: str, threshold: float = 0.1,
-            features_col: str = "selected_features", keep=()):
-    """Impute (features and label, as the reference does), rank by |r| with
-    the label, keep ``|r| > threshold`` and assemble the chosen columns."""
+@dataclass
+class Preparation:
+    """What is learnt before fitting: imputation means and chosen features."""
+    means: dict
+    selected: list
+    ranking: DataFrame
+
+
+def fit_preparation(df: DataFrame, feature_columns, label: str,
+                    threshold: float = 0.1) -> Preparation:
+    """Means of features and label (one job, the label is imputed too as in
+    the reference), |r| ranking against the label including the label's own
+    row (one job), and the features with ``|r| > threshold``."""
     cols = list(feature_columns)
-    data = mean_impute(df, cols + [label])
+    means = column_means(df, cols + [label])
+    data = impute_with(df, means)
     ranking = correlation_ranking(data, cols, label, include_target=True)
     chosen = select_features(ranking, threshold, exclude=[label]).collect()
     selected = [r["feature"] for r in chosen]  # at most len(feature_columns) names
     if not selected:
         raise NoFeatureSelected(f"no feature has |r| > {threshold} with {label}")
-    vec = assemble(data, selected, features_col).select(*keep, label, features_col)
-    return vec, selected, ranking
+    return Preparation(means, selected, ranking)
+
+
+def apply_preparation(df: DataFrame, prep: Preparation, label: str,
+                      features_col: str = "selected_features", keep=()) -> DataFrame:
+    data = impute_with(df, prep.means)
+    return assemble(data, prep.selected, features_col).select(*keep, label, features_col)
+
+
+def prepare(df: DataFrame, feature_columns, label: str, threshold: float = 0.1,
+            features_col: str = "selected_features", keep=()):
+    """Fit the preparation on ``df`` and apply it to ``df`` itself."""
+    prep = fit_preparation(df, feature_columns, label, threshold)
+    return apply_preparation(df, prep, label, features_col, keep), prep.selected, prep.ranking
 
 
 def split(df: DataFrame, how: str = "random", key: str | None = None, seed: int = 42,
@@ -70,14 +93,31 @@ def split(df: DataFrame, how: str = "random", key: str | None = None, seed: int
 def train_and_validate(df: DataFrame, feature_columns, label: str = "price", grids=None,
                        threshold: float = 0.1, split_how: str = "random", key: str | None = None,
                        seed: int = 42, experiment: str = "Reg. Models - Price Prediction",
-                       parallelism: int = 1, save_dir: str | None = None) -> TrainResult:
+                       parallelism: int = 1, save_dir: str | None = None,
+                       fit_on: str = "all") -> TrainResult:
+    """Impute -> select -> split -> grid search per family -> run log.
+
+    ``fit_on="all"`` learns means and features on the whole table before the
+    split (the reference's order); ``fit_on="train"`` splits first and learns
+    them on the training part only, so validation rows never leak in."""
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
     grids = DEFAULT_GRIDS if grids is None else grids
     keep = [key] if (split_how == "key" and key) else []
-    vec, selected, ranking = prepare(df, feature_columns, label, threshold, keep=keep)
+    needed = list(dict.fromkeys([*keep, *feature_columns, label]))
     # one pass over the input feeds both splits; each split is then cached
     # as-is (a random split re-sorts its input on every use otherwise)
-    data = balance(vec).persist(StorageLevel.MEMORY_AND_DISK)
-    train, val = split(data, split_how, key, seed)
+    if fit_on == "all":
+        prep = fit_preparation(df, feature_columns, label, threshold)
+        data = balance(apply_preparation(df, prep, label, keep=keep))
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        train, val = split(data, split_how, key, seed)
+    else:
+        data = balance(df.select(*needed)).persist(StorageLevel.MEMORY_AND_DISK)
+        train_raw, val_raw = split(data, split_how, key, seed)
+        prep = fit_preparation(train_raw, feature_columns, label, threshold)
+        train = apply_preparation(train_raw, prep, label, keep=keep)
+        val = apply_preparation(val_raw, prep, label, keep=keep)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     train.count()
@@ -92,7 +132,7 @@ def train_and_validate(df: DataFrame, feature_columns, label: str = "price", gri
         train.unpersist()
         val.unpersist()
     spark = df.sparkSession
-    return TrainResult(selected, ranking, runs, run_log(spark, experiment, runs))
+    return TrainResult(prep.selected, prep.ranking, runs, run_log(spark, experiment, runs))
 
 
 def scored(model, df: DataFrame, keep=()) -> DataFrame:

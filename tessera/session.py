@@ -27,17 +27,20 @@ DEFAULT_CONF = {
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 partition_bytes: int = 128 << 20, shuffle_fraction: float = 0.25) -> dict:
+                 partition_bytes: int | None = None, shuffle_fraction: float = 0.25) -> dict:
     """Spill-aware sizing for a run over ``input_bytes`` of input.
 
-    Scan splits and post-shuffle partitions target ``partition_bytes``
-    (default 128 MiB, well inside one core's share of executor memory).
+    Scan splits and post-shuffle partitions target ``partition_bytes``:
+    by default enough splits for 3 waves of all cores, capped at 128 MiB
+    (well inside one core's share of executor memory) and at least 4 MiB.
     The initial shuffle partition count covers the expected shuffled bytes
     (``shuffle_fraction`` of the input, after pruning and partial
     aggregation) at that size, clamped to 3-10 waves of all cores so map
     output metadata stays bounded.  AQE then coalesces small partitions and
     splits skewed ones (5x the median and over 4x the target size)."""
     cores = max(1, executors * cores_per_executor)
+    if partition_bytes is None:
+        partition_bytes = min(128 << 20, max(4 << 20, input_bytes // (3 * cores)))
     wanted = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
     parts = min(max(3 * cores, wanted), 10 * cores)
     return {

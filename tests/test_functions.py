@@ -79,5 +79,7 @@ def test_cluster_conf_bounds():
     from tessera.session import cluster_conf
     big = cluster_conf(100 * 10**12, 1000, 8)
     assert int(big["spark.sql.shuffle.partitions"]) == 80000  # clamped at 10 waves
+    assert big["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
     small = cluster_conf(37 * 10**6, 1, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least 3 waves
+    assert small["spark.sql.files.maxPartitionBytes"] == str(4 << 20)

@@ -19,3 +19,11 @@ def test_train_and_validate_selects_and_logs(spark):
     assert len(log) == 3 and sum(r.is_best for r in log) == 1
     best = [r for r in log if r.is_best][0]
     assert best.value == min(r.value for r in log if not r.is_best)
+
+
+def test_train_and_validate_fit_on_train_only(spark):
+    rows = [(i, float(i), 3.0 * i + 1.0 + (i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x double, price double")
+    res = train_and_validate(df, ["x"], "price", grids={"LR": {"regParam": [0.0]}},
+                             split_how="key", key="id", fit_on="train")
+    assert res.selected == ["x"] and res.log.count() == 2
