@@ -2,6 +2,7 @@
 
     zones   --listings DIR --housing DIR --income DIR --out DIR
     train   --features DIR --label price --run-log DIR [--parallelism 4] [--split key --key _id]
+            [--grids '{"LR": {"regParam": [0.1, 0.01]}}']
     ingest  --source DIR --target DIR --checkpoint DIR --schema DDL --key COL --order -COL ...
 """
 
@@ -29,6 +30,8 @@ def main(argv=None) -> None:
     t.add_argument("--parallelism", type=int, default=1)
     t.add_argument("--split", default="random", choices=["random", "key"])
     t.add_argument("--key", default=None)
+    t.add_argument("--grids", default=None,
+                   help='JSON {family: {param: [values]}}; default: the full reference grids')
     i = sub.add_parser("ingest", help="process new snapshots into the keyed table")
     i.add_argument("--source", required=True)
     i.add_argument("--target", required=True)
@@ -48,8 +51,9 @@ def main(argv=None) -> None:
         from tessera.models import append_run_log
         from tessera.plans.training import train_and_validate
         from tessera.plans.zones import MODEL_FEATURES
+        grids = json.loads(args.grids) if args.grids else None
         res = train_and_validate(spark.read.parquet(args.features), MODEL_FEATURES, args.label,
-                                 split_how=args.split, key=args.key,
+                                 grids=grids, split_how=args.split, key=args.key,
                                  parallelism=args.parallelism, save_dir=args.models)
         append_run_log(res.log, args.run_log).filter("is_best").show(truncate=False)
     elif args.cmd == "ingest":
