@@ -1,6 +1,7 @@
 """Spark ML wrappers: vectors, grids, hold-out search, run log."""
 
 from tessera.models.search import (
+    DEFAULT_EXPERIMENT,
     DEFAULT_GRIDS,
     RUN_LOG_SCHEMA,
     Run,
@@ -16,6 +17,6 @@ from tessera.models.search import (
 )
 
 __all__ = [
-    "DEFAULT_GRIDS", "RUN_LOG_SCHEMA", "Run", "append_run_log", "assemble", "best_run",
+    "DEFAULT_EXPERIMENT", "DEFAULT_GRIDS", "RUN_LOG_SCHEMA", "Run", "append_run_log", "assemble", "best_run",
     "correlation_matrix", "grid", "holdout_search", "make_estimator", "run_log", "run_name",
 ]

@@ -38,12 +38,17 @@ FAMILIES = {
     "GBT": GBTRegressor,
 }
 
-# Grids of the reference's training run (fixed values).
+# --- fixed values: grids, names and run-name formats of the reference's training run ---
 DEFAULT_GRIDS = {
     "RF": {"numTrees": [50, 100, 150], "maxDepth": [10, 15], "maxBins": [32, 64]},
     "LR": {"regParam": [0.1, 0.01, 0.001], "elasticNetParam": [0.0, 0.5, 1.0]},
     "GBT": {"maxDepth": [10, 15], "maxBins": [32, 64]},
 }
+DEFAULT_EXPERIMENT = "Reg. Models - Price Prediction"
+RUN_NAME_ABBREVIATIONS = {"elasticNetParam": "elasticNet"}  # e.g. LR_regParam_0.1_elasticNet_0.5
+BEST_RUN_NAME = "Best_{family}_Model"
+RUN_METRIC, BEST_METRIC = "rmse", "best_rmse"
+# --- end of fixed values ---
 
 RUN_LOG_SCHEMA = StructType([
     StructField("experiment", StringType()),
@@ -81,8 +86,7 @@ def grid(estimator, spec: dict):
 
 
 def run_name(family: str, params: dict) -> str:
-    short = {"elasticNetParam": "elasticNet"}
-    return family + "".join(f"_{short.get(k, k)}_{v}" for k, v in params.items())
+    return family + "".join(f"_{RUN_NAME_ABBREVIATIONS.get(k, k)}_{v}" for k, v in params.items())
 
 
 @dataclass
@@ -140,11 +144,13 @@ def run_log(spark: SparkSession, experiment: str, runs: list[Run]) -> DataFrame:
         if r.family not in families:
             families.append(r.family)
         rows.append((experiment, run_name(r.family, r.params), r.family,
-                     {k: _fmt(v) for k, v in r.params.items()}, "rmse", r.rmse, False, r.model_path))
+                     {k: _fmt(v) for k, v in r.params.items()}, RUN_METRIC, r.rmse, False,
+                     r.model_path))
     for fam in families:
         b = best_run([r for r in runs if r.family == fam])
-        rows.append((experiment, f"Best_{fam}_Model", fam, {k: _fmt(v) for k, v in b.params.items()},
-                     "best_rmse", b.rmse, True, b.model_path))
+        rows.append((experiment, BEST_RUN_NAME.format(family=fam), fam,
+                     {k: _fmt(v) for k, v in b.params.items()}, BEST_METRIC, b.rmse, True,
+                     b.model_path))
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 

@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.models import DEFAULT_GRIDS, assemble, holdout_search, run_log
+from tessera.models import DEFAULT_EXPERIMENT, DEFAULT_GRIDS, assemble, holdout_search, run_log
 from tessera.operators import (
     balance,
     column_means,
@@ -92,7 +92,7 @@ def split(df: DataFrame, how: str = "random", key: str | None = None, seed: int
 
 def train_and_validate(df: DataFrame, feature_columns, label: str = "price", grids=None,
                        threshold: float = 0.1, split_how: str = "random", key: str | None = None,
-                       seed: int = 42, experiment: str = "Reg. Models - Price Prediction",
+                       seed: int = 42, experiment: str = DEFAULT_EXPERIMENT,
                        parallelism: int = 1, save_dir: str | None = None,
                        fit_on: str = "all") -> TrainResult:
     """Impute -> select -> split -> grid search per family -> run log.
