@@ -42,7 +42,14 @@ from tessera.operators import (
     rename,
 )
 from tessera.sinks import write_collection, write_json, write_parquet, write_partitioned
-from tessera.sources import read_csv, read_json, read_keyed_objects, read_snapshots
+from tessera.sources import (
+    CORRUPT_COLUMN,
+    read_csv,
+    read_json,
+    read_keyed_objects,
+    read_snapshots,
+)
+from tessera.sources.snapshots import DATE_PATTERN
 
 # --- fixed values: names and vocabularies the reference's tables use ---
 LISTING_GLOB = "*_idealista.json"
@@ -77,15 +84,46 @@ INCOME_SCHEMA = (StructType().add("_id", IntegerType()).add("Any", IntegerType()
 
 # ---------------------------------------------------------------- formatted zone
 
+def clean_snapshot_batch(df: DataFrame, path_col: str | None = None) -> DataFrame:
+    """Per-snapshot cleaning shared by batch and streaming ingest: corrupt
+    rows out, canonical neighbourhood, year and snapshot date from the path."""
+    df = drop_corrupt(df)
+    if "neighborhood" in df.columns:
+        df = df.withColumn("neighborhood", canonicalise("neighborhood", LISTING_PRE_RULES,
+                                                        LISTING_POST_RULES))
+    if path_col:
+        y = F.regexp_extract(path_col, DATE_PATTERN, 1)
+        d = F.concat_ws("-", *[F.regexp_extract(path_col, DATE_PATTERN, i) for i in (1, 2, 3)])
+        df = (df.withColumn("year", F.when(y == "", None).otherwise(y).cast("int"))
+                .withColumn("snapshot_date", F.when(y == "", None).otherwise(F.to_date(d)))
+                .drop(path_col))
+    return df
+
+
+def ingest_listings(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                    schema: StructType, glob: str = LISTING_GLOB) -> DataFrame:
+    """Incremental form of ``format_listings``: snapshots that arrived since
+    the last run are cleaned and merged into the keyed listings table
+    (latest snapshot wins per ``propertyCode``); returns the table."""
+    from tessera.sources.files import with_corrupt_column
+    from tessera.streaming import ingest_available
+
+    def per_batch(batch: DataFrame) -> DataFrame:
+        return copy_as_id(clean_snapshot_batch(batch, "_file_path"), "propertyCode")
+
+    return ingest_available(spark, landing, target, checkpoint, with_corrupt_column(schema),
+                            ["propertyCode"], ["-snapshot_date"], transform=per_batch,
+                            options={"pathGlobFilter": glob, "mode": "PERMISSIVE",
+                                     "columnNameOfCorruptRecord": CORRUPT_COLUMN},
+                            with_file_path=True)
+
+
 def format_listings(spark: SparkSession, landing, schema: StructType | None = None,
                     policy: str = "merge", glob: str = LISTING_GLOB) -> DataFrame:
     """Snapshots -> corrupt rows out -> canonical neighbourhood -> one row per
     ``propertyCode`` (latest snapshot wins, then all columns) -> ``_id``."""
     df = read_snapshots(spark, landing, schema=schema, policy=policy, glob=glob, recursive=False)
-    df = drop_corrupt(df)
-    if "neighborhood" in df.columns:
-        df = df.withColumn("neighborhood", canonicalise("neighborhood", LISTING_PRE_RULES,
-                                                        LISTING_POST_RULES))
+    df = clean_snapshot_batch(df)
     if "propertyCode" in df.columns:
         df = keep_one(df, ["propertyCode"], order=["-snapshot_date"])
         df = copy_as_id(df, "propertyCode")

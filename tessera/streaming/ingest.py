@@ -62,11 +62,15 @@ def latest(spark: SparkSession, target: str, schema: StructType,
     return table.filter(F.col(VERSION) == top).drop(VERSION)
 
 
-def keyed_merge(target: str, keys, order):
-    """``foreachBatch`` function: merge a batch into the keyed target."""
+def keyed_merge(target: str, keys, order, transform=None):
+    """``foreachBatch`` function: merge a batch into the keyed target.
+
+    ``transform`` (DataFrame -> DataFrame) cleans each batch first."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if transform is not None:
+            batch = transform(batch)
         current = latest(spark, target, batch.schema, before=batch_id)
         rows = batch if current is None else current.unionByName(batch)
         merged = keep_one(rows, keys, order)
@@ -78,16 +82,36 @@ def keyed_merge(target: str, keys, order):
 
 def ingest_available(spark: SparkSession, source: str, target: str, checkpoint: str,
                      schema: StructType, keys, order, fmt: str = "json",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Process every snapshot file not yet seen, merge, and return the target."""
+                     max_files_per_trigger: int | None = None, transform=None,
+                     options: dict | None = None, with_file_path: bool = False) -> DataFrame:
+    """Process every snapshot file not yet seen, merge, and return the target.
+
+    ``with_file_path`` adds the source file's path as ``_file_path`` (for
+    tags such as the snapshot date) before ``transform`` runs."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     stream = reader.load(source)
-    q = (stream.writeStream.foreachBatch(keyed_merge(target, keys, order))
+    if with_file_path:
+        stream = stream.withColumn("_file_path", F.col("_metadata.file_path"))
+    q = (stream.writeStream.foreachBatch(keyed_merge(target, keys, order, transform))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return latest(spark, target, schema)
+    out = latest(spark, target, schema if transform is None else _target_schema(spark, target))
+    return out
+
+
+def _target_schema(spark: SparkSession, target: str) -> StructType:
+    """Schema of the written target (used when batches are transformed)."""
+    for slot in SLOTS:
+        try:
+            return StructType([f for f in spark.read.parquet(os.path.join(target, slot)).schema.fields
+                               if f.name != VERSION])
+        except AnalysisException:
+            continue
+    return StructType()

@@ -97,3 +97,20 @@ def test_fanout_when_name_in_two_districts(spark, tmp):
                                     "_id string, neighborhood string, Preu_m2_mitja double, year int")
     out = build_features(listings, income, clean_housing(housing))
     assert out.count() == 2 and out.columns[:2] == ["year", "neighborhood"]
+
+
+def test_ingest_listings_incrementally(spark, tmp):
+    from tessera.plans.zones import ingest_listings
+    from tessera.sources import infer_schema
+
+    land = os.path.join(tmp, "arrivals")
+    write_snapshot(land, "2020_01_02", [listing("1", 100, "El Gòtic"), listing("2", 200, "x")])
+    schema = infer_schema(spark, land)
+    tgt, ck = os.path.join(tmp, "tgt"), os.path.join(tmp, "ck")
+    out = ingest_listings(spark, land, tgt, ck, schema)
+    assert {r._id: r.price for r in out.collect()} == {"1": 100.0, "2": 200.0}
+    write_snapshot(land, "2021_02_24", [listing("1", 150, "El Gòtic")],
+                   raw_tail='{"propertyCode": "9", broken')
+    out = ingest_listings(spark, land, tgt, ck, schema)
+    rows = {r._id: (r.price, r.year, r.neighborhood) for r in out.collect()}
+    assert rows == {"1": (150.0, 2021, "el barri gòtic"), "2": (200.0, 2020, "x")}
