@@ -126,7 +126,7 @@ def snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "snapshots")
     snap = orders.select("o_orderkey", "o_totalprice", "o_orderstatus",
                          F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd").alias("snapshot"))
-    snap.write.mode("overwrite").partitionBy("snapshot").json(root)
+    write_partitioned(snap, root, ["snapshot"], fmt="json")
     df = read_snapshots(spark, root, glob="*.json")
     return df.select("o_orderkey", "o_totalprice", "o_orderstatus", "year")
 
@@ -139,10 +139,11 @@ def schema_unify(spark: SparkSession, sf: str) -> DataFrame:
     old_dir, new_dir = os.path.join(root, "old"), os.path.join(root, "new")
     snap = F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd").alias("snapshot")
     year = F.year("o_orderdate")
-    (orders.filter(year <= 1997).select("o_orderkey", "o_orderstatus", snap)
-        .write.mode("overwrite").partitionBy("snapshot").json(old_dir))
-    (orders.filter(year >= 1998).select("o_orderkey", "o_orderstatus", "o_orderpriority", snap)
-        .write.mode("overwrite").partitionBy("snapshot").json(new_dir))
+    write_partitioned(orders.filter(year <= 1997).select("o_orderkey", "o_orderstatus", snap),
+                      old_dir, ["snapshot"], fmt="json")
+    write_partitioned(orders.filter(year >= 1998)
+                      .select("o_orderkey", "o_orderstatus", "o_orderpriority", snap),
+                      new_dir, ["snapshot"], fmt="json")
     schema = infer_schema(spark, [old_dir, new_dir], policy="first", glob="*.json", recursive=True)
     df = read_snapshots(spark, [old_dir, new_dir], schema=schema, glob="*.json")
     return df.select("o_orderkey", "o_orderstatus", "o_orderpriority")

@@ -39,13 +39,20 @@ def delta_available() -> bool:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
-                      mode: str = "overwrite") -> str:
-    """Hive-style partitioned overwrite.  No shuffle is added: each task
-    writes its own files per partition value, so a hot partition value is
-    spread over all tasks instead of landing on one writer."""
+                      mode: str = "overwrite", rebalance: bool = True) -> str:
+    """Hive-style partitioned overwrite.
+
+    With ``rebalance`` (default) rows are shuffled by the partition columns
+    under a ``rebalance`` hint: each partition value is written by few tasks
+    (not one file per value per input task — millions of small files at
+    scale), and AQE splits a hot value into advisory-sized chunks, so a value
+    holding a third of all rows is still written by many tasks.
+    ``rebalance=False`` writes straight from the input partitions."""
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     if fmt == "delta" and not delta_available():
         raise RuntimeError("delta format requested but its package is not installed")
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     df.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
     return path
 
