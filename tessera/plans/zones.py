@@ -82,6 +82,19 @@ INCOME_SCHEMA = (StructType().add("_id", IntegerType()).add("Any", IntegerType()
                  .add("Seccio_Censal", IntegerType()).add("Import_Euros", IntegerType()))
 
 
+# ---------------------------------------------------------------- landing zone
+
+def land_income_pages(spark: SparkSession, pages_dir: str, landing_dir: str,
+                      record_schema: StructType = INCOME_SCHEMA) -> str:
+    """Stored API response pages (``result.records``, empty end page) ->
+    one CSV landing table with a header row, as the income source lands."""
+    from tessera.sinks import write_csv
+    from tessera.sources import read_record_pages
+
+    records = read_record_pages(spark, pages_dir, record_schema)
+    return write_csv(records, landing_dir, header=True)
+
+
 # ---------------------------------------------------------------- formatted zone
 
 def clean_snapshot_batch(df: DataFrame, path_col: str | None = None) -> DataFrame:

@@ -114,3 +114,23 @@ def test_ingest_listings_incrementally(spark, tmp):
     out = ingest_listings(spark, land, tgt, ck, schema)
     rows = {r._id: (r.price, r.year, r.neighborhood) for r in out.collect()}
     assert rows == {"1": (150.0, 2021, "el barri gòtic"), "2": (200.0, 2020, "x")}
+
+
+def test_income_pages_land_as_csv_then_format(spark, tmp):
+    import json
+
+    from tessera.plans.zones import format_income, land_income_pages
+
+    pages_dir = os.path.join(tmp, "pages")
+    os.makedirs(pages_dir)
+    rec = {"_id": 1, "Any": 2020, "Codi_Districte": 3, "Nom_Districte": "Sants-Montjuïc",
+           "Codi_Barri": 11, "Nom_Barri": "el Poble Sec - AEI Parc Montjuïc",
+           "Seccio_Censal": 1, "Import_Euros": 20000}
+    pages = [{"result": {"records": [rec, {**rec, "_id": 2, "Import_Euros": 30000}]}},
+             {"result": {"records": []}}]
+    with open(os.path.join(pages_dir, "income_url_1.json"), "w", encoding="utf-8") as f:
+        f.write("\n".join(json.dumps(p, ensure_ascii=False) for p in pages))
+    landed = land_income_pages(spark, pages_dir, os.path.join(tmp, "landing", "income_url_1"))
+    df = format_income(spark, landed, glob="*.csv")
+    assert sorted(r._id for r in df.collect()) == ["132020", "232020"]
+    assert df.first().Nom_Barri == "el poble sec - aei parc montjuïc"
