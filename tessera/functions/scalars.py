@@ -15,10 +15,15 @@ def indicator(c, value) -> Column:
     return F.when(_as_col(c) == F.lit(value), F.lit(1)).otherwise(F.lit(0))
 
 
-def to_decimal_via_float(c, precision: int = 10, scale: int = 2) -> Column:
+def to_decimal_via_float(c, precision: int = 10, scale: int = 2, safe: bool = False) -> Column:
     """Narrow to float first, then to decimal — the two-step chain changes
-    cents for some values (12345.675 -> 12345.67) and is kept on purpose."""
-    return _as_col(c).cast("float").cast(f"decimal({precision},{scale})")
+    cents for some values (12345.675 -> 12345.67) and is kept on purpose.
+
+    Values that do not fit raise under ANSI mode; ``safe=True`` makes them
+    null instead (``try_cast``)."""
+    as_float = _as_col(c).cast("float")
+    target = f"decimal({precision},{scale})"
+    return as_float.try_cast(target) if safe else as_float.cast(target)
 
 
 def to_double(c) -> Column:

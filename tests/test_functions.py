@@ -83,3 +83,13 @@ def test_cluster_conf_bounds():
     small = cluster_conf(37 * 10**6, 1, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least 3 waves
     assert small["spark.sql.files.maxPartitionBytes"] == str(4 << 20)
+
+
+def test_decimal_overflow_raises_or_nulls(spark):
+    import pytest
+    from pyspark.errors import ArithmeticException
+
+    df = spark.createDataFrame([(123456789012.0,), (5.5,)], "v double")
+    assert [r[0] for r in df.select(to_decimal_via_float("v", safe=True)).collect()] == [None, Decimal("5.50")]
+    with pytest.raises(ArithmeticException):
+        df.select(to_decimal_via_float("v")).collect()

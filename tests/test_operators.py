@@ -171,3 +171,16 @@ def test_ranking_can_include_the_target(spark):
     assert rows[0] == ("price", 1.0) and rows[1][0] == "x"
     assert [r.feature for r in select_features(correlation_ranking(df, ["x"], "price", include_target=True),
                                                0.1, exclude=["price"]).collect()] == ["x"]
+
+
+def test_mean_impute_fills_nan_and_strict_mode(spark):
+    import pytest
+
+    from tessera.operators.impute import NoMean
+
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (None, None)], "a double, b double")
+    out = [r.a for r in mean_impute(df, ["a"]).collect()]
+    # the mean over a NaN is NaN, and fillna fills both the null and the NaN with it
+    assert out[0] == 1.0 and math.isnan(out[1]) and math.isnan(out[2])
+    with pytest.raises(NoMean):
+        mean_impute(df, ["b"], strict=True)
