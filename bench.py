@@ -26,7 +26,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     event_dir = tempfile.mkdtemp(prefix="tessera-events-")
-    spark = get_session(f"local[{cpus}]", app_name="tessera-bench", shuffle_partitions=cpus * 2,
+    spark = get_session(f"local[{cpus}]", app_name="tessera-bench", shuffle_partitions=cpus,
                         extra_conf={"spark.driver.memory": "16g",
                                     "spark.eventLog.enabled": "true",
                                     "spark.eventLog.dir": event_dir})
