@@ -44,6 +44,7 @@ from tessera.operators import (
 from tessera.sinks import write_collection, write_json, write_parquet, write_partitioned
 from tessera.sources import (
     CORRUPT_COLUMN,
+    infer_schema,
     read_csv,
     read_json,
     read_keyed_objects,
@@ -134,7 +135,13 @@ def ingest_listings(spark: SparkSession, landing: str, target: str, checkpoint:
 def format_listings(spark: SparkSession, landing, schema: StructType | None = None,
                     policy: str = "merge", glob: str = LISTING_GLOB) -> DataFrame:
     """Snapshots -> corrupt rows out -> canonical neighbourhood -> one row per
-    ``propertyCode`` (latest snapshot wins, then all columns) -> ``_id``."""
+    ``propertyCode`` (latest snapshot wins, then all columns) -> ``_id``.
+
+    ``policy="first"`` unifies per-file schemas in date order, first
+    definition of a field wins (the reference's rule); ``"merge"`` keeps
+    nested fields that appear only in later files."""
+    if schema is None and policy == "first":
+        schema = infer_schema(spark, landing, "first", glob, per_file=True)
     df = read_snapshots(spark, landing, schema=schema, policy=policy, glob=glob, recursive=False)
     df = clean_snapshot_batch(df)
     if "propertyCode" in df.columns:

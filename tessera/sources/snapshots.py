@@ -8,6 +8,8 @@ snapshot wins" needs no per-file loop).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,15 +53,38 @@ def unify_schemas(schemas, policy: str = "merge") -> StructType:
     return StructType(list(fields.values()))
 
 
+def snapshot_files(spark: SparkSession, paths, glob: str | None = None,
+                   recursive: bool = False) -> list[str]:
+    """The snapshot files under ``paths``, oldest ``YYYY_MM_DD`` first (a
+    file listing only; no data is read)."""
+    r = spark.read.format("text")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    files = r.load(paths).inputFiles()
+    date = re.compile(DATE_PATTERN)
+
+    def key(f):
+        m = date.match(f)
+        return (m.groups() if m else ("9999", "99", "99"), f)
+
+    return sorted(files, key=key)
+
+
 def infer_schema(spark: SparkSession, paths, policy: str = "merge", glob: str | None = None,
-                 recursive: bool = False, sampling_ratio: float | None = None) -> StructType:
+                 recursive: bool = False, sampling_ratio: float | None = None,
+                 per_file: bool = False) -> StructType:
     """``merge``: one inference job over all paths (Spark merges nested
-    structs).  ``first``: one job per path, unified first-wins — only for a
-    handful of files."""
+    structs).  ``first``: one job per path, unified first-wins; with
+    ``per_file`` the paths are first expanded to their snapshot files in date
+    order (one job per file — only for a handful of files)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if policy == "merge":
         return read_json(spark, paths, glob=glob, recursive=recursive,
                          sampling_ratio=sampling_ratio).schema
+    if per_file:
+        paths, glob, recursive = snapshot_files(spark, paths, glob, recursive), None, False
     schemas = [read_json(spark, p, glob=glob, recursive=recursive,
                          sampling_ratio=sampling_ratio).schema for p in paths]
     return unify_schemas(schemas, "first")
