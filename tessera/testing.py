@@ -38,12 +38,12 @@ def duck_connection(sf_dir: str):
 
 
 def _norm(v):
+    """Exact text of a value (floats by ``repr``: no tolerance, like a value
+    hash)."""
     if v is None:
         return "∅"
     if isinstance(v, float):
-        if v != v:
-            return "nan"
-        return repr(round(v, 9))
+        return "nan" if v != v else repr(v)
     return str(v)
 
 
