@@ -50,4 +50,52 @@ QUERIES = {
     "incremental_ingest": c.incremental_ingest,
 }
 
-__all__ = ["ORACLE_SQL", "QUERIES"]
+# SURVEY §2 operator ids exercised by each query (traceability).
+COVERS = {
+    "feature_table": "P1 P7 P8 F1 F5 F6 M1 A1 J1 J2",
+    "snapshot_scan": "S1 S2 S5 S6 S8 K1 K3",
+    "schema_unify": "S2 S3 U1",
+    "keyed_object_scan": "S4",
+    "csv_scan": "S7 K4",
+    "parquet_scan": "S9 K2",
+    "partitioned_scan": "S10 K3",
+    "paged_records": "S11",
+    "source_registry": "S12 A3",
+    "document_collection": "K5 P10",
+    "table_profile": "K6 A3",
+    "rename_drop": "P3 P4 P6 P10",
+    "constant_column": "P2",
+    "filter_equal": "P7",
+    "filter_not_equal_null": "P8",
+    "corrupt_filter": "P9",
+    "surrogate_key": "F1 F2 F3",
+    "mixed_concat_key": "F4",
+    "canonicalise": "F1 F5",
+    "casts": "F7 F8",
+    "year_from_name": "F9 S6",
+    "left_join": "J1",
+    "left_join_two_keys_null": "J1",
+    "left_join_fanout": "J3",
+    "union_positional": "U2",
+    "distinct_values": "U3",
+    "keyed_dedup": "U4",
+    "drop_duplicates_count": "U4",
+    "group_mean_decimal": "A1 F7",
+    "global_means": "A2",
+    "mean_impute": "M2 F10",
+    "one_hot": "M1 F6",
+    "correlation_ranking": "A4 M4",
+    "feature_selection": "M5",
+    "key_split": "M6",
+    "rmse": "A5",
+    "linear_regression": "M8",
+    "vector_features": "M3 M2",
+    "random_split": "M6",
+    "random_forest": "M7 M12 M3",
+    "gbt": "M9 M12",
+    "model_search": "M8 M7 M10 M11 M13 A4 M4 M5 A5",
+    "run_log": "M13 M11",
+    "incremental_ingest": "T1 U4",
+}
+
+__all__ = ["COVERS", "ORACLE_SQL", "QUERIES"]

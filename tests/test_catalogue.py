@@ -32,3 +32,16 @@ def test_rows_only_queries_run(spark, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns[:3] == ["year", "nation", "o_orderkey"]
+
+
+def test_every_inventory_op_is_covered_by_a_query():
+    from tessera.plans import COVERS
+
+    assert set(COVERS) == set(QUERIES)
+    covered = {op for ops in COVERS.values() for op in ops.split()}
+    inventory = ({f"S{i}" for i in range(1, 13)} | {f"K{i}" for i in range(1, 7)}
+                 | {f"P{i}" for i in range(1, 11)} - {"P5"}  # P5 is a no-op in the source
+                 | {f"F{i}" for i in range(1, 11)} | {"J1", "J2", "J3"}
+                 | {f"U{i}" for i in range(1, 5)} | {f"A{i}" for i in range(1, 6)}
+                 | {f"M{i}" for i in range(1, 14)} | {"T1"})
+    assert inventory - covered == set()
