@@ -27,3 +27,16 @@ def test_train_and_validate_fit_on_train_only(spark):
     res = train_and_validate(df, ["x"], "price", grids={"LR": {"regParam": [0.0]}},
                              split_how="key", key="id", fit_on="train")
     assert res.selected == ["x"] and res.log.count() == 2
+
+
+def test_correlation_matrix_agrees_with_ranking(spark):
+    import math
+
+    from tessera.models import assemble, correlation_matrix
+    from tessera.operators import correlation_ranking
+
+    rows = [(float(i), float((i * 7) % 11), 2.0 * i + (i % 5)) for i in range(50)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    m = correlation_matrix(assemble(df, ["a", "b", "y"]), "features").toArray()
+    r = {row.feature: row.r for row in correlation_ranking(df, ["a", "b"], "y").collect()}
+    assert math.isclose(m[0, 2], r["a"], rel_tol=1e-9) and math.isclose(m[1, 2], r["b"], rel_tol=1e-9)
