@@ -166,3 +166,20 @@ def test_write_read_round_trip_property(spark, tmp_path_factory, rows):
     back_j = read_json(spark, write_json(df, os.path.join(base, "j")), schema=df.schema)
     for back in (back_p, back_j):
         assert sorted((tuple(r) for r in back.collect()), key=repr) == expect
+
+
+def test_file_year_tags_and_small_helpers(spark, tmp):
+    from tessera.operators import preview, row_count
+    from tessera.sources import with_file_year
+
+    folder = os.path.join(tmp, "yearly")
+    os.makedirs(folder)
+    for y in (2020, 2021):
+        with open(os.path.join(folder, f"BCN_usat_acumulat_{y}.json"), "w") as f:
+            f.write(json.dumps({"v": y}) + "\n")
+    df = with_file_year(spark.read.json(folder))
+    assert sorted((r.v, r.year) for r in df.collect()) == [(2020, 2020), (2021, 2021)]
+    reg = SourceRegistry([SourceSpec("h", "json", folder, year_from_file=True)])
+    assert sorted(r.year for r in reg.read(spark, "h").collect()) == [2020, 2021]
+    assert preview(df, 1).count() == 1
+    assert row_count(df).first().n_rows == 2
