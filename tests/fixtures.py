@@ -3,6 +3,8 @@
 import json
 import os
 
+from tessera.plans.zones import HOUSING_GLOB, INCOME_GLOB, LISTING_GLOB  # noqa: F401
+
 
 def listing(code, price, neighborhood, ptype="flat", status="good", **extra):
     row = {
@@ -21,7 +23,7 @@ def listing(code, price, neighborhood, ptype="flat", status="good", **extra):
 
 def write_snapshot(folder, date, rows, raw_tail=None):
     os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"{date}_idealista.json")
+    path = os.path.join(folder, LISTING_GLOB.replace("*", date))
     with open(path, "w", encoding="utf-8") as f:
         f.write(json.dumps(rows, ensure_ascii=False))
         if raw_tail:
@@ -31,7 +33,7 @@ def write_snapshot(folder, date, rows, raw_tail=None):
 
 def write_housing(folder, year, mapping):
     os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"BCN_usat_acumulat_{year}.json")
+    path = os.path.join(folder, HOUSING_GLOB.replace("*", f"_usat_acumulat_{year}"))
     with open(path, "w", encoding="utf-8") as f:
         json.dump(mapping, f, ensure_ascii=False, indent=2)
     return path

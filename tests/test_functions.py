@@ -71,7 +71,7 @@ def test_indicator_null_is_zero_and_bool_to_double(spark):
 
 
 def test_year_from_name(spark):
-    df = spark.createDataFrame([("BCN_usat_acumulat_2021.json",), ("no_year.json",), ("x12345",)], "n string")
+    df = spark.createDataFrame([("prices_2021.json",), ("no_year.json",), ("x12345",)], "n string")
     assert [r[0] for r in df.select(year_from_name("n")).collect()] == [2021, None, 1234]
 
 

@@ -1,15 +1,17 @@
 """Parity on the original sample inputs, when available.
 
-Set TESSERA_SAMPLE_DIR to a folder holding the listing snapshots in
-``<dir>/idealista/`` and the two yearly housing objects in ``<dir>/``; the
-expected numbers are the profile of that sample (SURVEY §5)."""
+Set TESSERA_SAMPLE_DIR to a folder holding the two yearly housing objects,
+with the listing snapshots in one of its subfolders; the expected numbers
+are the profile of that sample (SURVEY §5)."""
 
+import glob
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans.zones import (
+    HOUSING_GLOB,
     HOUSING_VALUE,
     LISTING_GLOB,
     clean_housing,
@@ -24,7 +26,10 @@ pytestmark = pytest.mark.skipif(not SAMPLE, reason="TESSERA_SAMPLE_DIR not set")
 
 
 def _dirs():
-    return os.path.join(SAMPLE, "idealista"), SAMPLE
+    """(listing snapshot folder, housing folder)."""
+    matches = glob.glob(os.path.join(SAMPLE, "*", LISTING_GLOB))
+    assert matches, "no listing snapshots under the sample folder"
+    return os.path.dirname(matches[0]), SAMPLE
 
 
 def test_listing_sample_profile(spark):
@@ -47,7 +52,7 @@ def test_listing_sample_profile(spark):
 def test_housing_sample_profile(spark):
     _, housing = _dirs()
     raw = read_keyed_objects(spark, housing, HOUSING_VALUE, key_col="neighborhood",
-                             glob="BCN*.json", year_col="year")
+                             glob=HOUSING_GLOB, year_col="year")
     assert dict(raw.groupBy("year").count().collect()) == {2020: 82, 2021: 82}
     h = format_housing(spark, housing)
     assert dict(h.groupBy("year").count().collect()) == {2020: 81, 2021: 81}

@@ -21,7 +21,7 @@ from tessera.sources import (
     source_counts,
     unify_schemas,
 )
-from tessera.plans.zones import HOUSING_VALUE
+from tessera.plans.zones import HOUSING_GLOB, HOUSING_VALUE, LISTING_GLOB
 
 
 def _snapshots(tmp):
@@ -36,7 +36,7 @@ def _snapshots(tmp):
 
 def test_snapshots_one_scan_year_from_name_empty_file(spark, tmp):
     land = _snapshots(tmp)
-    df = read_snapshots(spark, land, glob="*_idealista.json", recursive=False)
+    df = read_snapshots(spark, land, glob=LISTING_GLOB, recursive=False)
     rows = sorted((r.propertyCode, r.year, str(r.snapshot_date)) for r in df.collect())
     assert rows == [("1", 2020, "2020-01-02"), ("1", 2021, "2021-02-24"), ("2", 2020, "2020-01-02")]
     assert "parkingSpace" in df.columns and "_corrupt_record" in df.columns
@@ -75,7 +75,7 @@ def test_keyed_objects_case_colliding_keys(spark, tmp):
         "les Corts": {"Habitatges_totals": 300, "Superficie_mitjana": 70.0, "Preu_m2_mitja": 4100.0},
         "Sants": {"Habitatges_totals": 10, "Superficie_mitjana": 60.0, "Preu_m2_mitja": 0.0},
     })
-    df = read_keyed_objects(spark, land, HOUSING_VALUE, key_col="neighborhood", glob="BCN*.json",
+    df = read_keyed_objects(spark, land, HOUSING_VALUE, key_col="neighborhood", glob=HOUSING_GLOB,
                             year_col="year")
     assert df.columns == ["neighborhood", "Habitatges_totals", "Superficie_mitjana", "Preu_m2_mitja", "year"]
     rows = {r.neighborhood: (r.Habitatges_totals, r.year) for r in df.collect()}
@@ -134,7 +134,7 @@ def test_no_snapshot_files_is_a_clear_outcome(spark, tmp):
     from tessera.sources import NoSnapshots
     os.makedirs(os.path.join(tmp, "empty"))
     with pytest.raises(NoSnapshots):
-        read_snapshots(spark, os.path.join(tmp, "empty"), glob="*_idealista.json", recursive=False)
+        read_snapshots(spark, os.path.join(tmp, "empty"), glob=LISTING_GLOB, recursive=False)
 
 
 def test_first_wins_per_file_in_date_order(spark, tmp):
@@ -142,7 +142,7 @@ def test_first_wins_per_file_in_date_order(spark, tmp):
     from tessera.sources.snapshots import snapshot_files
 
     land = _snapshots(tmp)
-    files = snapshot_files(spark, land, glob="*_idealista.json")
+    files = snapshot_files(spark, land, glob=LISTING_GLOB)
     # the empty "[]" snapshot is listed too; it infers struct<> and adds nothing
     assert [os.path.basename(f)[:10] for f in files] == ["2020_01_02", "2020_11_11", "2021_02_24"]
     first = format_listings(spark, land, policy="first")
@@ -175,7 +175,7 @@ def test_file_year_tags_and_small_helpers(spark, tmp):
     folder = os.path.join(tmp, "yearly")
     os.makedirs(folder)
     for y in (2020, 2021):
-        with open(os.path.join(folder, f"BCN_usat_acumulat_{y}.json"), "w") as f:
+        with open(os.path.join(folder, HOUSING_GLOB.replace("*", f"_usat_acumulat_{y}")), "w") as f:
             f.write(json.dumps({"v": y}) + "\n")
     df = with_file_year(spark.read.json(folder))
     assert sorted((r.v, r.year) for r in df.collect()) == [(2020, 2020), (2021, 2021)]
