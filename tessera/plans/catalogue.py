@@ -454,6 +454,7 @@ def gbt(spark: SparkSession, sf: str) -> DataFrame:
 SEARCH_GRIDS = {
     "LR": {"regParam": [0.1, 0.01, 0.001], "elasticNetParam": [0.0, 0.5, 1.0]},
     "RF": {"numTrees": [10, 20], "maxDepth": [5]},
+    "GBT": {"maxIter": [10], "maxDepth": [4]},
 }
 
 
