@@ -14,9 +14,11 @@ from tessera.models.search import (
     make_estimator,
     run_log,
     run_name,
+    search_grids,
 )
 
 __all__ = [
     "DEFAULT_EXPERIMENT", "DEFAULT_GRIDS", "RUN_LOG_SCHEMA", "Run", "append_run_log", "assemble", "best_run",
     "correlation_matrix", "grid", "holdout_search", "make_estimator", "run_log", "run_name",
+    "search_grids",
 ]

@@ -106,12 +106,23 @@ def holdout_search(family: str, spec: dict, train: DataFrame, val: DataFrame, la
                    features: str = "features", seed: int | None = 42, parallelism: int = 1,
                    save_dir: str | None = None) -> list[Run]:
     """Fit each grid point on ``train``, RMSE on ``val``.  Runs keep grid order."""
-    est = make_estimator(family, label, features, seed)
-    maps = grid(est, spec)
+    return search_grids({family: spec}, train, val, label, features, seed, parallelism, save_dir)
+
+
+def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
+                 features: str = "features", seed: int | None = 42, parallelism: int = 1,
+                 save_dir: str | None = None) -> list[Run]:
+    """Every grid point of every family; with ``parallelism > 1`` all of them
+    share one pool, so fits of different families overlap.  Runs come back in
+    family order, then grid order."""
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+    tasks = []
+    for family, spec in grids.items():
+        est = make_estimator(family, label, features, seed)
+        tasks += [(family, est, i, pm) for i, pm in enumerate(grid(est, spec))]
 
-    def one(i_pm):
-        i, pm = i_pm
+    def one(task):
+        family, est, i, pm = task
         model = est.fit(train, pm)
         score = evaluator.evaluate(model.transform(val))
         params = {p.name: pm[p] for p in pm}
@@ -124,8 +135,8 @@ def holdout_search(family: str, spec: dict, train: DataFrame, val: DataFrame, la
     if parallelism > 1:
         # inheritable: pool threads keep the caller's job group / description / pool
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            return list(pool.map(inheritable_thread_target(one), enumerate(maps)))
-    return [one(x) for x in enumerate(maps)]
+            return list(pool.map(inheritable_thread_target(one), tasks))
+    return [one(t) for t in tasks]
 
 
 def best_run(runs: list[Run]) -> Run | None:

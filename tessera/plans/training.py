@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.models import DEFAULT_EXPERIMENT, DEFAULT_GRIDS, assemble, holdout_search, run_log
+from tessera.models import DEFAULT_EXPERIMENT, DEFAULT_GRIDS, assemble, run_log, search_grids
 from tessera.operators import (
     balance,
     column_means,
@@ -123,11 +123,9 @@ def train_and_validate(df: DataFrame, feature_columns, label: str = "price", gri
     train.count()
     val.count()
     data.unpersist()
-    runs = []
     try:
-        for family, spec in grids.items():
-            runs += holdout_search(family, spec, train, val, label, "selected_features", seed,
-                                   parallelism, save_dir)
+        runs = search_grids(grids, train, val, label, "selected_features", seed, parallelism,
+                            save_dir)
     finally:
         train.unpersist()
         val.unpersist()
