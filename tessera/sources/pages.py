@@ -17,8 +17,13 @@ def page_schema(record_schema: StructType) -> StructType:
 
 
 def read_record_pages(spark: SparkSession, path, record_schema: StructType,
-                      glob: str | None = None) -> DataFrame:
+                      glob: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Records of every stored page.  Pages are JSON lines by default;
+    ``multi_line`` reads each file as one (possibly pretty-printed) page, as
+    an API response saved verbatim."""
     r = spark.read.schema(page_schema(record_schema))
+    if multi_line:
+        r = r.option("multiLine", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     pages = r.json(path)

@@ -183,3 +183,15 @@ def test_file_year_tags_and_small_helpers(spark, tmp):
     assert sorted(r.year for r in reg.read(spark, "h").collect()) == [2020, 2021]
     assert preview(df, 1).count() == 1
     assert row_count(df).first().n_rows == 2
+
+
+def test_record_pages_saved_verbatim_one_per_file(spark, tmp):
+    folder = os.path.join(tmp, "verbatim")
+    os.makedirs(folder)
+    for i, recs in enumerate([[{"_id": 1}, {"_id": 2}], [{"_id": 3}], []]):
+        with open(os.path.join(folder, f"page_{i}.json"), "w") as f:
+            json.dump({"help": "...", "success": True, "result": {"records": recs, "total": 3}}, f,
+                      indent=2)
+    rec = StructType().add("_id", LongType())
+    df = read_record_pages(spark, folder, rec, multi_line=True)
+    assert sorted(r._id for r in df.collect()) == [1, 2, 3]
