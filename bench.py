@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.plans import QUERIES  # noqa: E402
+from tessera.plans import COVERS, QUERIES  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
 
@@ -52,11 +52,30 @@ def main() -> None:
     spark.stop()
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     out = {"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-           "queries": times, "sf": sf, "cpus": cpus, "event_log": event_dir}
+           "queries": times, "sf": sf, "cpus": cpus, "groups": groups(times),
+           "event_log": event_dir}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
 
 
+ML_OPS = {"M7", "M8", "M9", "M11", "M13"}
+
+
+def groups(times: dict) -> dict:
+    """Seconds per kind of query: model fits, source/sink round trips, the rest."""
+    out = {"model_fits": 0.0, "sources_sinks": 0.0, "relational": 0.0}
+    for name, sec in times.items():
+        ops = set(COVERS.get(name, "").split())
+        if ops & ML_OPS:
+            kind = "model_fits"
+        elif any(op[0] in "SKT" for op in ops):
+            kind = "sources_sinks"
+        else:
+            kind = "relational"
+        out[kind] = round(out[kind] + sec, 3)
+    return out
+
+
 if __name__ == "__main__":
     main()
