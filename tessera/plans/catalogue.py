@@ -61,6 +61,7 @@ from tessera.operators import (
     union_all,
     with_constant,
 )
+from tessera.models.search import DEFAULT_GRIDS
 from tessera.session import read_table, scratch_path
 from tessera.sinks import write_collection, write_csv, write_parquet, write_partitioned
 from tessera.sources import (
@@ -410,10 +411,10 @@ def linear_regression(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vector_features(spark: SparkSession, sf: str) -> DataFrame:
-    from tessera.models import assemble
-
     from pyspark.ml.functions import vector_to_array
 
+    from tessera.models import assemble
+
     data = mean_impute(_model_input(spark, sf), MODEL_FEATURES)
     vec = assemble(data, MODEL_FEATURES)
     # the vector's values as array<double>: same content, Arrow/pandas friendly
@@ -449,10 +450,10 @@ def gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _fit_and_score(spark, sf, "GBT", {"maxIter": 10, "maxDepth": 5})
 
 
-# The reference's full linear-regression grid (fixed values); tree grids
-# are small here and full by default in ``train_and_validate``.
+# The reference's full linear-regression grid; tree grids are small here
+# and full by default in ``train_and_validate``.
 SEARCH_GRIDS = {
-    "LR": {"regParam": [0.1, 0.01, 0.001], "elasticNetParam": [0.0, 0.5, 1.0]},
+    "LR": DEFAULT_GRIDS["LR"],
     "RF": {"numTrees": [10, 20], "maxDepth": [5]},
     "GBT": {"maxIter": [10], "maxDepth": [4]},
 }
