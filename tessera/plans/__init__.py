@@ -29,6 +29,7 @@ QUERIES = {
     "left_join_two_keys_null": c.left_join_two_keys_null,
     "left_join_fanout": c.left_join_fanout,
     "union_positional": c.union_positional,
+    "union_by_name": c.union_by_name_q,
     "distinct_values": c.distinct_values_q,
     "keyed_dedup": c.keyed_dedup,
     "drop_duplicates_count": c.drop_duplicates_count,
@@ -36,6 +37,7 @@ QUERIES = {
     "global_means": c.global_means_q,
     "mean_impute": c.mean_impute_q,
     "one_hot": c.one_hot_q,
+    "one_hot_discovered": c.one_hot_discovered,
     "correlation_ranking": c.correlation_ranking_q,
     "feature_selection": c.feature_selection,
     "key_split": c.key_split_q,
@@ -77,6 +79,7 @@ COVERS = {
     "left_join_two_keys_null": "J1",
     "left_join_fanout": "J3",
     "union_positional": "U2",
+    "union_by_name": "U1",
     "distinct_values": "U3",
     "keyed_dedup": "U4",
     "drop_duplicates_count": "U4",
@@ -84,6 +87,7 @@ COVERS = {
     "global_means": "A2",
     "mean_impute": "M2 F10",
     "one_hot": "M1 F6",
+    "one_hot_discovered": "M1 U3",
     "correlation_ranking": "A4 M4",
     "feature_selection": "M5",
     "key_split": "M6",

@@ -59,6 +59,7 @@ from tessera.operators import (
     select_features,
     table_profile,
     union_all,
+    union_by_name,
     with_constant,
 )
 from tessera.models.search import DEFAULT_GRIDS
@@ -325,6 +326,15 @@ def union_positional(spark: SparkSession, sf: str) -> DataFrame:
     return union_all([cust, sup])
 
 
+def union_by_name_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers stacked by column name; suppliers have no
+    segment, so theirs is null."""
+    cust = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                            F.col("c_mktsegment").alias("segment"))
+    sup = _t(spark, sf, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
+    return union_by_name([cust, sup])
+
+
 def distinct_values_q(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(_t(spark, sf, "part"), "p_type")
 
@@ -368,6 +378,13 @@ def one_hot_q(spark: SparkSession, sf: str) -> DataFrame:
                    names={"PROMO": "promo", "SMALL": "small"})
 
 
+def one_hot_discovered(spark: SparkSession, sf: str) -> DataFrame:
+    """One indicator column per distinct ``p_type`` found in the data (one
+    bounded distinct job), named by the value."""
+    part = _t(spark, sf, "part").select("p_partkey", "p_type")
+    return one_hot(part, "p_type")
+
+
 def correlation_ranking_q(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem")
     return correlation_ranking(li, ["l_quantity", "l_extendedprice", "l_discount"],

@@ -73,6 +73,9 @@ LEFT JOIN (SELECT nullif(o_orderstatus, 'P') AS st, o_orderpriority AS pr, count
 SELECT n.n_nationkey, s.s_suppkey FROM nation n LEFT JOIN supplier s ON n.n_nationkey = s.s_nationkey""",
     "union_positional": """
 SELECT c_custkey AS id, c_acctbal AS bal FROM customer UNION ALL SELECT s_suppkey, s_acctbal FROM supplier""",
+    "union_by_name": """
+SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer
+UNION ALL SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS segment FROM supplier""",
     "distinct_values": "SELECT DISTINCT p_type FROM part",
     "keyed_dedup": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (
@@ -93,6 +96,15 @@ SELECT p_partkey, round(coalesce(CAST(nullif(p_size, 11) AS DOUBLE),
     "one_hot": """
 SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END AS promo,
        CASE WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS small FROM part""",
+    "one_hot_discovered": """
+SELECT p_partkey,
+       CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS "ECONOMY",
+       CASE WHEN p_type = 'LARGE' THEN 1 ELSE 0 END AS "LARGE",
+       CASE WHEN p_type = 'MEDIUM' THEN 1 ELSE 0 END AS "MEDIUM",
+       CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END AS "PROMO",
+       CASE WHEN p_type = 'SMALL' THEN 1 ELSE 0 END AS "SMALL",
+       CASE WHEN p_type = 'STANDARD' THEN 1 ELSE 0 END AS "STANDARD"
+FROM part""",
     "correlation_ranking": """
 SELECT 'l_quantity' AS feature, round(corr(l_quantity, l_extendedprice * (1 - l_discount)), 6) AS r FROM lineitem
 UNION ALL SELECT 'l_extendedprice', round(corr(l_extendedprice, l_extendedprice * (1 - l_discount)), 6) FROM lineitem
