@@ -22,6 +22,7 @@ QUERIES = {
     "corrupt_filter": c.corrupt_filter,
     "surrogate_key": c.surrogate_key_q,
     "mixed_concat_key": c.mixed_concat_key,
+    "separated_key": c.separated_key,
     "canonicalise": c.canonicalise_q,
     "casts": c.casts,
     "year_from_name": c.year_from_name_q,
@@ -32,6 +33,7 @@ QUERIES = {
     "union_by_name": c.union_by_name_q,
     "distinct_values": c.distinct_values_q,
     "keyed_dedup": c.keyed_dedup,
+    "first_order_per_customer": c.first_order_per_customer,
     "drop_duplicates_count": c.drop_duplicates_count,
     "group_mean_decimal": c.group_mean_decimal,
     "global_means": c.global_means_q,
@@ -72,6 +74,7 @@ COVERS = {
     "corrupt_filter": "P9",
     "surrogate_key": "F1 F2 F3",
     "mixed_concat_key": "F4",
+    "separated_key": "F4",
     "canonicalise": "F1 F5",
     "casts": "F7 F8",
     "year_from_name": "F9 S6",
@@ -82,6 +85,7 @@ COVERS = {
     "union_by_name": "U1",
     "distinct_values": "U3",
     "keyed_dedup": "U4",
+    "first_order_per_customer": "U4",
     "drop_duplicates_count": "U4",
     "group_mean_decimal": "A1 F7",
     "global_means": "A2",

@@ -277,6 +277,13 @@ def mixed_concat_key(spark: SparkSession, sf: str) -> DataFrame:
     return sup.select("s_suppkey", concat_key("s_suppkey", "s_nationkey", F.lit("2020")).alias("_id"))
 
 
+def separated_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The collision-free form of the concatenated key (with a separator)."""
+    sup = _t(spark, sf, "supplier")
+    return sup.select("s_suppkey", concat_key("s_suppkey", "s_nationkey", F.lit("2020"),
+                                              sep="|").alias("_id"))
+
+
 def canonicalise_q(spark: SparkSession, sf: str) -> DataFrame:
     cust = _t(spark, sf, "customer")
     seg = canonicalise("c_mktsegment", pre={"BUILDING": "The Building"},
@@ -347,6 +354,14 @@ def keyed_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return one.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
+def first_order_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's earliest order (ties: lowest order key) — keyed dedup
+    on a key whose groups are as uneven as customers' order counts."""
+    orders = _t(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    first = keep_one(orders, ["o_custkey"], order=["o_orderdate", "o_orderkey"])
+    return first.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
 def drop_duplicates_count(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     return drop_duplicates(li, ["l_orderkey", "l_linenumber"])

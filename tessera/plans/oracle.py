@@ -50,6 +50,9 @@ FROM events WHERE event_type <> 'error'""",
 SELECT p_partkey, concat(lower(regexp_replace(p_name, '\\s', '_', 'g')), CAST(p_size AS VARCHAR)) AS _id FROM part""",
     "mixed_concat_key": """
 SELECT s_suppkey, concat(CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR), '2020') AS _id FROM supplier""",
+    "separated_key": """
+SELECT s_suppkey, concat_ws('|', CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR), '2020') AS _id
+FROM supplier""",
     "canonicalise": """
 SELECT c_custkey,
        CASE lower(CASE c_mktsegment WHEN 'BUILDING' THEN 'The Building' ELSE c_mktsegment END)
@@ -82,6 +85,10 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) AS rn
   FROM lineitem) t WHERE rn = 1""",
+    "first_order_per_customer": """
+SELECT o_custkey, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) t WHERE rn = 1""",
     "drop_duplicates_count": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "group_mean_decimal": """
 SELECT CAST(year(l_shipdate) AS INT) AS year, l_returnflag, l_linestatus,
