@@ -93,3 +93,26 @@ def test_decimal_overflow_raises_or_nulls(spark):
     assert [r[0] for r in df.select(to_decimal_via_float("v", safe=True)).collect()] == [None, Decimal("5.50")]
     with pytest.raises(ArithmeticException):
         df.select(to_decimal_via_float("v")).collect()
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_RULE_INPUTS = list(LISTING_PRE_RULES) + list(LISTING_POST_RULES)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(_RULE_INPUTS), st.text(max_size=20)), min_size=1, max_size=30))
+def test_canonicalise_is_idempotent(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    once = df.select(canonicalise("n", LISTING_PRE_RULES, LISTING_POST_RULES).alias("n"))
+    twice = once.select(canonicalise("n", LISTING_PRE_RULES, LISTING_POST_RULES).alias("n"))
+    assert [r.n for r in once.collect()] == [r.n for r in twice.collect()]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 120), st.integers(0, 120)), min_size=1, max_size=40, unique=True))
+def test_separated_key_is_injective(spark, pairs):
+    df = spark.createDataFrame(pairs, "a int, b int")
+    keys = [r[0] for r in df.select(concat_key("a", "b", sep="|")).collect()]
+    assert len(set(keys)) == len(pairs)
