@@ -74,18 +74,18 @@ def snapshot_files(spark: SparkSession, paths, glob: str | None = None,
 
 def infer_schema(spark: SparkSession, paths, policy: str = "merge", glob: str | None = None,
                  recursive: bool = False, sampling_ratio: float | None = None,
-                 per_file: bool = False) -> StructType:
+                 per_file: bool = False, multi_line: bool = False) -> StructType:
     """``merge``: one inference job over all paths (Spark merges nested
     structs).  ``first``: one job per path, unified first-wins; with
     ``per_file`` the paths are first expanded to their snapshot files in date
     order (one job per file — only for a handful of files)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if policy == "merge":
-        return read_json(spark, paths, glob=glob, recursive=recursive,
+        return read_json(spark, paths, glob=glob, recursive=recursive, multi_line=multi_line,
                          sampling_ratio=sampling_ratio).schema
     if per_file:
         paths, glob, recursive = snapshot_files(spark, paths, glob, recursive), None, False
-    schemas = [read_json(spark, p, glob=glob, recursive=recursive,
+    schemas = [read_json(spark, p, glob=glob, recursive=recursive, multi_line=multi_line,
                          sampling_ratio=sampling_ratio).schema for p in paths]
     return unify_schemas(schemas, "first")
 
@@ -93,21 +93,25 @@ def infer_schema(spark: SparkSession, paths, policy: str = "merge", glob: str |
 def read_snapshots(spark: SparkSession, paths, schema: StructType | None = None,
                    policy: str = "merge", glob: str = "*.json", recursive: bool = True,
                    years=None, corrupt: bool = True, sampling_ratio: float | None = None,
-                   year_col: str = "year", date_col: str | None = "snapshot_date") -> DataFrame:
+                   year_col: str = "year", date_col: str | None = "snapshot_date",
+                   multi_line: bool = False) -> DataFrame:
     """All snapshot files below ``paths`` in one scan.
 
     Adds ``year`` (INT) and ``snapshot_date`` (DATE) parsed from each file's
-    path; files without a ``YYYY_MM_DD`` in their path get nulls.  ``years``
+    path; files without a ``YYYY_MM_DD`` in their path get nulls.
+    ``multi_line`` reads each file as one JSON value (pretty-printed arrays);
+    by default a file holds JSON lines or one-line arrays.  ``years``
     keeps only snapshots of those years (pruned per file via the metadata
     column).  ``corrupt`` keeps malformed lines in ``_corrupt_record``."""
     if schema is None:
         try:
-            schema = infer_schema(spark, paths, policy, glob, recursive, sampling_ratio)
+            schema = infer_schema(spark, paths, policy, glob, recursive, sampling_ratio,
+                                  multi_line=multi_line)
         except AnalysisException as e:  # no file matched, or the folder is missing
             raise NoSnapshots(f"no snapshot files under {paths} matching {glob}") from e
         schema = StructType([f for f in schema.fields if f.name != CORRUPT_COLUMN])
     df = read_json(spark, paths, schema=schema, glob=glob, recursive=recursive,
-                   corrupt_column=CORRUPT_COLUMN if corrupt else None)
+                   multi_line=multi_line, corrupt_column=CORRUPT_COLUMN if corrupt else None)
     y = F.regexp_extract(file_path(), DATE_PATTERN, 1)
     df = df.withColumn(year_col, F.when(y == "", None).otherwise(y).cast("int"))
     if date_col:

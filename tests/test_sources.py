@@ -195,3 +195,12 @@ def test_record_pages_saved_verbatim_one_per_file(spark, tmp):
     rec = StructType().add("_id", LongType())
     df = read_record_pages(spark, folder, rec, multi_line=True)
     assert sorted(r._id for r in df.collect()) == [1, 2, 3]
+
+
+def test_pretty_printed_snapshot_arrays(spark, tmp):
+    land = os.path.join(tmp, "pretty")
+    os.makedirs(land)
+    with open(os.path.join(land, LISTING_GLOB.replace("*", "2020_03_04")), "w") as f:
+        json.dump([listing("7", 10, "x"), listing("8", 20, "y")], f, indent=2)
+    df = read_snapshots(spark, land, glob=LISTING_GLOB, recursive=False, multi_line=True)
+    assert sorted((r.propertyCode, r.year) for r in df.collect()) == [("7", 2020), ("8", 2020)]
