@@ -135,7 +135,8 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
     if parallelism > 1:
         # inheritable: pool threads keep the caller's job group / description / pool
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            return list(pool.map(inheritable_thread_target(one), tasks))
+            target = inheritable_thread_target(train.sparkSession)(one)
+            return list(pool.map(target, tasks))
     return [one(t) for t in tasks]
 
 

@@ -167,7 +167,7 @@ def format_income(spark: SparkSession, landing, schema: StructType = INCOME_SCHE
                   glob: str = INCOME_GLOB) -> DataFrame:
     """CSV pages of income records -> lower-case neighbourhood -> ``_id`` =
     record id || district code || year (no separator, as the source key)."""
-    df = read_csv(spark, landing, schema=schema, glob=glob)
+    df = read_csv(spark, landing, schema=schema, glob=glob, check_header=True)
     df = df.withColumn("Nom_Barri", F.lower("Nom_Barri"))
     return df.withColumn("_id", concat_key("_id", "Codi_Districte", "Any"))
 

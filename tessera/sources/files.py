@@ -53,11 +53,17 @@ def read_json(spark: SparkSession, path, schema: StructType | None = None,
 
 def read_csv(spark: SparkSession, path, schema: StructType | None = None,
              header: bool = True, infer: bool = False, glob: str | None = None,
-             recursive: bool = False) -> DataFrame:
+             recursive: bool = False, check_header: bool = False) -> DataFrame:
     """CSV with header.  Prefer one explicit schema for a set of files: per
-    file inference can disagree between files."""
+    file inference can disagree between files.
+
+    An explicit schema is applied by position; ``check_header`` makes every
+    file's header be checked against the schema's names, so a file with
+    its columns in another order fails instead of loading into the wrong
+    columns."""
     r = _reader(spark, schema, glob, recursive, header=str(header).lower(),
-                inferSchema=str(infer and schema is None).lower())
+                inferSchema=str(infer and schema is None).lower(),
+                enforceSchema="false" if (check_header and schema is not None) else None)
     return r.csv(path)
 
 

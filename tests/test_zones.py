@@ -134,3 +134,17 @@ def test_income_pages_land_as_csv_then_format(spark, tmp):
     df = format_income(spark, landed, glob="*.csv")
     assert sorted(r._id for r in df.collect()) == ["132020", "232020"]
     assert df.first().Nom_Barri == "el poble sec - aei parc montjuïc"
+
+
+def test_income_csv_with_columns_in_another_order_fails_loudly(spark, tmp):
+    import pytest
+
+    from tessera.plans.zones import format_income
+
+    land = os.path.join(tmp, "odd")
+    os.makedirs(land)
+    with open(os.path.join(land, "income_url_9.csv"), "w") as f:
+        f.write("Any,_id,Codi_Districte,Nom_Districte,Codi_Barri,Nom_Barri,Seccio_Censal,Import_Euros\n"
+                "2020,1,3,Sants,11,x,1,20000\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        format_income(spark, land).collect()
