@@ -63,7 +63,9 @@ def write_collection(df: DataFrame, path: str, key: str = "_id", fmt: str = "jso
     The key must be non-null and unique; that is checked first with one
     distributed aggregate over the key column only (the reference's
     document store rejects duplicates on insert).  Nothing goes through the
-    driver."""
+    driver.  The check and the write each evaluate ``df``: pass a stored
+    (or persisted) frame when it is expensive to compute, as ``build_zones``
+    does with the formatted tables it has just written."""
     bad = duplicate_keys(df, [key]).limit(1).collect()
     if bad:
         raise DuplicateKey(f"key {key!r} is null or not unique, e.g. {bad[0][key]!r}")
