@@ -80,7 +80,7 @@ class PieceIds:
             pieces = CHUNK.findall(text)
         if len(self.code) > CACHE_WORDS:
             self.clear()
-        new = set(pieces) - self.code.keys()
+        new = {p for p in set(pieces) if p not in self.code}
         if new:
             self.learn(new)
         codes = np.fromiter(map(self.code.__getitem__, pieces), np.int64, len(pieces))
