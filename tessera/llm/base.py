@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -17,8 +16,9 @@ from tessera.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
-#: rows up to which a small side may be broadcast; beyond it the same join shuffles
+#: rows and bytes up to which a small side may be broadcast; beyond either the same join shuffles
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -47,14 +47,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a stored table for broadcast only if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """``df`` stored with a column ``__row``: distinct, and the same on every later read."""
-    return stored(df.withColumn("__row", F.monotonically_increasing_id()), name)
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a stored table for broadcast only if it has at most ``rows`` rows and ``size`` bytes."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() in ("string", "binary")
+            else F.lit(16) for f in df.schema.fields]
+    found = df.agg(F.count("*").alias("n"), F.sum(sum(wide, F.lit(0))).alias("b")).first()
+    return F.broadcast(df) if found.n <= rows and (found.b or 0) <= size else df
 
 
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
@@ -90,10 +88,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])
 
 
-def run_tag() -> str:
-    return uuid.uuid4().hex[:8]
-
-
 def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable vertex of every vertex: ``(v, component)``.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-from .base import BROADCAST_ROWS, stored, text_of, word_count
+from .base import small, stored, text_of, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_RATE = 3
@@ -76,11 +76,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE, seed: str =
     targets = stored(source_targets(ranked_sources(sized, weights), max_rate), "targets")
     targets = targets.select(F.col("source").alias("__source"), F.col("source_size").alias("__total"),
                              F.col("target").alias("__target"))
-    if targets.count() <= BROADCAST_ROWS:
-        targets = F.broadcast(targets)
     rate = F.when(F.col("__total") > 0, F.col("__target") / F.col("__total")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + (draw(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("long")
-    return (sized.join(targets, F.col("source").eqNullSafe(F.col("__source")))
+    return (sized.join(small(targets), F.col("source").eqNullSafe(F.col("__source")))
             .withColumn("source_size", F.col("__total")).withColumn("target", F.col("__target"))
             .withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
             .drop("__source", "__total", "__target"))

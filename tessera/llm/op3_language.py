@@ -153,7 +153,7 @@ def word_marginals(texts: list, model: dict, cache: dict | None = None) -> list:
         cache.clear()
         cache["code"] = {}
     code = cache["code"]
-    new = list({w for ws in words for w in ws} - code.keys())
+    new = [w for w in {w for ws in words for w in ws} if w not in code]
     if new:
         made = scores_of(new, model["weights"], model["lexicon"])
         have = cache.get("n", 0)

@@ -62,8 +62,9 @@ def portions(texts: list, chars: int = PORTION):
         yield begin, len(texts)
 
 
-def repeated_places(rows: DataFrame, places, buckets: int, name: str) -> DataFrame:
-    """(key, at): for each text key the places whose value occurs at least twice in all rows, stored.
+def repeated_places(rows: DataFrame, places, buckets: int, name: str, runs: bool = False) -> DataFrame:
+    """(key, at): for each text key the places whose value occurs at least twice in all rows, stored;
+    with ``runs`` as first and last place of each run of consecutive ones.
 
     ``places(batch, i, j)`` gives (values, row, place) of rows i to j of an Arrow batch.  Values
     that repeat within a portion are reported on the spot, and each value is sent to its bucket
@@ -128,6 +129,9 @@ def repeated_places(rows: DataFrame, places, buckets: int, name: str) -> DataFra
         cut = np.searchsorted(doc, have)
         found = {}
         for d, part in zip(have.tolist(), np.split(at, cut[1:])):
+            if runs:
+                cuts = np.flatnonzero(np.diff(part) > 1)
+                part = np.stack((part[np.concatenate(([0], cuts + 1))], part[np.concatenate((cuts, [-1]))]), 1)
             found.setdefault(keys[d], part.tobytes())       # equal texts have equal places
         return pa.table({"key": pa.array(list(found), pa.string()), "at": pa.array(list(found.values()), pa.binary())})
 
@@ -143,7 +147,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(key, at): for each text (by its key, see ``keyed``) the starts of its windows of
     ``width`` words whose words also start a window elsewhere, in the same text or another
-    row; as little-endian 32-bit numbers.  Stored.
+    row; as runs, the first and last start of each, in 32-bit numbers.  Stored.
 
     Windows are compared by 64-bit hash.  Places with a repeated anchor are the only ones that
     can repeat, and the windows there are counted over all rows.  Equal rows repeat each other."""
@@ -178,14 +182,14 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
             (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
     some = rows.join(small(likely), "key")
-    return repeated_places(some.select("key", "text", "at"), windows, max(8, chars // 40 // BUCKET_ROWS + 1), "windows")
+    return repeated_places(some.select("key", "text", "at"), windows, max(8, chars // 40 // BUCKET_ROWS + 1), "windows", runs=True)
 
 
-def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
-    """Mask of the words inside any window that starts at ``starts``."""
+def covered(n: int, first: np.ndarray, last: np.ndarray, width: int) -> np.ndarray:
+    """Mask of the words inside any window that starts from ``first`` to ``last``, run by run."""
     steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + width, -1)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, last + width, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -204,7 +208,8 @@ def strip(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
             words = WORD_RE.findall(text)
             n.append(len(words))
             if at:
-                gone = covered(len(words), np.frombuffer(at, np.int32).astype(np.int64), width)
+                first, last = np.frombuffer(at, np.int32).astype(np.int64).reshape(-1, 2).T
+                gone = covered(len(words), first, last, width)
                 words = [w for w, g in zip(words, gone.tolist()) if not g]
             removed.append(n[-1] - len(words))
             texts.append(" ".join(words))
@@ -304,7 +309,7 @@ def past_shard(rows: DataFrame, shard, width: int, schema: str) -> DataFrame:
                 words = hash_words([text])[0].tolist()
                 ends = np.flatnonzero(np.array(automaton.statistics(words), np.int64) >= width)
                 mask = np.frombuffer(gone, bool) if gone is not None else np.zeros(len(words), bool)
-                out.append((mask | covered(len(words), ends - width + 1, width)).tobytes())
+                out.append((mask | covered(len(words), ends - width + 1, ends - width + 1, width)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(out, pa.binary())],
                                              names=["doc_id", "text", "gone"])
 
