@@ -24,6 +24,7 @@ from .base import by_bucket, components, hash_words, map_batches, mix, small, st
 WIDTH = 4                    # words a shingle
 PERCENT = 85                 # similarity from which two documents link, in percent
 DIMS = 32                    # coordinates of a point
+FINE = 256                   # finer groups: the same bound, closer, for what the tree lets through
 NODE = 16                    # entries of an R-tree node
 BLOCK = 512                  # rows of a group that one task compares with another such block
 BUCKET_ROWS = 1_500_000      # signatures a bucket should hold
@@ -220,8 +221,21 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")
 
 
-def point(grams: np.ndarray) -> np.ndarray:
-    return np.bincount((grams & np.uint64(DIMS - 1)).astype(np.int64), minlength=DIMS)
+def fine_point(grams: np.ndarray) -> np.ndarray:
+    return np.bincount((grams & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+
+
+def coarse(points: np.ndarray) -> np.ndarray:
+    """Counts of ``DIMS`` groups from those of the ``FINE`` ones."""
+    return points.reshape(len(points), FINE // DIMS, DIMS).sum(axis=1)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.uint16 if counts.max(initial=0) < 65536 else np.uint32).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 * FINE else np.uint32).astype(np.int64)
 
 
 def enough(overlap, a, b, percent: int = PERCENT):
@@ -239,7 +253,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for ka, kb, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ga", "gb"))):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             if enough(min(len(x), len(y)), len(x), len(y), percent) \
-                    and enough(np.minimum(point(x), point(y)).sum(), len(x), len(y), percent):
+                    and enough(np.minimum(fine_point(x), fine_point(y)).sum(), len(x), len(y), percent):
                 both = np.sort(np.concatenate((x, y)))
                 if enough(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent):
                     a.append(ka)
@@ -279,8 +293,8 @@ def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
 
     Groups with the same members count once.  A group is cut into blocks of about
     ``BLOCK`` rows and two blocks meet in one task, so no task holds a whole large group."""
-    points = map_batches(sets, "k bigint, point array<int>", lambda b: {
-        "k": b.column("k"), "point": [point(np.frombuffer(g, np.uint64)).tolist() for g in b.column("grams").to_pylist()]})
+    points = map_batches(sets, "k bigint, point binary", lambda b: {
+        "k": b.column("k"), "point": [packed(fine_point(np.frombuffer(g, np.uint64))) for g in b.column("grams").to_pylist()]})
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
     groups = rows.groupBy("sig").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
@@ -296,7 +310,8 @@ def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block, k, c = (table.column(x).to_numpy() for x in ("block", "k", "component"))
-        pts = np.array(table.column("point").to_pylist(), np.int64).reshape(-1, DIMS)
+        fine = np.array([unpacked(p) for p in table.column("point").to_pylist()]).reshape(-1, FINE)
+        pts, size = coarse(fine), fine.sum(axis=1)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         a, b = [], []
         if len(left) and len(right):
@@ -304,6 +319,7 @@ def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
             for x in left:
                 hit = right[tree.search(pts[x], percent)]
                 hit = hit[c[hit] != c[x]]
+                hit = hit[enough(np.minimum(fine[hit], fine[x]).sum(axis=1), size[hit], size[x], percent)]
                 a.append(np.minimum(k[hit], k[x]))
                 b.append(np.maximum(k[hit], k[x]))
         empty = [np.zeros(0, np.int64)]

@@ -74,7 +74,8 @@ class PieceIds:
             self.add(p, e.ids)
 
     def ids(self, text: str) -> np.ndarray:
-        if unicodedata.is_normalized("NFC", text) and "İ" not in text:
+        # lower case by letter is that of the whole piece, but for these two letters
+        if "İ" not in text and "Σ" not in text and unicodedata.is_normalized("NFC", text):
             pieces = [p.lower() if p.isalpha() else p for p in PIECE.findall(text)]
         else:
             pieces = CHUNK.findall(text)

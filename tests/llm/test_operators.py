@@ -1,0 +1,431 @@
+"""Every dealt operator on odd tables: nulls, empty and long texts, ties, repeated rows, no
+rows, clashing column names; each against a plain brute-force version."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tessera import llm
+from tessera.llm import (base, op1_neighbours, op2_mixing, op3_language, op4_pii, op5_quality, op6_html, op7_substring,
+                         op8_lm, op9_packing, op10_jaccard)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string, word string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EN = "the of and to in is that it for on was with as be by this from are".split()
+DE = "der die und das nicht mit ein auf sich von dem den für ist werden wird".split()
+
+
+def prose(rng, vocabulary, n):
+    words = [rng.choice(vocabulary) + rng.choice(["", "", "ing", "heit"][:2 if vocabulary is EN else 4]) for _ in range(n)]
+    return " ".join(words[:n // 2]) + ".\n" + " ".join(words[n // 2:])
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    out = []
+
+    def add(text, lang="en", source="a", doc_id=None):
+        out.append((len(out) if doc_id is None else doc_id, text, lang, source, len(text) if text else None, "x", "y", "z"))
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    for i in range(60):
+        vocabulary, lang = (EN, "en") if i % 2 else (DE, "de")
+        own = [w + str(rng.randrange(40)) * (rng.random() < 0.3) for w in vocabulary * 3]
+        add(prose(rng, own if i % 3 else vocabulary, rng.randrange(20, 300)), lang, rng.choice(["a", "a", "b", "c", None]))
+    body = [f"w{i}" for i in range(200)]
+    for k in range(12):                                   # near copies
+        words = list(body)
+        for j in range(k):
+            words[(37 * j) % 200] = f"edit{k}-{j}"
+        add(" ".join(words), None if k % 2 else "en", "hot")
+    for k in range(3):                                    # exact copies, and a shared passage
+        add("Mail a.b@c.org, now: 4111 1111 1111 1111 and 10.0.0.255 or +49 (30) 1234-567.", "en", "b")
+        add(f"start{k} {passage} end{k}", "en", "c")
+    for text in (None, "", " \t\n", "one", "one two three", "ONE Two\x0bthree", "12345 .!? 99", "a b c d e a b c d e f"):
+        add(text, None, None)
+    add("\n".join(["same line of some words here"] * 4 + ["other"]), "en", "b")
+    add(" ".join(f"long{i % 997}" for i in range(30_000)), "en", "a")
+    add("x" * 50_000 + " @ " + "1" * 5_000, "en", "a")
+    out.append((5, "second row with a taken id", "en", "a", 26, None, None, None))
+    out.append((None, "a row without an id", "en", "a", 19, None, None, None))
+    out.append(out[-1])
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def same_as_sql(spark, docs, rows, got, sql):
+    con = duckdb.connect()
+    documents = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    con.register("d0", documents)
+    con.execute("CREATE VIEW documents AS SELECT * FROM d0")
+    rel = con.sql(sql)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(key, got.select(*rel.columns).collect())) == sorted(map(key, rel.fetchall()))
+
+
+def test_mixing(spark, docs, rows, none):
+    got = op2_mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    same_as_sql(spark, docs, rows, got, op2_mixing.SQL)
+    copies = op2_mixing.emit(docs)
+    assert copies.columns == docs.columns
+    assert copies.count() == op2_mixing.mix(docs).agg(F.sum("copies")).first()[0]
+    assert op2_mixing.mix(none).count() == 0 and op2_mixing.emit(none).count() == 0
+
+
+def test_targets_fill_up(spark):
+    sized = spark.createDataFrame([(f"s{i}", 10 ** (i % 4)) for i in range(9)], "source string, size long")
+    got = op2_mixing.source_targets(op2_mixing.ranked_sources(sized)).collect()
+    assert math.isclose(sum(r.target for r in got), sum(r.source_size for r in got))
+    assert all(r.target <= 3 * r.source_size for r in got)
+    free = {round(r.target / r.weight, 6) for r in got if r.target < 3 * r.source_size}
+    assert len(free) == 1
+
+
+def test_quality(spark, docs, rows, none):
+    got = op5_quality.judge(docs)
+    want = op5_quality.SQL
+    same_as_sql(spark, docs, rows, got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                              "base_failed", "kept", "words_left"), want)
+    assert op5_quality.judge(none).count() == 0
+
+
+def test_boilerplate_lines_go(spark):
+    rows = [(i, f"shared boilerplate line\nown text number {i} with several more words to keep {i}", "h") for i in range(30)]
+    rows += [(100 + i, f"shared boilerplate line\nx{i} is all that is left" if i else "Shared  Boilerplate LINE\n" + "shared boilerplate line\n" * 3, "h")
+             for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in op5_quality.clean(docs).collect()}
+    assert kept[3] == "own text number 3 with several more words to keep 3" and 100 not in kept
+
+
+def brute_spans(text):
+    """The base kinds by the plain patterns of the contract."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m.group())
+        if 16 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_pii_base_spans_on_random_text():
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice(["@", ".", "a.b@c-d.e", "+1 ", "4111 1111-1111 1111", "0", "255", "10.0.0.1", " ", "-", "(", "é", "_", "3" * 8])
+                       for _ in range(rng.randrange(1, 14)))
+        base = op4_pii.base_spans(text)
+        assert [(k, a, b) for k in op4_pii.KINDS for a, b in base[k]] == brute_spans(text), text
+
+
+def test_pii(spark, docs, rows, none):
+    found = op4_pii.find(docs).collect()
+    assert len(found) == len(rows)
+    by_id = {r.doc_id: r.found for r in found if r.doc_id is not None and r.doc_id > 10}
+    hit = next(r for r in rows if r[1] and r[1].startswith("Mail"))
+    assert [s["kind"] for s in by_id[hit[0]]] == ["email", "ip", "card", "phone"]
+    red = op4_pii.redact(docs)
+    text = red.where(F.col("doc_id") == hit[0]).first()
+    assert text.text == "Mail [EMAIL], now: [CARD] and [IP] or [PHONE]." and text.n_chars == len(text.text)
+    assert red.columns == docs.columns and op4_pii.find(none).count() == 0
+    spans = op4_pii.spans_of("iban DE89 3704 0044 0532 0130 00 AND password=4a7d6039222173ea63; DE88 3704 0044 0532 0130 00")
+    assert [s[0] for s in spans if s[0] in op4_pii.EXTRA] == ["iban", "secret"]
+
+
+def test_language(spark, docs, none):
+    model = op3_language.train(docs)
+    got = {(r.doc_id, r.text): r for r in op3_language.predict(docs, model, carry=("doc_id", "text", "lang")).collect()}
+    known = [r for r in got.values() if r.lang and r.doc_id is not None and r.doc_id < 60]
+    assert np.mean([r.lang == r.lang_pred for r in known if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]) > 0.95
+    assert all(r.lang_pred == "und" and r.score == 0 for (_, t), r in got.items() if not re.search("[A-Za-z]", t or ""))
+    assert all(0 <= r.score <= 1 for r in got.values())
+    blank = op3_language.predict(docs, op3_language.train(none)).collect()
+    assert {r.lang_pred for r in blank} == {"und"} and op3_language.predict(none, model).count() == 0
+    words, m = op3_language.word_marginals(["the that this with from die und nicht werden wird"], model)[0]
+    labels = [model["labels"][i] for i in m.argmax(axis=1)]
+    assert labels[:5] == ["en"] * 5 and labels[-4:] == ["de"] * 4           # a switch within one text
+
+
+def test_forward_backward_is_exact():
+    rng = np.random.default_rng(1)
+    emit, trans = rng.normal(size=(1, 4, 3)), rng.normal(size=(3, 3))
+    gamma, *_, log_z = op3_language.forward_backward(emit, trans, np.ones((1, 4), bool))
+    weight = collections.Counter()
+    total = 0
+    for path in np.ndindex(3, 3, 3, 3):
+        w = math.exp(sum(emit[0, t, y] for t, y in enumerate(path)) + sum(trans[a, b] for a, b in zip(path, path[1:])))
+        total += w
+        for t, y in enumerate(path):
+            weight[t, y] += w
+    assert np.allclose(gamma[0], [[weight[t, y] / total for y in range(3)] for t in range(4)])
+    assert math.isclose(log_z, math.log(total))
+
+
+def test_message_passing_is_exact():
+    rng = random.Random(2)
+    parents, unary = [-1, 0, 0, 1, 1, 2], [rng.gauss(0, 1) for _ in range(6)]
+    edge = {k: rng.gauss(0, 1) for k in ((0, 0), (0, 1), (1, 0), (1, 1))}
+    prob, _ = op6_html.pass_messages(parents, unary, edge)
+    total, on = 0, [0] * 6
+    for y in np.ndindex(*[2] * 6):
+        w = math.exp(sum(u for u, v in zip(unary, y) if v) + sum(edge[y[parents[i]], y[i]] for i in range(1, 6)))
+        total += w
+        on = [o + w * v for o, v in zip(on, y)]
+    assert np.allclose(prob, [o / total for o in on])
+
+
+def test_html(spark):
+    article = "<article><h1>Title &amp; more</h1><p>First <b>bold</b> para&shy;graph<br>goes on, with enough words to look like text.<p>Second one.</article>"
+    pages = [f"<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=/x>Menu {i}</a></ul></nav>"
+             f"<div class='ad'>Buy {i}</div>{article}<div class=comments><p>Reader says {i}</p></div><footer>foot</footer></body></html>" for i in range(20)]
+    pages += [pages[0].replace("article>", "div>"), None, "", "<", "plain words only", "<p" * 2000, "a < b & c <d", "<div>" * 5000 + "deep"]
+    table = spark.createDataFrame([(i, f"u{i}", p, "x") for i, p in enumerate(pages)], "page_id long, url string, html string, text string")
+    got = {r.page_id: r for r in op6_html.extract(table).collect()}
+    want = "Title & more First bold para­graph goes on, with enough words to look like text. Second one."
+    assert all(got[i].text == want and got[i].n_chars == len(want) for i in range(20))
+    assert want in got[20].text and "Reader" not in got[20].text and "Menu" not in got[20].text
+    assert got[21].text == got[22].text == "" and len(got) == len(pages)
+    assert op6_html.extract(table.limit(0)).count() == 0
+
+
+def brute_windows(rows, width):
+    words = [WORD.findall(r[1] or "") for r in rows]
+    count = collections.Counter(tuple(w[i:i + width]) for w in words for i in range(len(w) - width + 1))
+    out = []
+    for r, w in zip(rows, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - width + 1):
+            if count[tuple(w[i:i + width])] > 1:
+                gone[i:i + width] = [True] * width
+        out.append((r[0], " ".join(x for x, g in zip(w, gone) if not g), len(w), sum(gone)))
+    return out
+
+
+def test_substring(spark, docs, rows, none):
+    key = lambda r: (r[0] is None, r)
+    got = [tuple(r) for r in op7_substring.strip(docs).collect()]
+    clean = [tuple(-1 if v is None else v for v in r) for r in got]
+    want = [tuple(-1 if v is None else v for v in r) for r in brute_windows(rows, 35)]
+    assert sorted(clean, key=key) == sorted(want, key=key)
+    assert op7_substring.strip(none).count() == 0
+
+
+def test_substring_against_reference(spark, docs, rows):
+    reference = spark.createDataFrame([(r[1],) for r in rows if r[1] and "start1" in r[1]] + [(None,)], "text string")
+    got = op7_substring.strip_reference(docs, reference, shard_words=20)
+    hit = {r.text: r.n_removed for r in got.where("n_removed > 0").collect()}
+    assert hit == {"start0 end0": 60, "": 62, "start2 end2": 60}
+
+
+def test_suffix_automaton_statistics():
+    rng = random.Random(4)
+    ref = [rng.randrange(3) for _ in range(60)]
+    text = [rng.randrange(3) for _ in range(80)]
+    has = {tuple(ref[i:j]) for i in range(60) for j in range(i, 61)}
+    want = [max(k for k in range(i + 2) if tuple(text[i + 1 - k:i + 1]) in has) for i in range(80)]
+    assert op7_substring.SuffixAutomaton(ref).statistics(text) == want
+
+
+def test_lm(spark, docs, rows, none):
+    got = op8_lm.score(docs, most=200).collect()
+    assert len(got) == len(rows) and op8_lm.score(none).count() == 0
+    half = {r.text: r.half for r in op8_lm.with_half(docs.select("text")).collect()}
+    words = [(r[1] or "", base.hash_words([r[1]])[0].view(np.int64).tolist()) for r in rows]
+    counted = op8_lm.word_counts(op8_lm.with_half(docs.select("text")))
+    kept = set(op8_lm.vocabulary(counted, 200)[0].tolist())
+    uni, bi, size = collections.Counter(), collections.Counter(), collections.Counter()
+    for t, ws in words:
+        ids = [w if w in kept else "?" for w in ws]
+        for v, w in zip(["^", *ids], ids):
+            uni[half[t], w] += 1
+            bi[half[t], v, w] += 1
+            size[half[t]] += 1
+        uni[half[t], "^"] += bool(ids)
+    want = collections.Counter()
+    for r, (t, ws) in zip(rows, words):
+        ids, h, p = [w if w in kept else "?" for w in ws], 1 - half[t], 0.0
+        for v, w in zip(["^", *ids], ids):
+            if bi[h, v, w]:
+                p += math.log(bi[h, v, w] / uni[h, v])
+            elif uni[h, w]:
+                p += math.log(0.4 * uni[h, w] / size[h])
+            else:
+                p += 2 * math.log(0.4) - math.log(len(kept) + 1)
+        want[r[0], len(ws), round(p, 6)] += 1
+    assert collections.Counter((r.doc_id, r.n_words, round(r.log_prob, 6)) for r in got) == want
+    assert all((r.score is None) == (r.n_words == 0) for r in got)
+
+
+def test_packing(spark, docs, rows, none):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(op9_packing.vocabulary_path())
+    got = op9_packing.pack(docs, with_ids=True)
+    out = got.collect()
+    want = collections.Counter()
+    for r in rows:
+        ids = tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [1]
+        for k, a in enumerate(range(0, len(ids), 4096)):
+            part = np.array(ids[a:a + 4096], "<u4")
+            want[r[0], k, a, len(part), zlib.crc32(part.tobytes())] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == want
+    fill = collections.defaultdict(list)
+    for r in out:
+        fill[r.sequence_id].append((r.offset, r.length))
+    for parts in fill.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    joined = {r.sequence_id: r.ids for r in op9_packing.sequences(got).collect()}
+    assert all(joined[r.sequence_id][r.offset:r.offset + r.length] == r.ids for r in out)
+    assert op9_packing.pack(none).count() == 0
+
+
+def test_piece_ids_equal_whole_text_ids():
+    from tokenizers import Tokenizer
+
+    path = op9_packing.vocabulary_path()
+    tokenizer, pieces = Tokenizer.from_file(path), op9_packing.PieceIds(path)
+    rng = random.Random(8)
+    parts = ["don't", "İstanbul", "éa", "straße", "ΑΣ", "x½y", "a²", "can't've", "日本語", "#$%", " ", "\n", " ", "12a3", "Ünï", "'s", "O'S", " ", "ŉ"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))
+        assert pieces.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_plan_is_close_to_the_bound():
+    rng = random.Random(6)
+    counts = collections.Counter(min(100, int(rng.lognormvariate(3, 0.8)) + 1) for _ in range(5000))
+    runs = op9_packing.plan(dict(counts), 100)
+    used = collections.Counter()
+    for length, a, b, first, each, _ in runs.tolist():
+        for r in range(b - a):
+            used[first + r // each] += length
+    assert max(used.values()) <= 100 and sum(used.values()) == sum(k * n for k, n in counts.items())
+    assert len(used) <= 1.02 * math.ceil(sum(used.values()) / 100)
+
+
+def brute_groups(rows):
+    lower = str.maketrans({c: chr(ord(c) + 32) for c in map(chr, range(65, 91))})
+    sets = []
+    for r in rows:
+        w = WORD.findall((r[1] or "").translate(lower))
+        sets.append(frozenset([tuple(w[i:i + 4]) for i in range(len(w) - 3)] if len(w) > 3 else [tuple(w)] if w else []))
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    low = {}
+    for i, r in enumerate(rows):
+        if sets[i] and r[0] is not None:
+            low[find(i)] = min(low.get(find(i), r[0]), r[0])
+    return collections.Counter((r[0], len(sets[i]), low.get(find(i)) if sets[i] else r[0]) for i, r in enumerate(rows))
+
+
+def test_jaccard(spark, docs, rows, none):
+    got = collections.Counter(tuple(r) for r in op10_jaccard.link_groups(docs).collect())
+    assert got == brute_groups(rows)
+    assert op10_jaccard.link_groups(none).count() == 0
+    kept = op10_jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 2
+
+
+def test_signatures_lose_no_link():
+    rng = np.random.default_rng(9)
+    for n in (7, 20, 60, 300, 2000):
+        base_set = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for _ in range(20):
+            gone = rng.integers(0, max(1, int(0.08 * n)) + 1)
+            other = np.unique(np.concatenate((rng.permutation(base_set)[gone:], rng.integers(0, 2**64, gone, dtype=np.uint64))))
+            inter = len(np.intersect1d(base_set, other))
+            if 100 * inter >= 85 * (len(base_set) + len(other) - inter) and len(other) and len(np.setxor1d(base_set, other)):
+                s, owner = op10_jaccard.signatures([base_set, other])
+                assert set(s[owner == 0].tolist()) & set(s[owner == 1].tolist())
+
+
+def test_tree_search_equals_scan():
+    rng = np.random.default_rng(3)
+    pts = rng.poisson(3, (300, op10_jaccard.DIMS))
+    pts[50:80] = pts[50] + rng.integers(0, 2, (30, op10_jaccard.DIMS))
+    tree = op10_jaccard.RTree(pts)
+    for q in pts[::17]:
+        want = np.flatnonzero(op10_jaccard.enough(np.minimum(pts, q).sum(1), pts.sum(1), q.sum()))
+        assert set(tree.search(q, 85).tolist()) == set(want.tolist())
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(600, 16)).astype(np.float32)
+    vecs[100:140] = vecs[100]                              # a vector that many rows share
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(vecs)]
+    rows += [(700, None, "x"), (720, [0.0] * 16, "x"), (740, [float("nan")] * 16, "x"), (760, [1.0], "x"), (None, vecs[0].tolist(), "x"),
+             (780, [None] * 16, "x"), (800, [float("inf")] * 16, "x"), rows[3], rows[20]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string").repartition(4)
+    got = collections.defaultdict(list)
+    for r in op1_neighbours.neighbours(table).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 600, 20))
+    v, recall = vecs.astype(np.float64), []
+    for q, found in got.items():
+        found.sort()
+        s = np.zeros(600)
+        for d in range(16):
+            s += v[q, d] * v[:, d]
+        assert [r for r, _, _ in found] == list(range(1, 21)) and all(x == s[i] for _, i, x in found)
+        assert found == [(k + 1, i, x) for k, (i, x) in enumerate(sorted(((i, x) for _, i, x in found), key=lambda t: (-t[1], t[0])))]
+        order = [i for i in np.lexsort((np.arange(600), -s)) if i != q][:20]
+        recall.append(len({i for _, i, _ in found} & set(order)) / 20)
+    assert np.mean(recall) >= 0.9
+    few = spark.createDataFrame(rows[:5], table.schema)
+    assert op1_neighbours.neighbours(few).count() == 4 and op1_neighbours.neighbours(few.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 600)]
+    root = {i: i for i in range(700)}
+    for _ in range(200):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = base.components(spark.range(700).select(F.col("id").alias("v")), spark.createDataFrame(pairs, "a long, b long"))
+    assert {r.v: r.component for r in got.collect()} == root
+
+
+def test_registered_queries():
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in llm.QUERIES} == set(range(1, 11))
+    assert hashlib.sha256(b"").hexdigest() == op4_pii.digest([])[0]
