@@ -133,7 +133,9 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     points = classes_of(valid_rows(vectors, id_col, vec_col), top, query_every)
     stats = points.agg(F.count("*").alias("n"), F.max(F.aggregate(
         "vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("longest")).first()
-    longest = stats.longest or 0.0
+    if not stats.n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    longest = stats.longest
     picked = points.orderBy(F.xxhash64("k1"), "k2").limit(sample).select("vec").collect()
     fitted = np.array([r.vec for r in picked], np.float64).reshape(len(picked), -1)
     lift = lambda v: np.c_[v, np.sqrt(np.maximum(0, longest - (v * v).sum(axis=1)))]
