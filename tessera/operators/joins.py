@@ -63,7 +63,9 @@ def enrich(fact: DataFrame, dim: DataFrame, keys, how: str = "left",
     if strategy == "auto":
         side, _ = bounded_broadcast(dim, max_broadcast_rows, materialise_dim)
     elif strategy == "broadcast":
-        side = F.broadcast(dim)
+        side, fits = bounded_broadcast(dim, max_broadcast_rows, materialise_dim)
+        if not fits:
+            raise ValueError(f"the dimension has more than {max_broadcast_rows} rows: too many to broadcast")
     elif strategy == "shuffle":
         side = dim
     else:

@@ -202,17 +202,18 @@ def clean_housing(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- exploitation zone
 
 def build_features(listings: DataFrame, income: DataFrame, housing: DataFrame,
-                   unique_dimensions: bool = False) -> DataFrame:
+                   unique_dimensions: bool = False, stored: bool = False) -> DataFrame:
     """Listings ⟕ income ⟕ housing on (year, neighborhood); keys come first.
 
     Income is unique per (year, district, neighbourhood) but joined on
     (year, neighbourhood): a name present in two districts fans out.
-    ``unique_dimensions=True`` raises instead."""
+    ``unique_dimensions=True`` raises instead.  ``stored=True`` says that both
+    dimensions are written tables, so the joins do not copy them."""
     keys = ["year", "neighborhood"]
     out = enrich(listings, income.select(*keys, "average_income"), keys,
-                 check_unique=unique_dimensions)
+                 check_unique=unique_dimensions, materialise_dim=not stored)
     return enrich(out, housing.select(*keys, "average_price_per_m2"), keys,
-                  check_unique=unique_dimensions)
+                  check_unique=unique_dimensions, materialise_dim=not stored)
 
 
 def build_zones(spark: SparkSession, listings_landing, housing_landing, income_landing,
@@ -242,7 +243,7 @@ def build_zones(spark: SparkSession, listings_landing, housing_landing, income_l
     for name, df in clean.items():
         paths[f"clean/{name}"] = write_parquet(df, os.path.join(out_dir, "clean", name))
     tables = {n: spark.read.parquet(paths[f"clean/{n}"]) for n in clean}
-    features = build_features(tables["listings"], tables["income"], tables["housing"])
+    features = build_features(tables["listings"], tables["income"], tables["housing"], stored=True)
     paths["features"] = write_partitioned(features, os.path.join(out_dir, "features"),
                                           list(partition_by))
     return paths

@@ -30,7 +30,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    """CSV that ``read_csv`` reads back unchanged: spaces, line ends, quotes and empty strings kept.
+
+    A value may hold line ends, so a file is read by one task: files are cut
+    at a million rows."""
+    df.write.mode(mode).options(header=str(header).lower(), ignoreLeadingWhiteSpace="false",
+                                ignoreTrailingWhiteSpace="false", escape='"', nullValue="\\N",
+                                maxRecordsPerFile="1000000").csv(path)
     return path
 
 

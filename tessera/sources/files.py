@@ -51,6 +51,11 @@ def read_json(spark: SparkSession, path, schema: StructType | None = None,
     return r.json(path)
 
 
+#: read and written values agree: nothing is trimmed, a quote doubles, null is bare and empty is quoted
+CSV_VALUES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"',
+              "nullValue": "\\N", "emptyValue": ""}
+
+
 def read_csv(spark: SparkSession, path, schema: StructType | None = None,
              header: bool = True, infer: bool = False, glob: str | None = None,
              recursive: bool = False, check_header: bool = False) -> DataFrame:
@@ -60,8 +65,9 @@ def read_csv(spark: SparkSession, path, schema: StructType | None = None,
     An explicit schema is applied by position; ``check_header`` makes every
     file's header be checked against the schema's names, so a file with
     its columns in another order fails instead of loading into the wrong
-    columns."""
-    r = _reader(spark, schema, glob, recursive, header=str(header).lower(),
+    columns.  Values come back as ``write_csv`` wrote them: spaces, line
+    ends and quotes kept, the empty string told from null."""
+    r = _reader(spark, schema, glob, recursive, header=str(header).lower(), **CSV_VALUES, multiLine="true",
                 inferSchema=str(infer and schema is None).lower(),
                 enforceSchema="false" if (check_header and schema is not None) else None)
     return r.csv(path)

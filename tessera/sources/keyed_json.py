@@ -19,7 +19,8 @@ def read_keyed_objects(spark: SparkSession, path, value_schema: StructType,
                        recursive: bool = False, year_col: str | None = None) -> DataFrame:
     """One row per (file, key): ``key_col`` then the value struct's fields.
 
-    ``year_col`` adds the first 4-digit run of the file name as INT."""
+    ``year_col`` adds the first 4-digit run of the file name as INT.  A
+    malformed file fails the read instead of vanishing."""
     r = spark.read.option("wholetext", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -27,7 +28,7 @@ def read_keyed_objects(spark: SparkSession, path, value_schema: StructType,
         r = r.option("recursiveFileLookup", "true")
     # format("text").load: DataFrameReader.text() would reset wholetext to False
     text = r.format("text").load(path)
-    cols = [F.from_json("value", MapType(StringType(), value_schema)).alias("m")]
+    cols = [F.from_json("value", MapType(StringType(), value_schema), {"mode": "FAILFAST"}).alias("m")]
     if year_col:
         cols.append(year_from_name(F.col("_metadata.file_name")).alias(year_col))
     parsed = text.select(*cols)

@@ -20,8 +20,9 @@ def read_record_pages(spark: SparkSession, path, record_schema: StructType,
                       glob: str | None = None, multi_line: bool = False) -> DataFrame:
     """Records of every stored page.  Pages are JSON lines by default;
     ``multi_line`` reads each file as one (possibly pretty-printed) page, as
-    an API response saved verbatim."""
-    r = spark.read.schema(page_schema(record_schema))
+    an API response saved verbatim.  A malformed page or a value of another
+    type fails the read instead of dropping records."""
+    r = spark.read.schema(page_schema(record_schema)).option("mode", "FAILFAST")
     if multi_line:
         r = r.option("multiLine", "true")
     if glob:

@@ -184,3 +184,14 @@ def test_mean_impute_fills_nan_and_strict_mode(spark):
     assert out[0] == 1.0 and math.isnan(out[1]) and math.isnan(out[2])
     with pytest.raises(NoMean):
         mean_impute(df, ["b"], strict=True)
+
+
+def test_keep_one_looks_into_nested_columns(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.dedup import keep_one
+
+    rows = [(1, (i, "x"), [i, 2], {"k": i}) for i in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "k int, s struct<a: int, b: string>, l array<int>, m map<string, int>")
+    one, two = keep_one(df, "k").first(), keep_one(df.orderBy(F.desc("s.a")).repartition(3), "k").first()
+    assert one == two and one.s.a == 1

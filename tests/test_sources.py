@@ -204,3 +204,27 @@ def test_pretty_printed_snapshot_arrays(spark, tmp):
         json.dump([listing("7", 10, "x"), listing("8", 20, "y")], f, indent=2)
     df = read_snapshots(spark, land, glob=LISTING_GLOB, recursive=False, multi_line=True)
     assert sorted((r.propertyCode, r.year) for r in df.collect()) == [("7", 2020), ("8", 2020)]
+
+
+def test_csv_round_trip_keeps_values(spark, tmp):
+    values = ["  pad ", "two\nlines", 'a "quoted", one', "", None, "plain"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    path = write_csv(df, os.path.join(tmp, "odd"))
+    assert sorted(map(tuple, read_csv(spark, path, schema=df.schema).collect())) == list(enumerate(values))
+
+
+def test_truncated_pages_and_objects_fail(spark, tmp):
+    from pyspark.sql.types import IntegerType, StructType
+
+    from tessera.sources.keyed_json import read_keyed_objects
+    from tessera.sources.pages import read_record_pages
+
+    for name, text in (("page", '{"result": {"records": [{"a": 1}, {"a"'), ("object", '{"k": {"a": 1}, "l": {"a"')):
+        os.makedirs(os.path.join(tmp, name))
+        with open(os.path.join(tmp, name, "x.json"), "w") as f:
+            f.write(text)
+    schema = StructType().add("a", IntegerType())
+    for frame in (read_record_pages(spark, os.path.join(tmp, "page"), schema),
+                  read_keyed_objects(spark, os.path.join(tmp, "object"), schema)):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            frame.collect()
