@@ -69,6 +69,7 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]
                 yield pa.RecordBatch.from_arrays(
                     [out[n] if isinstance(out[n], (pa.Array, pa.ChunkedArray))
                      else pa.array(out[n], type=t) for n, t in zip(names, types)], names=names)
+        pa.default_memory_pool().release_unused()   # idle workers keep no batch's memory
 
     return df.mapInArrow(run, schema)
 

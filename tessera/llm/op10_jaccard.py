@@ -27,8 +27,8 @@ DIMS = 32                    # coordinates of a point
 FINE = 256                   # finer groups: the same bound, closer, for what the tree lets through
 NODE = 16                    # entries of an R-tree node
 BLOCK = 512                  # rows of a group that one task compares with another such block
-BUCKET_ROWS = 1_500_000      # signatures a bucket should hold
-PORTION = 4_000_000          # characters of texts hashed at once
+BUCKET_ROWS = 750_000      # signatures a bucket should hold
+PORTION = 1_000_000          # characters of texts hashed at once
 
 
 def shingle_sets(texts: list, width: int = WIDTH) -> list:

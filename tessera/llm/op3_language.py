@@ -25,8 +25,8 @@ PIECES = 4                   # segments a training chain
 SWITCH = 0.2                 # share of training chains' joints that switch to another document
 CHAIN = 64                   # words a chain at prediction; a longer text is several chains
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-4
-BATCH_CHARS = 1 << 21        # characters labelled at once: bounds a worker's memory
-CACHE_WORDS = 400_000
+BATCH_CHARS = 1 << 19        # characters labelled at once: bounds a worker's memory
+CACHE_WORDS = 200_000        # words a worker remembers before it starts anew
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
