@@ -128,6 +128,10 @@ SELECT round(regr_slope(l_extendedprice * (1 - l_discount), l_extendedprice), 4)
     "rmse": """
 SELECT round(sqrt(avg(power(l_extendedprice * 0.95 - l_extendedprice * (1 - l_discount), 2))), 4) AS rmse
 FROM lineitem""",
+    "vector_features": """
+SELECT l_orderkey, [coalesce(l_quantity, avg(l_quantity) OVER ()), coalesce(l_extendedprice, avg(l_extendedprice) OVER ()),
+                    coalesce(l_discount, avg(l_discount) OVER ()), coalesce(l_tax, avg(l_tax) OVER ()),
+                    coalesce(l_linenumber, avg(l_linenumber) OVER ())]::DOUBLE[] AS features FROM lineitem""",
     "incremental_ingest": """
 SELECT user_id, event_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t

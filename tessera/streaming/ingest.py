@@ -6,76 +6,122 @@ scheduled job that remembers, via its checkpoint, what it has seen).  Each
 micro-batch is merged into a keyed target table: the target's latest
 version plus the batch, one row per key, latest by the given order wins.
 
-The state lives in the target table itself, kept in two alternating slots:
-batch N overwrites ``slot_{N mod 2}`` with version N, computed from the
-newest version below N (which sits in the other slot).  So
-* a replayed batch recomputes the same version from the same input
-  (idempotent after a failure),
-* readers take the highest version; the slot being rewritten never holds it,
-* storage stays at two copies of the table, with no file-system calls.
-Every row carries its ``version``; Parquet min/max statistics let a read
-of the latest version skip the other slot's row groups.
+The target is split into buckets by key hash.  A batch reads and rewrites
+only the buckets that its keys fall in, into a folder of its own that never
+changes again.  One commit record, written after the data, names the folder
+of every bucket:
+* readers follow the newest commit record, so half-written data is never seen,
+* a frame from ``latest`` stays readable while later batches are merged,
+* versions count the target's commits, whichever checkpoint a batch came from,
+* a replayed batch is known by its stream's id and batch number, and skipped.
+One stream writes a target at a time.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
 from tessera.operators.dedup import keep_one
 
-VERSION = "version"
-SLOTS = ("slot_0", "slot_1")
+BUCKET = "_bucket"
+#: buckets of a new target; a batch rewrites only those it touches
+BUCKETS = 64
 
+COMMIT_SCHEMA = ("version long, stream string, batch_id long, buckets int, table_schema string, "
+                 "folders map<int, string>")
 
-def _slot_path(target: str, batch_id: int) -> str:
-    return os.path.join(target, SLOTS[batch_id % 2])
 
+def _commits(spark: SparkSession, target: str) -> DataFrame | None:
+    """The commit records; none if the target was never written."""
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(os.path.join(target, "commits", "*"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-def _with_version(schema: StructType) -> StructType:
-    fields = [f for f in schema.fields if f.name != VERSION]
-    return StructType(fields).add(VERSION, LongType())
 
+def _last_commit(spark: SparkSession, target: str) -> Row | None:
+    commits = _commits(spark, target)
+    return None if commits is None else commits.orderBy(F.desc("version")).first()
 
-def latest(spark: SparkSession, target: str, schema: StructType,
-           before: int | None = None) -> DataFrame | None:
-    """The newest version of the target (or the newest below ``before``)."""
-    frames = []
-    for slot in SLOTS:
-        try:
-            frames.append(spark.read.schema(_with_version(schema)).parquet(os.path.join(target, slot)))
-        except AnalysisException:  # slot not written yet
-            continue
-    if not frames:
-        return None
-    table = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    versions = table.select(VERSION)
-    if before is not None:
-        versions = versions.filter(F.col(VERSION) < before)
-    top = versions.agg(F.max(VERSION).alias("v")).first()["v"]
-    if top is None:
+
+def _read(spark: SparkSession, target: str, commit: Row, only: set[int] | None = None) -> DataFrame | None:
+    """The buckets of a committed version (all, or ``only`` some)."""
+    paths = [os.path.join(target, "data", folder, f"{BUCKET}={bucket}")
+             for bucket, folder in sorted(commit["folders"].items()) if only is None or bucket in only]
+    if not paths:
         return None
-    return table.filter(F.col(VERSION) == top).drop(VERSION)
+    return spark.read.schema(StructType.fromJson(json.loads(commit["table_schema"]))).parquet(*paths)
+
+
+def latest(spark: SparkSession, target: str) -> DataFrame | None:
+    """The newest committed version of the target; none if there is no commit."""
+    commit = _last_commit(spark, target)
+    return None if commit is None else _read(spark, target, commit)
+
+
+def unreferenced(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
+    """Committed data folders that none of the last ``keep`` versions reads.
+
+    The target's owner removes them once no reader holds an older version.  A folder
+    that no commit names is a batch that failed, or one being written."""
+    commits = _commits(spark, target)
+    if commits is None:
+        return []
+    named = commits.select("version", F.explode(F.map_values("folders")).alias("folder"))
+    last = commits.agg(F.max("version")).first()[0]
+    rows = named.groupBy("folder").agg(F.max("version").alias("v")).filter(F.col("v") <= last - keep).collect()
+    return sorted(os.path.join(target, "data", r["folder"]) for r in rows)
+
+
+def _bucket_of(keys, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    return spark.read.schema("id string").json(os.path.join(checkpoint, "metadata")).first()["id"]
 
 
-def keyed_merge(target: str, keys, order, transform=None):
+def keyed_merge(target: str, checkpoint: str, keys, order, transform=None, buckets: int = BUCKETS):
     """``foreachBatch`` function: merge a batch into the keyed target.
 
     ``transform`` (DataFrame -> DataFrame) cleans each batch first."""
+    keys = list(keys)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if transform is not None:
-            batch = transform(batch)
-        current = latest(spark, target, batch.schema, before=batch_id)
-        rows = batch if current is None else current.unionByName(batch)
-        merged = keep_one(rows, keys, order)
-        (merged.withColumn(VERSION, F.lit(batch_id).cast("long"))
-               .write.mode("overwrite").parquet(_slot_path(target, batch_id)))
+        stream = _stream_id(spark, checkpoint)
+        commits = _commits(spark, target)
+        if commits is not None and not commits.filter(
+                (F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty():
+            return
+        commit = _last_commit(spark, target)
+        count = buckets if commit is None else commit["buckets"]
+        rows = (batch if transform is None else transform(batch)).persist()
+        touched = {r[0] for r in rows.select(_bucket_of(keys, count)).distinct().collect()}
+        if touched:
+            current = None if commit is None else _read(spark, target, commit, touched)
+            if current is not None:
+                current = current.unionByName(rows, allowMissingColumns=True)
+            merged = keep_one(rows if current is None else current, keys, order)
+            version = 1 if commit is None else commit["version"] + 1
+            folder = f"v{version:08d}-{uuid.uuid4().hex[:12]}"
+            (merged.withColumn(BUCKET, _bucket_of(keys, count)).hint("rebalance", F.col(BUCKET))
+                   .write.partitionBy(BUCKET).parquet(os.path.join(target, "data", folder)))
+            folders = ({} if commit is None else commit["folders"]) | dict.fromkeys(touched, folder)
+            record = [(version, stream, batch_id, count, merged.schema.json(), folders)]
+            (spark.createDataFrame(record, COMMIT_SCHEMA).coalesce(1)
+                  .write.mode("append").parquet(os.path.join(target, "commits", f"v{version:08d}")))
+        rows.unpersist()
 
     return merge
 
@@ -83,7 +129,8 @@ def keyed_merge(target: str, keys, order, transform=None):
 def ingest_available(spark: SparkSession, source: str, target: str, checkpoint: str,
                      schema: StructType, keys, order, fmt: str = "json",
                      max_files_per_trigger: int | None = None, transform=None,
-                     options: dict | None = None, with_file_path: bool = False) -> DataFrame:
+                     options: dict | None = None, with_file_path: bool = False,
+                     buckets: int = BUCKETS) -> DataFrame | None:
     """Process every snapshot file not yet seen, merge, and return the target.
 
     ``with_file_path`` adds the source file's path as ``_file_path`` (for
@@ -96,22 +143,10 @@ def ingest_available(spark: SparkSession, source: str, target: str, checkpoint:
     stream = reader.load(source)
     if with_file_path:
         stream = stream.withColumn("_file_path", F.col("_metadata.file_path"))
-    q = (stream.writeStream.foreachBatch(keyed_merge(target, keys, order, transform))
+    q = (stream.writeStream.foreachBatch(keyed_merge(target, checkpoint, keys, order, transform, buckets))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    out = latest(spark, target, schema if transform is None else _target_schema(spark, target))
-    return out
-
-
-def _target_schema(spark: SparkSession, target: str) -> StructType:
-    """Schema of the written target (used when batches are transformed)."""
-    for slot in SLOTS:
-        try:
-            return StructType([f for f in spark.read.parquet(os.path.join(target, slot)).schema.fields
-                               if f.name != VERSION])
-        except AnalysisException:
-            continue
-    return StructType()
+    return latest(spark, target)

@@ -22,6 +22,8 @@ _SPARK_TO_SQL = {
 
 def spark_type(dt) -> str:
     s = dt.simpleString()
+    if s.startswith("array<"):
+        return spark_type(dt.elementType) + "[]"
     if s.startswith("decimal"):
         return s.upper()
     return _SPARK_TO_SQL.get(s, s.upper())
