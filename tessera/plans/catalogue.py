@@ -305,9 +305,11 @@ def year_from_name_q(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- joins
 
 def left_join(spark: SparkSession, sf: str) -> DataFrame:
-    cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nation = _t(spark, sf, "nation").filter(F.col("n_regionkey") < 3) \
-        .select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    # customers of nation 7 get a null key and odd customers of nation 8 one that no nation has
+    key = F.when((F.col("c_nationkey") == 8) & (F.col("c_custkey") % 2 == 1), F.lit(-1)) \
+        .otherwise(F.nullif("c_nationkey", F.lit(7)))
+    cust = _t(spark, sf, "customer").select("c_custkey", key.alias("c_nationkey"))
+    nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return enrich(cust, nation, ["c_nationkey"], materialise_dim=False).select("c_custkey", "n_name")
 
 

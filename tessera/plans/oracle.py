@@ -65,8 +65,10 @@ SELECT l_orderkey, CAST(CAST(l_extendedprice AS FLOAT) AS DECIMAL(10,2)) AS pric
     "year_from_name": """
 SELECT c_custkey, CAST(nullif(regexp_extract(c_name, '[0-9]{4}', 0), '') AS INT) AS digits FROM customer""",
     "left_join": """
-SELECT c.c_custkey, n.n_name FROM customer c
-LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) n ON c.c_nationkey = n.n_nationkey""",
+SELECT c.c_custkey, n.n_name
+FROM (SELECT c_custkey, CASE WHEN c_nationkey = 8 AND c_custkey % 2 = 1 THEN -1 ELSE nullif(c_nationkey, 7) END AS k
+      FROM customer) c
+LEFT JOIN nation n ON c.k = n.n_nationkey""",
     "left_join_two_keys_null": """
 SELECT o.o_orderkey, d.n
 FROM (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS st, o_orderpriority AS pr FROM orders) o
