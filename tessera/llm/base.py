@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable
 
@@ -55,6 +56,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
     return F.broadcast(df) if found.n <= rows and (found.b or 0) <= size else df
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle worker keeps no batch's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc has it
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
     """Apply ``fn`` (Arrow batch -> dict of columns) to every batch of ``df``."""
     from pyspark.sql.types import StructType
@@ -69,7 +78,7 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict]
                 yield pa.RecordBatch.from_arrays(
                     [out[n] if isinstance(out[n], (pa.Array, pa.ChunkedArray))
                      else pa.array(out[n], type=t) for n, t in zip(names, types)], names=names)
-        pa.default_memory_pool().release_unused()   # idle workers keep no batch's memory
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-from .base import by_bucket, components, hash_words, map_batches, mix, small, stored
+from .base import by_bucket, components, give_back, hash_words, map_batches, mix, small, stored
 
 WIDTH = 4                    # words a shingle
 PERCENT = 85                 # similarity from which two documents link, in percent
@@ -178,6 +178,7 @@ def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -
                 p, s, k = zip(*rows) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(s, pa.binary()),
                                                   pa.array(k, pa.binary())], names=["bucket", "sigs", "ks"])
+        give_back()
 
     sent = docs.select("text").mapInArrow(send, "bucket int, sigs binary, ks binary")
     spread = F.when(F.col("bucket") < 0, F.xxhash64("sigs")).otherwise(F.lit(0))
@@ -194,6 +195,7 @@ def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -
             group = np.cumsum(np.concatenate(([True], sig[1:] != sig[:-1]))) - 1
             keep = np.bincount(group)[group] > 1
             sig, key = sig[keep], key[keep]
+            give_back()
         return pa.table({"sig": pa.array(sig.view(np.int64)), "k": pa.array(key)})
 
     return stored(sent.groupBy("bucket", "own").applyInArrow(meet, "sig bigint, k bigint").distinct(), "meetings")
@@ -216,6 +218,7 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
                         grams.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(grams, pa.binary())],
                                                  names=["k", "grams"])
+        give_back()
 
     made = docs.select("text").mapInArrow(run, "k bigint, grams binary")
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")

@@ -27,6 +27,7 @@ CHAIN = 64                   # words a chain at prediction; a longer text is sev
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-4
 BATCH_CHARS = 1 << 19        # characters labelled at once: bounds a worker's memory
 CACHE_WORDS = 200_000        # words a worker remembers before it starts anew
+SCORED = 8192                # new words scored at once
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
@@ -155,7 +156,8 @@ def word_marginals(texts: list, model: dict, cache: dict | None = None) -> list:
     code = cache["code"]
     new = [w for w in {w for ws in words for w in ws} if w not in code]
     if new:
-        made = scores_of(new, model["weights"], model["lexicon"])
+        made = np.concatenate([scores_of(new[i:i + SCORED], model["weights"], model["lexicon"])
+                               for i in range(0, len(new), SCORED)])
         have = cache.get("n", 0)
         if have + len(new) > len(cache.get("emit", ())):
             grown = np.zeros((2 * (have + len(new)), k), np.float32)

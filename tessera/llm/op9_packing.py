@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-from .base import ragged, slices, stored
+from .base import give_back, ragged, slices, stored
 
 CAPACITY = 4096
 END = 1                      # the id that closes every document
@@ -135,6 +135,7 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
                 own.append(pa.array(keep, pa.list_(pa.int32())))
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"] + ["ids"] * with_ids
             yield pa.RecordBatch.from_arrays(own, names=names)
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
