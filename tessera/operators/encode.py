@@ -28,14 +28,18 @@ def discover_values(df: DataFrame, column: str, max_values: int | None = None) -
 
 
 def one_hot(df: DataFrame, column: str, values=None, names=None, prefix: str = "",
-            drop: bool = True, max_values: int | None = None) -> DataFrame:
+            drop: bool = True, max_values: int | None = None, extend: bool = False) -> DataFrame:
     """Add one INT 0/1 column per value (null category -> all zeros).
 
+    ``extend`` adds a column for every value found beyond the given ones.
+
     Column names are ``prefix + value`` unless ``names`` maps value -> name.
     Name clashes with existing columns (compared case-insensitively, as
     Spark resolves names) raise instead of overwriting silently."""
     if values is None:
         values = discover_values(df, column, max_values)
+    elif extend:
+        values = [*values, *(v for v in discover_values(df, column, max_values) if v not in values)]
     names = names or {}
     existing = {c.lower() for c in df.columns if not (drop and c == column)}
     new_cols = []

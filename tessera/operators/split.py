@@ -1,6 +1,7 @@
 """Train / validation splits.
 
-``random_split`` is Spark's Bernoulli split (depends on partition layout).
+``random_split`` is Spark's Bernoulli split, on a fixed partitioning by the
+rows' values: the input's layout and the number of cores do not change it.
 ``key_split`` is a reproducible split by key bucket: the same key always
 lands in the same part whatever the layout or cluster size.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 
 def key_bucket(key, n_buckets: int, hashed: bool = True):
@@ -33,8 +35,17 @@ def split_parts(labelled: DataFrame, label_col: str = "part_name"):
     return train, val
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
-    return df.randomSplit(list(weights), seed)
+SPLIT_PARTITIONS = 64
+
+
+def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42, partitions: int = SPLIT_PARTITIONS):
+    """Bernoulli split over ``partitions`` hash partitions of the rows (one shuffle; raise it
+    with the table's size, the split is the same wherever it and the seed are).
+
+    Spark sorts each partition before it draws, so rows decide their part, not their place.
+    Only columns that can be hashed and ordered count; a table without any keeps its layout."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    return (df.repartition(partitions, *plain) if plain else df).randomSplit(list(weights), seed)
 
 
 def random_split_labelled(df: DataFrame, weights=(0.8, 0.2), seed: int = 42,

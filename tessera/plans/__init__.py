@@ -6,6 +6,7 @@ from tessera.plans.oracle import ORACLE_SQL
 QUERIES = {
     "feature_table": c.feature_table,
     "snapshot_scan": c.snapshot_scan,
+    "picked_files": c.picked_files,
     "schema_unify": c.schema_unify,
     "keyed_object_scan": c.keyed_object_scan,
     "csv_scan": c.csv_scan,
@@ -28,6 +29,7 @@ QUERIES = {
     "year_from_name": c.year_from_name_q,
     "left_join": c.left_join,
     "left_join_two_keys_null": c.left_join_two_keys_null,
+    "star_join_two_keys": c.star_join_two_keys,
     "left_join_fanout": c.left_join_fanout,
     "union_positional": c.union_positional,
     "union_by_name": c.union_by_name_q,
@@ -56,8 +58,9 @@ QUERIES = {
 
 # SURVEY §2 operator ids exercised by each query (traceability).
 COVERS = {
-    "feature_table": "P1 P7 P8 F1 F5 F6 M1 A1 J1 J2",
-    "snapshot_scan": "S1 S2 S5 S6 S8 K1 K3",
+    "feature_table": "P1 P8 F1 F5 F6 M1 A1 J1 J2",
+    "snapshot_scan": "S1 S2 S6 K3",
+    "picked_files": "S5 S8 K1",
     "schema_unify": "S2 S3 U1",
     "keyed_object_scan": "S4",
     "csv_scan": "S7 K4",
@@ -80,6 +83,7 @@ COVERS = {
     "year_from_name": "F9 S6",
     "left_join": "J1",
     "left_join_two_keys_null": "J1",
+    "star_join_two_keys": "J1 J2",
     "left_join_fanout": "J3",
     "union_positional": "U2",
     "union_by_name": "U1",

@@ -64,7 +64,7 @@ from tessera.operators import (
 )
 from tessera.models.search import DEFAULT_GRIDS
 from tessera.session import read_table, scratch_path
-from tessera.sinks import write_collection, write_csv, write_parquet, write_partitioned
+from tessera.sinks import write_collection, write_csv, write_json, write_parquet, write_partitioned
 from tessera.sources import (
     SourceRegistry,
     SourceSpec,
@@ -133,6 +133,15 @@ def snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("o_orderkey", "o_totalprice", "o_orderstatus", "year")
 
 
+def picked_files(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files picked by prefix and suffix from a folder that also holds CSV files of other rows."""
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    root = scratch_path(spark, "mixed")
+    write_json(cust.filter("c_custkey % 3 <> 0"), root, mode="append")
+    write_csv(cust.filter("c_custkey % 3 = 0"), root, mode="append")
+    return read_json(spark, root, schema=cust.schema, glob="part-*.json")
+
+
 def schema_unify(spark: SparkSession, sf: str) -> DataFrame:
     """Older snapshots lack ``o_orderpriority``; per-group schemas are
     inferred, unified (first definition wins) and all files read in one scan."""
@@ -321,6 +330,20 @@ def left_join_two_keys_null(spark: SparkSession, sf: str) -> DataFrame:
     return enrich(orders, dim, ["st", "pr"]).select("o_orderkey", "n")
 
 
+def star_join_two_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with two dimensions on the same two keys; every fifth order's year is one that neither has."""
+    orders = _t(spark, sf, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("yr"), F.col("o_orderpriority").alias("pr"),
+        "o_orderstatus", "o_totalprice")
+    keys = ["yr", "pr"]
+    top = orders.filter("o_orderstatus = 'P'").groupBy(*keys).agg(F.max("o_totalprice").alias("top_price"))
+    done = orders.filter("o_orderstatus = 'F'").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_done"))
+    year = F.when(F.col("o_orderkey") % 5 == 0, F.col("yr") + 100).otherwise(F.col("yr"))
+    fact = orders.select("o_orderkey", year.alias("yr"), "pr")
+    out = enrich(enrich(fact, top, keys), done, keys)
+    return out.select("o_orderkey", "top_price", "n_done")
+
+
 def left_join_fanout(spark: SparkSession, sf: str) -> DataFrame:
     nation = _t(spark, sf, "nation").select("n_nationkey")
     sup = _t(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_suppkey")
@@ -477,11 +500,11 @@ def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> D
 
 
 def random_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_and_score(spark, sf, "RF", {"numTrees": 20, "maxDepth": 6})
+    return _fit_and_score(spark, sf, "RF", {k: v[0] for k, v in DEFAULT_GRIDS["RF"].items()})
 
 
 def gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_and_score(spark, sf, "GBT", {"maxIter": 10, "maxDepth": 5})
+    return _fit_and_score(spark, sf, "GBT", {k: v[0] for k, v in DEFAULT_GRIDS["GBT"].items()})
 
 
 # The reference's full linear-regression grid; tree grids are small here

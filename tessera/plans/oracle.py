@@ -74,6 +74,14 @@ SELECT o.o_orderkey, d.n
 FROM (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS st, o_orderpriority AS pr FROM orders) o
 LEFT JOIN (SELECT nullif(o_orderstatus, 'P') AS st, o_orderpriority AS pr, count(*) AS n FROM orders GROUP BY 1, 2) d
   ON o.st = d.st AND o.pr = d.pr""",
+    "picked_files": """
+SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0""",
+    "star_join_two_keys": """
+WITH o AS (SELECT o_orderkey, year(o_orderdate) AS yr, o_orderpriority AS pr, o_orderstatus, o_totalprice FROM orders),
+top AS (SELECT yr, pr, max(o_totalprice) AS top_price FROM o WHERE o_orderstatus = 'P' GROUP BY yr, pr),
+done AS (SELECT yr, pr, count(*) AS n_done FROM o WHERE o_orderstatus = 'F' GROUP BY yr, pr),
+fact AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN yr + 100 ELSE yr END AS yr, pr FROM o)
+SELECT o_orderkey, top_price, n_done FROM fact LEFT JOIN top USING (yr, pr) LEFT JOIN done USING (yr, pr)""",
     "left_join_fanout": """
 SELECT n.n_nationkey, s.s_suppkey FROM nation n LEFT JOIN supplier s ON n.n_nationkey = s.s_nationkey""",
     "union_positional": """

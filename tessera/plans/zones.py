@@ -176,13 +176,13 @@ def format_income(spark: SparkSession, landing, schema: StructType = INCOME_SCHE
 
 def clean_listings(df: DataFrame, types=PROPERTY_TYPES, statuses=STATUSES) -> DataFrame:
     """Barcelona sales only, 15 columns, no country houses (null types go
-    too), one INT indicator per type and status (fixed vocabularies: the
-    schema does not depend on which values a day happens to contain)."""
+    too), one INT indicator per type and status: the fixed vocabularies, so
+    the model's columns always exist, and every other value found."""
     df = filter_equal(df, municipality="Barcelona", operation="sale")
     df = df.select(*CLEAN_LISTING_COLUMNS)
     df = filter_not_equal(df, "propertyType", "countryHouse")
-    df = one_hot(df, "propertyType", values=types, drop=False)
-    df = one_hot(df, "status", values=statuses, drop=False)
+    df = one_hot(df, "propertyType", values=types, drop=False, extend=True)
+    df = one_hot(df, "status", values=statuses, drop=False, extend=True)
     return df.drop("status", "propertyType", "municipality")
 
 

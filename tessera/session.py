@@ -92,7 +92,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
             raise NoSharedFolder("set spark.checkpoint.dir to a folder shared by all executors")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -195,3 +195,19 @@ def test_keep_one_looks_into_nested_columns(spark):
     df = spark.createDataFrame(rows, "k int, s struct<a: int, b: string>, l array<int>, m map<string, int>")
     one, two = keep_one(df, "k").first(), keep_one(df.orderBy(F.desc("s.a")).repartition(3), "k").first()
     assert one == two and one.s.a == 1
+
+
+def test_one_hot_extends_a_vocabulary(spark):
+    df = spark.createDataFrame([(1, "flat"), (2, "house"), (3, None)], "id int, t string")
+    out = one_hot(df, "t", values=["flat", "studio"], extend=True).orderBy("id").collect()
+    assert [r.asDict() for r in out] == [{"id": 1, "flat": 1, "studio": 0, "house": 0},
+                                         {"id": 2, "flat": 0, "studio": 0, "house": 1},
+                                         {"id": 3, "flat": 0, "studio": 0, "house": 0}]
+
+
+def test_random_split_ignores_layout(spark):
+    from tessera.operators import random_split
+
+    df = spark.range(5000).selectExpr("id", "id % 7 AS x")
+    parts = [{r.id for r in random_split(df.repartition(n), (0.8, 0.2), 42)[0].collect()} for n in (3, 8)]
+    assert parts[0] == parts[1] and 3800 < len(parts[0]) < 4200
