@@ -291,19 +291,23 @@ class RTree:
         return self.order[found]
 
 
-def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that still meet and whose bound suffices, stored.
+def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that still meet, are not in ``tried`` and whose
+    bound suffices, stored.
 
     Groups with the same members count once.  A group is cut into blocks of about
-    ``BLOCK`` rows and two blocks meet in one task, so no task holds a whole large group."""
+    ``BLOCK`` rows and two blocks meet in one task, so no task holds a whole large group.
+    A group of two is one pair as it is and needs no tree."""
     points = map_batches(sets, "k bigint, point binary", lambda b: {
         "k": b.column("k"), "point": [packed(fine_point(np.frombuffer(g, np.uint64))) for g in b.column("grams").to_pylist()]})
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
     groups = rows.groupBy("sig").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-        F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("members")) \
-        .where("low <> high and n > 2").groupBy("n", "members").agg(F.min("sig").alias("sig"))
-    groups = stored(groups.select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
+        F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("members"), F.min("k").alias("a"), F.max("k").alias("b")) \
+        .where("low <> high").groupBy("n", "members").agg(F.min("sig").alias("sig"), F.min("a").alias("a"), F.max("b").alias("b"))
+    groups = stored(groups.select("sig", "n", "a", "b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
+    twos = groups.where("n = 2").select("a", "b")
+    groups = groups.where("n > 2").select("sig", "blocks")
     own = rows.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = own.withColumn("other", other).select(
@@ -328,7 +332,8 @@ def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
         empty = [np.zeros(0, np.int64)]
         return pa.table({"a": pa.array(np.concatenate(a or empty)), "b": pa.array(np.concatenate(b or empty))})
 
-    return stored(placed.groupBy("sig", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "pairs")
+    pairs = placed.groupBy("sig", "i", "j").applyInArrow(compare, "a bigint, b bigint").unionByName(twos).distinct()
+    return stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
 def link_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -355,7 +360,7 @@ def link_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     links = verified(first.select("a", "b"), sets, percent)
     vertices = members.select(F.col("k").alias("v"))
     labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
-    rest = more_pairs(met, labels, sets, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    rest = more_pairs(met, labels, sets, first.select("a", "b"), percent)
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, sets, percent))
         labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")

@@ -365,6 +365,33 @@ def test_jaccard(spark, docs, rows, none):
     assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 2
 
 
+def test_pair_that_met_a_smaller_key_elsewhere(spark):
+    """x and y link and meet in groups of two only; y was tried with z, which it also meets."""
+    def made(text):
+        s = op10_jaccard.shingle_sets([text])[0]
+        return s, set(op10_jaccard.signatures([s])[0].tolist()), op10_jaccard.set_key(s, 1)
+
+    rng = random.Random(4)
+    some = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    thirds = [(t, *made(t)) for t in (some(10) for _ in range(3000))]
+    found = []
+    for _ in range(20_000):
+        ty = some(10)
+        tx = f"{ty} {some(1)}"
+        (_, y, ky), (_, x, kx) = made(ty), made(tx)
+        for tz, _, z, kz in thirds if x & y and kx < ky else ():
+            if kz < kx and y & z and not x & z:
+                found.append((tx, ty, tz))
+                break
+        if len(found) == 3:
+            break
+    assert found
+    for texts in found:
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in op10_jaccard.link_groups(docs).collect()}
+        assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_signatures_lose_no_link():
     rng = np.random.default_rng(9)
     for n in (7, 20, 60, 300, 2000):
