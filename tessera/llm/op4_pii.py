@@ -24,7 +24,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 SECRET = re.compile(r"(?i)(?<![A-Za-z0-9])(?:password|passwd|token|secret|api_?key)\x20{0,2}[=:]\x20{0,2}\"?"
                     r"([A-Za-z0-9+/_-]{12,})")
@@ -50,7 +50,10 @@ def mod97(iban: str) -> bool:
 
 
 def iban_end(text: str, start: int, end: int) -> int:
-    """Where a proposed IBAN ends: the longest run of its groups that passes mod 97, or -1."""
+    """Where a proposed IBAN ends: the longest run of its groups that ends a word and passes
+    mod 97, or -1.  The proposal may run into the words behind, or stop inside one."""
+    if text[end:end + 1].isalnum() and text[end].isascii():
+        end = text.rfind(" ", start, end)
     while end > start:
         word = text[start:end].replace(" ", "")
         if 15 <= len(word) <= 34 and mod97(word):
@@ -59,6 +62,18 @@ def iban_end(text: str, start: int, end: int) -> int:
     return -1
 
 
+def ibans(text: str) -> list:
+    """Leftmost non-overlapping IBANs: the search goes on behind a confirmed one, and at the
+    next word of a proposal that is none."""
+    out, m = [], IBAN.search(text)
+    while m:
+        end = iban_end(text, m.start(), m.end())
+        if end > 0:
+            out.append((m.start(), end))
+        m = IBAN.search(text, end if end > 0 else m.start() + 1)
+    return out
+
+
 def emails(text: str) -> list:
     """Leftmost non-overlapping emails, found from their at signs: the part before one is the
     longest run of local characters that the previous match leaves."""
@@ -110,13 +125,10 @@ def added_spans(text: str, base: dict, min_score: float = MIN_SCORE) -> list:
     taken, out = sorted(s for spans in base.values() for s in spans), []
     if not DIGITS.search(text):
         return out
-    for kind, pattern in (("iban", IBAN), ("ssn", SSN), ("secret", SECRET)):
-        for m in pattern.finditer(text):
-            start, end = m.span(1) if kind == "secret" else m.span()
-            if kind == "iban":
-                end = iban_end(text, start, end)
-                if end < 0:
-                    continue
+    proposed = (("iban", ibans(text)), ("ssn", [m.span() for m in SSN.finditer(text)]),
+                ("secret", [m.span(1) for m in SECRET.finditer(text)]))
+    for kind, spans in proposed:
+        for start, end in spans:
             word = text[start:end].replace(" ", "")
             if kind == "ssn" and (word[:3] in ("000", "666") or word[0] == "9" or word[4:6] == "00" or word[7:] == "0000"):
                 continue

@@ -159,6 +159,16 @@ def test_pii(spark, docs, rows, none):
     assert [s[0] for s in spans if s[0] in op4_pii.EXTRA] == ["iban", "secret"]
 
 
+def test_ibans_before_words():
+    one, two, spaced = "DE89370400440532013000", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00"
+    cases = [(f"IBAN {one} Please pay", [one]), (f"{spaced} Bank X", [spaced]), (f"{one} BIC COBADEFFXXX end", [one]),
+             (f"PAY TO {spaced} BEFORE NOON TODAY OR THE DEAL IS OFF", [spaced]), (f"{one} {two} NOW", [one, two]),
+             (f"AB12 {spaced} AND", [spaced]), (f"{one}, then {spaced}.", [one, spaced]),
+             (f"{one}a", []), (f"x{one} Y", []), ("DE88 3704 0044 0532 0130 00 Bank", [])]
+    for text, want in cases:
+        assert [text[a:b] for k, a, b in op4_pii.spans_of(text) if k == "iban"] == want, text
+
+
 def test_language(spark, docs, none):
     model = op3_language.train(docs)
     got = {(r.doc_id, r.text): r for r in op3_language.predict(docs, model, carry=("doc_id", "text", "lang")).collect()}
