@@ -23,8 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every linked group stays."""
-    return op10_jaccard.keep_one(docs.select(*DOC_COLUMNS))
+    """The document with the smallest id of every linked group stays: runs of five words,
+    similarity 0.8 or more (``op10_jaccard`` as a query has its own contract)."""
+    return op10_jaccard.keep_one(docs.select(*DOC_COLUMNS), width=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,3 +91,26 @@ def test_stages_against_brute_force(spark):
 def test_stages_on_an_empty_table(spark):
     frames = stages(spark, spark.createDataFrame([], SCHEMA))
     assert all(f.isEmpty() for f in frames)
+
+
+def test_near_duplicates_share_runs_of_five_words(spark):
+    """The stage's own contract, five words and 0.8, on scattered single-word edits."""
+    texts = {}
+    for group, size in enumerate((30, 60, 100, 100, 150, 400)):
+        words = [f"g{group}w{i}" for i in range(size)]
+        for copy in range(5):
+            own = list(words)
+            for e in range(copy * size // 90 + (copy > 0)):
+                own[(7 + 13 * e + 29 * copy) % size] = f"edit{copy}-{e}"
+            texts[len(texts)] = " ".join(own)
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    root = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {i for i in root if root[i] == i}
+    assert 6 < len(want) < len(sets)
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert {d.doc_id for d in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == want
