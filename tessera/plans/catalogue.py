@@ -507,15 +507,6 @@ def gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _fit_and_score(spark, sf, "GBT", {k: v[0] for k, v in DEFAULT_GRIDS["GBT"].items()})
 
 
-# The reference's full linear-regression grid; tree grids are small here
-# and full by default in ``train_and_validate``.
-SEARCH_GRIDS = {
-    "LR": DEFAULT_GRIDS["LR"],
-    "RF": {"numTrees": [10, 20], "maxDepth": [5]},
-    "GBT": {"maxIter": [10], "maxDepth": [4]},
-}
-
-
 # independent grid fits submitted concurrently (each one a distributed job)
 SEARCH_PARALLELISM = 4
 
@@ -524,7 +515,7 @@ def model_search(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.plans.training import train_and_validate
 
     res = train_and_validate(_model_input(spark, sf), MODEL_FEATURES, "net_price",
-                             grids=SEARCH_GRIDS, split_how="key", key="l_orderkey",
+                             grids=DEFAULT_GRIDS, split_how="key", key="l_orderkey",
                              parallelism=SEARCH_PARALLELISM)
     return res.log
 
@@ -534,7 +525,7 @@ def run_log_q(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.plans.training import train_and_validate
 
     res = train_and_validate(_model_input(spark, sf), MODEL_FEATURES, "net_price",
-                             grids={"LR": SEARCH_GRIDS["LR"]}, split_how="key", key="l_orderkey",
+                             grids=DEFAULT_GRIDS, split_how="key", key="l_orderkey",
                              parallelism=SEARCH_PARALLELISM, save_dir=scratch_path(spark, "models"))
     return append_run_log(res.log, scratch_path(spark, "run_log"))
 

@@ -1,3 +1,5 @@
+import pytest
+
 from tessera.models import RUN_LOG_SCHEMA, Run, best_run, run_name
 from tessera.plans.training import train_and_validate
 
@@ -40,3 +42,25 @@ def test_correlation_matrix_agrees_with_ranking(spark):
     m = correlation_matrix(assemble(df, ["a", "b", "y"]), "features").toArray()
     r = {row.feature: row.r for row in correlation_ranking(df, ["a", "b"], "y").collect()}
     assert math.isclose(m[0, 2], r["a"], rel_tol=1e-9) and math.isclose(m[1, 2], r["b"], rel_tol=1e-9)
+
+
+def test_registered_searches_fit_the_full_grids(monkeypatch):
+    from tessera.models import DEFAULT_GRIDS
+    from tessera.plans import catalogue, training
+
+    class Stop(Exception):
+        pass
+
+    given = []
+
+    def caught(*args, grids=DEFAULT_GRIDS, **kwargs):
+        given.append(grids)
+        raise Stop
+
+    monkeypatch.setattr(training, "train_and_validate", caught)
+    monkeypatch.setattr(catalogue, "_model_input", lambda spark, sf: None)
+    monkeypatch.setattr(catalogue, "scratch_path", lambda spark, name: name)
+    for query in (catalogue.model_search, catalogue.run_log_q):
+        with pytest.raises(Stop):
+            query(None, "")
+    assert given == [DEFAULT_GRIDS, DEFAULT_GRIDS]
