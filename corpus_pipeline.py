@@ -15,10 +15,11 @@ from tessera.session import read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no letter, or no label with at least half of the
-    words' probability.  A missing ``lang`` is filled in."""
+    """Documents without a language go: no letter, or words whose own best labels have less
+    than half of the probability on average.  A clear mix of languages stays.  A missing
+    ``lang`` is filled in."""
     out = op3_language.predict(docs.select(*DOC_COLUMNS), op3_language.train(docs), carry=DOC_COLUMNS)
-    kept = out.where((F.col("lang_pred") != op3_language.UNKNOWN) & (F.col("score") >= op3_language.MIN_SCORE))
+    kept = out.where((F.col("lang_pred") != op3_language.UNKNOWN) & (F.col("sure") >= op3_language.MIN_SCORE))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*DOC_COLUMNS)
 
 

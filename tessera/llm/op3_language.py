@@ -207,13 +207,14 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
 
 
 def predict(docs: DataFrame, model: dict, carry: tuple = ("doc_id",)) -> DataFrame:
-    """The ``carry`` columns with lang_pred and score, one row for each row of ``docs``.
+    """The ``carry`` columns with lang_pred, score and sure, one row for each row of ``docs``.
 
     A text's language is the label with the largest sum of word marginals, its score their
-    mean.  Null texts and texts without a letter are ``und`` with score 0, and so is every
+    mean.  ``sure`` is the mean of every word's largest marginal: high also for a text that
+    mixes languages, as long as its words are clear.  Null texts and texts without a letter are ``und`` with score and sure 0, and so is every
     text if nothing could be learned.  Every word of every text is labelled."""
     types_of = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types_of[c]}" for c in carry) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{c}` {types_of[c]}" for c in carry) + ", lang_pred string, score double, sure double"
     tag = f"{zlib.crc32(model['weights'].tobytes()):x}-{len(model['labels'])}"
     shared = docs.sparkSession.sparkContext.broadcast(model)   # FEATURES x labels numbers
 
@@ -221,7 +222,7 @@ def predict(docs: DataFrame, model: dict, carry: tuple = ("doc_id",)) -> DataFra
         kept = sys.modules.setdefault("_llm_word_scores", types.ModuleType("_llm_word_scores")).__dict__
         if kept.get("tag") != tag:
             kept.update(tag=tag, cache={})
-        names, pred, score = shared.value["labels"], [], []
+        names, pred, score, sure = shared.value["labels"], [], [], []
         group, chars = [], 0
         texts = batch.column("text").to_pylist()
         for i, t in enumerate(texts):
@@ -233,11 +234,13 @@ def predict(docs: DataFrame, model: dict, carry: tuple = ("doc_id",)) -> DataFra
                         mean = m.mean(axis=0)
                         pred.append(names[int(mean.argmax())])
                         score.append(float(min(1.0, mean.max())))
+                        sure.append(float(min(1.0, m.max(axis=1).mean())))
                     else:
                         pred.append(UNKNOWN)
                         score.append(0.0)
+                        sure.append(0.0)
                 group, chars = [], 0
-        return {**{c: batch.column(c) for c in carry}, "lang_pred": pred, "score": score}
+        return {**{c: batch.column(c) for c in carry}, "lang_pred": pred, "score": score, "sure": sure}
 
     return map_batches(docs.select(*dict.fromkeys((*carry, "text"))), schema, run)
 

@@ -114,3 +114,21 @@ def test_near_duplicates_share_runs_of_five_words(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert {d.doc_id for d in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == want
+
+
+def test_language_keeps_clear_mixtures(spark):
+    """Even mixtures of two and three languages stay; a text without letters goes."""
+    own = {"en": "the of and to in is that it for on was with as be by this from are".split(),
+           "de": "der die und das nicht mit ein auf sich von dem den für ist werden wird".split(),
+           "fi": "joka olla tämä mutta kuin myös hän niin vain kaikki sitten kun minä sinä".split()}
+    text = {lang: lambda i, n, ws=ws: " ".join(ws[(i * 7 + 3 * k) % len(ws)] for k in range(n)) for lang, ws in own.items()}
+    rows = [(3 * i + j, text[lang](i, 30), lang) for i in range(30) for j, lang in enumerate(own)]
+    rows += [(1000, " ".join(text[lang](1, 20) for lang in ("en", "de", "fi")), None),
+             (1001, " ".join(text[lang](2, 30) for lang in ("de", "fi")), None),
+             (1002, " ".join(text[lang](3, n) for lang, n in (("fi", 24), ("en", 18), ("de", 18))), None),
+             (1003, "12 34 !", None)]
+    docs = spark.createDataFrame([(i, t, lang, "a", len(t)) for i, t, lang in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language(spark, docs, SF).collect()
+    assert sorted(d.doc_id for d in kept) == [i for i, _, _ in rows if i != 1003]
+    assert all(d.lang in own for d in kept)
