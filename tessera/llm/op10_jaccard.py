@@ -127,9 +127,9 @@ def portions(texts: list, chars: int = PORTION):
         yield begin, len(texts)
 
 
-def set_rows(docs: DataFrame, width: int, salt: int) -> DataFrame:
-    """doc_id, n_shingles, key and a second key of every row's set (keys null if empty)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def set_rows(docs: DataFrame, width: int, salt: int, carry: tuple = ("doc_id",)) -> DataFrame:
+    """``carry``, n_shingles, key and a second key of every row's set (keys null if empty)."""
+    types = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batch):
         n, k, k2, texts = [], [], [], batch.column("text").to_pylist()
@@ -138,9 +138,9 @@ def set_rows(docs: DataFrame, width: int, salt: int) -> DataFrame:
                 n.append(len(s))
                 k.append(set_key(s, salt) if len(s) else None)
                 k2.append(set_key(s, salt + 1) if len(s) else None)
-        return {"doc_id": batch.column("doc_id"), "n": n, "k": k, "k2": k2}
+        return {**{c: batch.column(c) for c in carry}, "n": n, "k": k, "k2": k2}
 
-    return map_batches(docs.select("doc_id", "text"), f"doc_id {id_type}, n bigint, k bigint, k2 bigint", run)
+    return map_batches(docs.select(*carry, "text"), f"{types}, n bigint, k bigint, k2 bigint", run)
 
 
 def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -> DataFrame:
@@ -336,18 +336,15 @@ def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFr
     return stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
 
 
-def link_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``.
+def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("doc_id",)) -> DataFrame:
+    """``carry``, n and c, the component of the row's set (null without shingles), of every row.
 
     Equal sets are one vertex, so copies cost nothing more.  Rows that share a signature
     are first tried against the smallest of them, one partner each; once those links have
-    joined components, only pairs of different components that still meet are compared.
-    Null, empty and white-space texts have no shingles and link with nothing (component:
-    their own doc_id); so does a null doc_id's row, whose component is the smallest
-    non-null one it links to.  Rows sharing a doc_id are separate rows."""
+    joined components, only pairs of different components that still meet are compared."""
     salt = 1
     while True:   # a clash of 64-bit keys shows in the second key; another salt then resolves it
-        rows = stored(set_rows(docs, width, salt), "rows")
+        rows = stored(set_rows(docs, width, salt, carry), "rows")
         if rows.groupBy("k").agg(F.min("k2").alias("x"), F.max("k2").alias("y")).where("x <> y").isEmpty():
             break
         salt += 2
@@ -364,20 +361,38 @@ def link_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, sets, percent))
         labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
-    labelled = rows.join(small(labels), "k", "left").withColumn("c", F.coalesce("component", "k"))
+    return rows.join(small(labels), "k", "left").withColumn("c", F.coalesce("component", "k"))
+
+
+def link_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``.
+
+    Null, empty and white-space texts have no shingles and link with nothing (component:
+    their own doc_id); so does a null doc_id's row, whose component is the smallest
+    non-null one it links to.  Rows sharing a doc_id are separate rows."""
+    labelled = labelled_rows(docs, width, percent)
     names = labelled.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(names, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that link, over any path, to one with a smaller doc_id.
-
-    Rows without doc_id stay."""
-    found = link_groups(docs, **options).where("doc_id <> component_id").select("doc_id").distinct()
-    gone = stored(found, "gone")
-    return docs.join(small(gone), "doc_id", "left_anti")
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of those that link over any path: the smallest by doc_id, then by
+    a hash of the whole row; of equal rows one.
+
+    Rows without doc_id stay, and so do rows without shingles, which link with nothing."""
+    marked = docs.withColumn("h", F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
+    rows = labelled_rows(marked, width, percent, ("doc_id", "h")).where("c is not null and doc_id is not null")
+    rows = stored(rows.groupBy("c", "doc_id", "h").agg(F.count("*").alias("n")), "own")
+    low = rows.groupBy("c").agg(F.sum("n").alias("size"), F.min(F.struct("doc_id", "h")).alias("low"))
+    low = stored(low.where("size > 1").select("c", "low"), "low")
+    other = F.struct("doc_id", "h") != F.col("low")
+    marks = rows.join(small(low), "c").where(other | (F.col("n") > 1)).select("doc_id", "h", other.alias("gone"))
+    marks = stored(marks, "gone")
+    kept = marked.join(small(marks), ["doc_id", "h"], "left").where("not coalesce(gone, false)")
+    once = kept.where("gone is not null").dropDuplicates(["doc_id", "h"])
+    return kept.where("gone is null").unionByName(once).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

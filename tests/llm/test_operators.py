@@ -375,6 +375,21 @@ def test_jaccard(spark, docs, rows, none):
     assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 2
 
 
+def test_keep_one_decides_by_row(spark):
+    one, near, alone, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "onuv")
+    near = one.replace("o59", "edit")
+    rows = [(1, one, "a"), (1, one, "a"), (2, near, "a"),       # two equal rows, one near copy
+            (2, alone, "a"),                                   # the near copy's id on a text of its own
+            (3, other, "a"), (3, other, None), (4, other, "b"),
+            (5, "", "a"), (5, "", "a"), (6, None, "a"), (7, "few words", None), (7, "few words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = collections.Counter(tuple(r) for r in op10_jaccard.keep_one(docs).collect())
+    three = [r for r in got if r[0] == 3]
+    assert len(three) == 1 and three[0] in rows
+    want = [(1, one, "a"), (2, alone, "a"), *three, (5, "", "a"), (5, "", "a"), (6, None, "a"), (7, "few words", None)]
+    assert got == collections.Counter(want)
+
+
 def test_pair_that_met_a_smaller_key_elsewhere(spark):
     """x and y link and meet in groups of two only; y was tried with z, which it also meets."""
     def made(text):
