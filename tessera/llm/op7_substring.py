@@ -1,6 +1,6 @@
 """Substring dedup: words covered by a run of ``WIDTH`` words that also starts elsewhere.
 
-Two ways that share the suffix automaton:
+Two ways, of which the query takes the second and only the first uses suffix automata:
 
 * ``strip_reference`` is for a given reference table: automata of its shards are broadcast,
   documents stream past them, and maximal spans by matching statistics go.
