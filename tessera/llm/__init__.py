@@ -5,7 +5,7 @@ import sys as _sys
 from pyspark import cloudpickle as _cloudpickle
 
 from . import (base, op1_neighbours, op2_mixing, op3_language, op4_pii, op5_quality, op6_html, op7_substring, op8_lm,
-               op9_packing, op10_jaccard, op12_simhash, op13_conversations)
+               op9_packing, op10_jaccard, op11_phrases, op12_simhash, op13_conversations)
 
 OPERATORS = {
     "op1_neighbours": op1_neighbours,
@@ -18,6 +18,7 @@ OPERATORS = {
     "op8_lm": op8_lm,
     "op9_packing": op9_packing,
     "op10_jaccard": op10_jaccard,
+    "op11_phrases": op11_phrases,
     "op12_simhash": op12_simhash,
     "op13_conversations": op13_conversations,
 }
