@@ -5,7 +5,8 @@
 * ``holdout_search`` — fit every grid point on one cached training split,
   score RMSE on the validation split, best = strictly smallest (first wins
   ties).  Independent fits may run from a small thread pool
-  (``parallelism``), each one an ordinary distributed Spark ML job.
+  (``parallelism``), each one an ordinary distributed Spark ML job.  Linear
+  regressions are not fitted point by point: all of a grid come from one pass.
 * ``run_log`` — the results as an append-only DataFrame
   ``(experiment, run_name, family, params, metric, value, is_best, model_path)``.
 """
@@ -32,6 +33,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tessera.models.elastic import grid_rmse, solve, sufficient
+
 FAMILIES = {
     "RF": RandomForestRegressor,
     "LR": LinearRegression,
@@ -118,11 +121,29 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     tasks = []
     for family, spec in grids.items():
+        if family == "LR" and set(spec) <= {"regParam", "elasticNetParam"}:
+            tasks.append((family, None, 0, spec))
+            continue
         est = make_estimator(family, label, features, seed)
         tasks += [(family, est, i, pm) for i, pm in enumerate(grid(est, spec))]
 
+    def linear(spec):
+        """All points of a linear grid: one pass over ``train``, one over ``val``."""
+        stats = sufficient(train, None, label, vector=features)
+        settings = [{p.name: pm[p] for p in pm} for pm in grid(make_estimator("LR", label, features, seed), spec)]
+        points = [solve(stats, s.get("regParam", 0.0), s.get("elasticNetParam", 0.0)) for s in settings]
+        runs = []
+        for i, (params, point, score) in enumerate(zip(settings, points, grid_rmse(val, points, label))):
+            path = os.path.join(save_dir, f"LR_{i:03d}") if save_dir else None
+            if path:
+                point.save(train.sparkSession, path)
+            runs.append(Run("LR", params, score, point, path))
+        return runs
+
     def one(task):
         family, est, i, pm = task
+        if est is None:
+            return linear(pm)
         model = est.fit(train, pm)
         score = evaluator.evaluate(model.transform(val))
         params = {p.name: pm[p] for p in pm}
@@ -130,14 +151,14 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
         if save_dir:
             path = os.path.join(save_dir, f"{family}_{i:03d}")
             model.write().overwrite().save(path)
-        return Run(family, params, float(score), model, path)
+        return [Run(family, params, float(score), model, path)]
 
     if parallelism > 1:
         # inheritable: pool threads keep the caller's job group / description / pool
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             target = inheritable_thread_target(train.sparkSession)(one)
-            return list(pool.map(target, tasks))
-    return [one(t) for t in tasks]
+            return [r for own in pool.map(target, tasks) for r in own]
+    return [r for t in tasks for r in one(t)]
 
 
 def best_run(runs: list[Run]) -> Run | None:

@@ -3,8 +3,8 @@
 A fixed vocabulary is the default: it keeps the output schema stable even
 when a value is absent from the data (absent -> an all-zero column) and
 needs no job.  Discovering the vocabulary runs one distributed ``distinct``
-and brings back the values, never the data; ``max_values`` makes more than
-that many an error.
+and brings back the values, never the data; more than ``max_values`` of
+them (default ``MAX_CATEGORIES``: each becomes a column) are an error.
 """
 
 from __future__ import annotations
@@ -19,16 +19,18 @@ class TooManyCategories(ValueError):
     pass
 
 
-def discover_values(df: DataFrame, column: str, max_values: int | None = None) -> list:
-    values = df.select(column).distinct()
-    rows = (values if max_values is None else values.limit(max_values + 1)).collect()
-    if max_values is not None and len(rows) > max_values:
+MAX_CATEGORIES = 1000
+
+
+def discover_values(df: DataFrame, column: str, max_values: int = MAX_CATEGORIES) -> list:
+    rows = df.select(column).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
         raise TooManyCategories(f"{column} has more than {max_values} distinct values")
     return sorted((r[0] for r in rows if r[0] is not None), key=str)
 
 
 def one_hot(df: DataFrame, column: str, values=None, names=None, prefix: str = "",
-            drop: bool = True, max_values: int | None = None, extend: bool = False) -> DataFrame:
+            drop: bool = True, max_values: int = MAX_CATEGORIES, extend: bool = False) -> DataFrame:
     """Add one INT 0/1 column per value (null category -> all zeros).
 
     ``extend`` adds a column for every value found beyond the given ones.

@@ -2,8 +2,8 @@
 
 Strategy:
 * ``auto`` (default) materialises the dimension once into the shared
-  checkpoint folder, counts it, and broadcasts it only when the count is
-  within ``max_broadcast_rows``; otherwise it stays a shuffle join, where
+  checkpoint folder, measures it, and broadcasts it only when its rows are
+  within ``max_broadcast_rows`` and their bytes within ``MAX_BROADCAST_BYTES``; otherwise it stays a shuffle join, where
   AQE's skew-join split handles hot keys on the fact side.
 * ``broadcast`` / ``shuffle`` force one side of that choice.
 
@@ -21,6 +21,7 @@ from tessera.operators.dedup import duplicate_keys
 from tessera.session import scratch_path
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 class DimensionNotUnique(ValueError):
@@ -36,18 +37,32 @@ def materialise(df: DataFrame, name: str = "materialised") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def measured(df: DataFrame) -> tuple:
+    """(rows, bytes) of a frame: 16 bytes a number, strings and binaries by length, nested
+    values by that of their JSON form."""
+    def width(field):
+        kind = field.dataType.simpleString()
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(f"`{field.name}`").cast("long"), F.lit(0)) + 16
+        if kind.split("<")[0] in ("array", "map", "struct", "variant"):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(f"`{field.name}`"))).cast("long"), F.lit(0)) + 16
+        return F.lit(16).cast("long")
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum((width(f) for f in df.schema.fields), F.lit(0))).alias("b")).first()
+    return found.n, int(found.b or 0)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialise_first: bool = True):
-    """Return ``(side, broadcast?)``: the side, hinted for broadcast only if its
-    measured row count is within ``max_rows``.
+                      materialise_first: bool = True, max_bytes: int | None = None):
+    """Return ``(side, broadcast?)``: the side, hinted for broadcast only if it has at
+    most ``max_rows`` rows and ``max_bytes`` bytes (default ``MAX_BROADCAST_BYTES``), both measured.
 
     ``materialise_first`` (for derived sides such as aggregates) writes it
-    once and counts from the Parquet footers, so the join reads the written
-    copy instead of recomputing it.  A side that is already a stored table
-    is counted where it is (``materialise_first=False``), with no copy."""
+    once, so the measuring and the join read the written copy instead of recomputing it.
+    A side that is already a stored table is measured where it is
+    (``materialise_first=False``), with no copy."""
     small = materialise(df, "dimension") if materialise_first else df
-    n = small.count()
-    if n <= max_rows:
+    rows, size = measured(small)
+    if rows <= max_rows and size <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes):
         return F.broadcast(small), True
     return small, False
 
@@ -65,7 +80,7 @@ def enrich(fact: DataFrame, dim: DataFrame, keys, how: str = "left",
     elif strategy == "broadcast":
         side, fits = bounded_broadcast(dim, max_broadcast_rows, materialise_dim)
         if not fits:
-            raise ValueError(f"the dimension has more than {max_broadcast_rows} rows: too many to broadcast")
+            raise ValueError(f"the dimension has more than {max_broadcast_rows} rows or {MAX_BROADCAST_BYTES} bytes: too many to broadcast")
     elif strategy == "shuffle":
         side = dim
     else:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least ``defaultParallelism`` partitions (round
-    robin) before CPU-heavy work on it: iterative fits, text serialisation.
-    Frames that already have enough partitions — any large input — are left
-    alone, so this never adds a shuffle at scale."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def balance(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread a frame evenly (round robin) before CPU-heavy work on it: iterative fits, text
+    serialisation.  By default over as many partitions as a shuffle has, and at least one a
+    core.  It always shuffles and never looks at its input, so it runs no job of its own."""
+    spark = df.sparkSession
+    own = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(partitions or own)

@@ -43,16 +43,19 @@ QUERIES = {
     "one_hot": c.one_hot_q,
     "one_hot_discovered": c.one_hot_discovered,
     "correlation_ranking": c.correlation_ranking_q,
+    "correlation_matrix": c.correlation_matrix_q,
     "feature_selection": c.feature_selection,
     "key_split": c.key_split_q,
     "rmse": c.rmse_q,
     "linear_regression": c.linear_regression,
+    "elastic_net_grid": c.elastic_net_grid_q,
     "vector_features": c.vector_features,
     "random_split": c.random_split_q,
     "random_forest": c.random_forest,
     "gbt": c.gbt,
     "model_search": c.model_search,
     "run_log": c.run_log_q,
+    "model_registry": c.model_registry,
     "incremental_ingest": c.incremental_ingest,
 }
 
@@ -97,16 +100,19 @@ COVERS = {
     "one_hot": "M1 F6",
     "one_hot_discovered": "M1 U3",
     "correlation_ranking": "A4 M4",
+    "correlation_matrix": "A4",
     "feature_selection": "M5",
     "key_split": "M6",
     "rmse": "A5",
     "linear_regression": "M8",
+    "elastic_net_grid": "M8 M10",
     "vector_features": "M3 M2",
     "random_split": "M6",
     "random_forest": "M7 M12 M3",
     "gbt": "M9 M12",
     "model_search": "M8 M7 M10 M11 M13 A4 M4 M5 A5",
     "run_log": "M13 M11",
+    "model_registry": "M8 M11 M12 M13",
     "incremental_ingest": "T1 U4",
 }
 

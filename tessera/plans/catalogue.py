@@ -39,6 +39,7 @@ from tessera.functions import (
 from tessera.operators import (
     balance,
     copy_as_id,
+    correlation_matrix,
     correlation_ranking,
     distinct_values,
     drop_columns,
@@ -431,6 +432,14 @@ def correlation_ranking_q(spark: SparkSession, sf: str) -> DataFrame:
                                net_price(), digits=6)
 
 
+def correlation_matrix_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of five features, one of them null on every third line, the label and a constant."""
+    li = _t(spark, sf, "lineitem")
+    columns = {c: F.col(c) for c in MODEL_FEATURES}
+    columns["l_linenumber"] = F.nullif("l_linenumber", F.lit(3))
+    return correlation_matrix(li, {**columns, "net_price": net_price(), "one": F.lit(1.5)}, digits=6)
+
+
 def feature_selection(spark: SparkSession, sf: str) -> DataFrame:
     part = _t(spark, sf, "part")
     ranking = correlation_ranking(part, ["p_partkey", "p_size"], "p_retailprice")
@@ -478,10 +487,53 @@ def vector_features(spark: SparkSession, sf: str) -> DataFrame:
     return vec.select("l_orderkey", vector_to_array("features").alias("features"))
 
 
+GRID_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def elastic_net_grid_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The nine linear models of the reference's grid for net prices in units of 100,000,
+    from one pass over the lines: three coefficients and the intercept of each."""
+    from tessera.models import coefficient_rows, elastic_net_grid, sufficient
+
+    rows = _t(spark, sf, "lineitem").select(*GRID_FEATURES, (net_price() / 100_000).alias("net_price"))
+    grid = DEFAULT_GRIDS["LR"]
+    points = elastic_net_grid(sufficient(rows, GRID_FEATURES, "net_price"), grid["regParam"], grid["elasticNetParam"])
+    return coefficient_rows(spark, points, digits=7)
+
+
+def model_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """A search's models are saved and logged, the log is appended twice under one run id, the
+    best of each family is read back and scored anew: how many fits the log holds, what the
+    repeated append added, and whether the score is the logged one."""
+    from tessera.models import best_runs, read_runs, register_runs, rescore, run_log, search_grids
+    from tessera.plans.training import prepare, split
+
+    vec, _, _ = prepare(_model_input(spark, sf), MODEL_FEATURES, "net_price", keep=["l_orderkey"])
+    train, val = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in split(balance(vec), "key", "l_orderkey"))
+    root, spec = scratch_path(spark, "registry"), {"LR": DEFAULT_GRIDS["LR"], "RF": {"numTrees": [5], "maxDepth": [5, 8]}}
+    try:
+        runs = search_grids(spec, train, val, "net_price", "selected_features", parallelism=SEARCH_PARALLELISM,
+                            save_dir=os.path.join(root, "models"))
+        log = run_log(spark, "registry", runs)
+        table = os.path.join(root, "log")
+        register_runs(log, table, "first")
+        once = read_runs(spark, table).groupBy("family").agg(F.count(F.lit(1)).alias("once"))
+        once = {r.family: r.once for r in once.collect()}            # one row a family
+        logged = register_runs(log, table, "first")
+        again = rescore(spark, best_runs(logged), val, "net_price")
+    finally:
+        train.unpersist()
+        val.unpersist()
+    counts = logged.groupBy("family").agg(F.count_if(~F.col("is_best")).alias("fits"), F.count(F.lit(1)).alias("n"))
+    before = F.create_map(*[F.lit(x) for item in once.items() for x in item])
+    same = F.abs(F.col("scored") - F.col("logged")) <= F.col("logged") * 1e-9
+    return counts.join(again, "family").select("family", "fits", (F.col("n") - before[F.col("family")]).alias("added"), same.alias("same"))
+
+
 def random_split_q(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.operators import random_split_labelled
 
-    return random_split_labelled(_model_input(spark, sf), (0.8, 0.2), seed=42)
+    return random_split_labelled(_model_input(spark, sf).drop("net_price"), (0.8, 0.2), seed=42)
 
 
 def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> DataFrame:

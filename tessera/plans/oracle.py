@@ -5,6 +5,17 @@ DuckDB, hence the INT casts; ``CASE ... 1/0`` is INTEGER; ``count`` is
 BIGINT).  Floating aggregates are rounded on both sides.
 """
 
+
+def _correlation_matrix() -> str:
+    """One SELECT a pair; a value that is constant where both are there gives null."""
+    columns = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount", "l_tax": "l_tax",
+               "l_linenumber": "nullif(l_linenumber, 3)", "net_price": "l_extendedprice * (1 - l_discount)", "one": "1.5::DOUBLE"}
+    pairs = [f"""SELECT '{x}' AS x, '{y}' AS y, CASE WHEN max(a) FILTER (b IS NOT NULL) > min(a) FILTER (b IS NOT NULL)
+       AND max(b) FILTER (a IS NOT NULL) > min(b) FILTER (a IS NOT NULL) THEN round(corr(a, b), 6) END AS r
+FROM (SELECT ({a})::DOUBLE AS a, ({b})::DOUBLE AS b FROM lineitem)""" for x, a in columns.items() for y, b in columns.items()]
+    return "\nUNION ALL ".join(pairs)
+
+
 ORACLE_SQL = {
     "feature_table": """
 WITH base AS (
@@ -146,4 +157,37 @@ SELECT l_orderkey, [coalesce(l_quantity, avg(l_quantity) OVER ()), coalesce(l_ex
 SELECT user_id, event_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t
 WHERE rn = 1""",
+    "correlation_matrix": _correlation_matrix(),
+    "elastic_net_grid": """
+WITH RECURSIVE lines AS (
+  SELECT l_quantity AS a, l_extendedprice AS b, l_discount AS c, l_extendedprice * (1 - l_discount) / 100000 AS y FROM lineitem),
+m AS (
+  SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc, corr(a, y) AS ay, corr(b, y) AS bY, corr(c, y) AS cy,
+         stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(c) AS sc, stddev_pop(y) AS sy,
+         avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my FROM lines),
+grid AS (
+  SELECT reg_param, elastic_net, reg_param * elastic_net / sy AS l1, reg_param * (1 - elastic_net) / sy AS l2, m.*
+  FROM (SELECT unnest([0.1, 0.01, 0.001])::DOUBLE AS reg_param), (SELECT unnest([0.0, 0.5, 1.0])::DOUBLE AS elastic_net), m),
+walk AS (
+  SELECT reg_param, elastic_net, 0 AS step, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc FROM grid
+  UNION ALL
+  SELECT t.reg_param, t.elastic_net, step + 1, na, nb,
+         sign(g.cy - g.ac * na - g.bc * nb) * greatest(abs(g.cy - g.ac * na - g.bc * nb) - g.l1, 0) / (1 + g.l2)
+  FROM (SELECT s.*, sign(g.bY - g.ab * na - g.bc * wc) * greatest(abs(g.bY - g.ab * na - g.bc * wc) - g.l1, 0) / (1 + g.l2) AS nb
+        FROM (SELECT w.*, sign(g.ay - g.ab * wb - g.ac * wc) * greatest(abs(g.ay - g.ab * wb - g.ac * wc) - g.l1, 0) / (1 + g.l2) AS na
+              FROM walk w JOIN grid g USING (reg_param, elastic_net) WHERE step < 600) s
+        JOIN grid g USING (reg_param, elastic_net)) t
+  JOIN grid g USING (reg_param, elastic_net)),
+done AS (
+  SELECT g.*, wa * sy / sa AS ka, wb * sy / sb AS kb, wc * sy / sc AS kc FROM walk JOIN grid g USING (reg_param, elastic_net) WHERE step = 600)
+SELECT reg_param, elastic_net, unnest(['intercept', 'l_quantity', 'l_extendedprice', 'l_discount']) AS term,
+       round(unnest([my - ka * ma - kb * mb - kc * mc, ka, kb, kc]), 7) + 0.0 AS value FROM done""",
+    "model_registry": "SELECT * FROM (VALUES ('LR', 9::BIGINT, 0::BIGINT, true), ('RF', 2::BIGINT, 0::BIGINT, true)) t(family, fits, added, same)",
+    "random_split": """
+SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber,
+       CASE WHEN ('0x' || substr(md5(concat_ws(':', '42', copy, line)), 1, 13))::BIGINT / 4503599627370496.0 < 0.8
+            THEN 'train' ELSE 'validation' END AS part_name
+FROM (SELECT *, row_number() OVER (PARTITION BY line) AS copy
+      FROM (SELECT *, concat_ws(chr(31), l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber) AS line
+            FROM lineitem))""",
 }

@@ -86,8 +86,7 @@ def split(df: DataFrame, how: str = "random", key: str | None = None, seed: int
             raise ValueError("key split needs a key column")
         n = 10
         return split_parts(key_split(df, key, int(round(weights[0] * n)), n, hashed=True))
-    train, val = random_split(df, weights, seed)
-    return train, val
+    return tuple(random_split(df, weights, seed))
 
 
 def train_and_validate(df: DataFrame, feature_columns, label: str = "price", grids=None,
