@@ -8,11 +8,15 @@ QUERIES = {
     "snapshot_scan": c.snapshot_scan,
     "picked_files": c.picked_files,
     "schema_unify": c.schema_unify,
+    "first_wins_schema": c.first_wins_schema,
     "keyed_object_scan": c.keyed_object_scan,
     "csv_scan": c.csv_scan,
+    "csv_inferred": c.csv_inferred,
     "parquet_scan": c.parquet_scan,
     "partitioned_scan": c.partitioned_scan,
+    "versioned_table": c.versioned_table,
     "paged_records": c.paged_records,
+    "offset_pages": c.offset_pages,
     "source_registry": c.source_registry,
     "document_collection": c.document_collection,
     "table_profile": c.table_profile_q,
@@ -65,11 +69,15 @@ COVERS = {
     "snapshot_scan": "S1 S2 S6 K3",
     "picked_files": "S5 S8 K1",
     "schema_unify": "S2 S3 U1",
+    "first_wins_schema": "S1 S2 S3 S6",
     "keyed_object_scan": "S4",
     "csv_scan": "S7 K4",
+    "csv_inferred": "S7 K4",
     "parquet_scan": "S9 K2",
     "partitioned_scan": "S10 K3",
+    "versioned_table": "S10 K3",
     "paged_records": "S11",
+    "offset_pages": "S11",
     "source_registry": "S12 A3",
     "document_collection": "K5 P10",
     "table_profile": "K6 A3",

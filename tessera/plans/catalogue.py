@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -69,15 +69,18 @@ from tessera.sinks import write_collection, write_csv, write_json, write_parquet
 from tessera.sources import (
     SourceRegistry,
     SourceSpec,
+    first_schema,
     infer_schema,
     read_csv,
     read_json,
     read_keyed_objects,
+    read_offset_pages,
     read_parquet,
     read_partitioned,
     read_record_pages,
     read_snapshots,
     source_counts,
+    write_offset_pages,
 )
 from tessera.sources.keyed_json import write_keyed_objects
 from tessera.sources.pages import write_record_pages
@@ -161,6 +164,77 @@ def schema_unify(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
+def first_wins_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly snapshots whose orders have a whole-number price at first, then one with a
+    point, and a priority from 1998 on: all files' schemas are inferred and unified, first
+    definition wins, by one job, and the files read with it."""
+    orders = _t(spark, sf, "orders")
+    root = scratch_path(spark, "first-wins")
+    month = F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd").alias("snapshot")
+    late = F.year("o_orderdate") >= 1998
+    price = F.when(late, F.col("o_totalprice")).otherwise(F.floor("o_totalprice")).alias("price")
+    write_partitioned(orders.where(~late).select("o_orderkey", price.cast("long").alias("price"), month), os.path.join(root, "old"),
+                      ["snapshot"], fmt="json")
+    write_partitioned(orders.where(late).select("o_orderkey", price, "o_orderpriority", month), os.path.join(root, "new"),
+                      ["snapshot"], fmt="json")
+    folders = [os.path.join(root, "old"), os.path.join(root, "new")]
+    schema = first_schema(spark, folders, glob="*.json", recursive=True)
+    df = read_snapshots(spark, folders, schema=schema, glob="*.json")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return df.select("o_orderkey", "o_orderpriority", "year", F.lit(",".join(f"{n} {t}" for n, t in kinds.items())).alias("schema"))
+
+
+def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as CSV files with a header, read back with the types found in them."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+    path = write_csv(li, scratch_path(spark, "csv-inferred"), header=True)
+    df = read_csv(spark, path, infer=True, header=True)
+    kinds = ",".join(t for _, t in df.dtypes)
+    return df.select(F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long"), "l_extendedprice", "l_returnflag",
+                     F.col("l_shipdate").cast("date"), F.lit(kinds).alias("types"))
+
+
+def versioned_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a versioned table by year and status: overwritten twice, the partitions of
+    1997 replaced, a failing overwrite and one from an old version refused; read back."""
+    from pyspark.errors import PySparkException
+
+    from tessera.sinks import ConcurrentCommit, VersionedTable
+
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("int").alias("year"), "o_orderstatus")
+    table, by = VersionedTable(spark, scratch_path(spark, "versioned")), ["year", "o_orderstatus"]
+    table.overwrite(orders.withColumn("o_totalprice", F.lit(0.0)), by)
+    table.overwrite(orders, by)
+    before = table.latest()
+    table.replace_partitions(orders.where("year = 1997").withColumn("o_totalprice", F.col("o_totalprice") + 1000))
+    refused = []
+    for attempt in (lambda: table.overwrite(orders.withColumn("o_totalprice", F.raise_error(F.lit("broken")).cast("double")), by),
+                    lambda: table.overwrite(orders.limit(10), by, base=before)):
+        try:
+            attempt()
+        except (PySparkException, ConcurrentCommit) as e:
+            refused.append(isinstance(e, ConcurrentCommit))
+    return table.read().select("o_orderkey", "o_totalprice", "year", "o_orderstatus",
+                               F.lit(table.latest()).cast("long").alias("version"), F.lit(refused == [False, True]).alias("refused"))
+
+
+def offset_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations stored as pages of an offset-paged API (some 200 turns a page, some with a
+    field that the first record lacks, an empty page, and one behind it), read to the end."""
+    conv = _t(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    note = F.when((F.col("role") == "system") & (F.col("conv_id") > 50), F.length("text")).alias("note")
+    page = F.floor(F.col("conv_id") / 40)
+    sizes = conv.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("n"))     # the stand-in's offsets: a running sum
+    starts = sizes.withColumn("offset", F.sum("n").over(Window.orderBy("page")) - F.col("n"))
+    total = starts.agg(F.max(F.col("offset") + F.col("n"))).first()[0]
+    root = scratch_path(spark, "offset-pages")
+    rows = conv.select("*", note, page.alias("page")).join(starts.select("page", "offset"), "page").drop("page")
+    write_offset_pages(rows, root)
+    ends = [(total, '{"result": {"records": []}}'), (total + 1000, '{"result": {"records": [{"conv_id": -1}]}}')]
+    spark.createDataFrame(ends, "offset long, value string").write.mode("append").partitionBy("offset").text(root)
+    return read_offset_pages(spark, root)
+
+
 CUSTOMER_VALUE = (StructType().add("c_custkey", LongType()).add("c_nationkey", IntegerType())
                   .add("c_acctbal", DoubleType()))
 

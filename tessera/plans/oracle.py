@@ -190,4 +190,16 @@ SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber,
 FROM (SELECT *, row_number() OVER (PARTITION BY line) AS copy
       FROM (SELECT *, concat_ws(chr(31), l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber) AS line
             FROM lineitem))""",
+    "first_wins_schema": """
+SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
+       CAST(year(o_orderdate) AS INT) AS year, 'o_orderkey bigint,price bigint,o_orderpriority string' AS schema FROM orders""",
+    "csv_inferred": """
+SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice, l_returnflag, l_shipdate::DATE AS l_shipdate,
+       'int,int,double,string,timestamp' AS types FROM lineitem""",
+    "versioned_table": """
+SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice + 1000 ELSE o_totalprice END AS o_totalprice,
+       CAST(year(o_orderdate) AS INT) AS year, o_orderstatus, 3::BIGINT AS version, true AS refused FROM orders""",
+    "offset_pages": """
+SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, role, text,
+       CASE WHEN role = 'system' AND conv_id > 50 THEN '{"note":' || length(text) || '}' END AS _extra FROM conversations""",
 }

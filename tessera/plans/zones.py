@@ -74,6 +74,7 @@ INCOME_RENAMES = {
 }
 # --- end of fixed values ---
 
+# --- fixed values: field names of the sources ---
 HOUSING_VALUE = (StructType().add("Habitatges_totals", LongType())
                  .add("Superficie_mitjana", DoubleType()).add("Preu_m2_mitja", DoubleType()))
 
@@ -81,6 +82,7 @@ INCOME_SCHEMA = (StructType().add("_id", IntegerType()).add("Any", IntegerType()
                  .add("Codi_Districte", IntegerType()).add("Nom_Districte", StringType())
                  .add("Codi_Barri", IntegerType()).add("Nom_Barri", StringType())
                  .add("Seccio_Censal", IntegerType()).add("Import_Euros", IntegerType()))
+# --- end of fixed values ---
 
 
 # ---------------------------------------------------------------- landing zone
@@ -96,6 +98,16 @@ def land_income_pages(spark: SparkSession, pages_dir: str, landing_dir: str,
     return write_csv(records, landing_dir, header=True)
 
 
+def land_offset_pages(spark: SparkSession, pages_dir: str, landing_dir: str) -> str:
+    """Stored responses of an offset-paged API, one file a page -> one CSV landing table whose
+    header is the first record's, up to the first page without records.  Fields that only
+    later records have go to a last column as JSON."""
+    from tessera.sinks import write_csv
+    from tessera.sources import read_offset_pages
+
+    return write_csv(read_offset_pages(spark, pages_dir), landing_dir, header=True)
+
+
 # ---------------------------------------------------------------- formatted zone
 
 def clean_snapshot_batch(df: DataFrame, path_col: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Writers: JSON / Parquet / CSV overwrite, partitioned tables, keyed
 document collections.  All are distributed writes — nothing is collected."""
 
+from tessera.sinks.versioned import ConcurrentCommit, NoTable, VersionedTable
 from tessera.sinks.writers import (
     DuplicateKey,
     write_collection,
@@ -10,5 +11,5 @@ from tessera.sinks.writers import (
     write_partitioned,
 )
 
-__all__ = ["DuplicateKey", "write_collection", "write_csv", "write_json",
+__all__ = ["ConcurrentCommit", "DuplicateKey", "NoTable", "VersionedTable", "write_collection", "write_csv", "write_json",
            "write_parquet", "write_partitioned"]

@@ -13,7 +13,17 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    LongType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tessera.sources.files import CORRUPT_COLUMN, file_path, read_json
 
@@ -72,19 +82,100 @@ def snapshot_files(spark: SparkSession, paths, glob: str | None = None,
     return sorted(files, key=key)
 
 
+def _joined(a: DataType, b: DataType) -> DataType:
+    """The type of a field that has both types in one file, by the rules of JSON inference."""
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        fields = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            fields[f.name] = _joined(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        return StructType([StructField(n, fields[n]) for n in sorted(fields)])
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(_joined(a.elementType, b.elementType))
+    numbers = (LongType, DoubleType, DecimalType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        if DoubleType() in (a, b):
+            return DoubleType()
+        return DecimalType(max(t.precision if isinstance(t, DecimalType) else 20 for t in (a, b)), 0)
+    return StringType()
+
+
+def _settled(t: DataType) -> DataType | None:
+    """What JSON inference makes of a type in the end: no value is a string, an object that
+    never has a field is no field."""
+    if isinstance(t, StructType):
+        fields = [StructField(f.name, s) for f in t.fields if (s := _settled(f.dataType)) is not None]
+        return StructType(fields) if fields else None
+    if isinstance(t, ArrayType):
+        inner = _settled(t.elementType)
+        return None if inner is None else ArrayType(inner)
+    return StringType() if t.typeName() in ("void", "variant") else t
+
+
+def _variant_type(text: str) -> DataType:
+    """The type that ``schema_of_variant`` names (names in backticks are left alone)."""
+    parts = text.split("`")
+    return DataType.fromDDL("`".join(p if i % 2 else p.replace("OBJECT<", "STRUCT<") for i, p in enumerate(parts)))
+
+
+#: a variant keeps a number with a point as a decimal; JSON inference calls it a double
+_POINT_NUMBERS = [r"DECIMAL\((1[0-8]|[1-9]),\d+\)", r"DECIMAL\(\d+,[1-9]\d*\)"]
+
+
+def first_schema(spark: SparkSession, paths, glob: str | None = None, recursive: bool = False,
+                 multi_line: bool = False) -> StructType:
+    """First-wins schema of snapshot files, oldest date first, from one job for any number of them.
+
+    Every record is parsed as a variant; (field, its type) is aggregated with the oldest file
+    that has it, and only these pairs reach the driver, as many as fields have different
+    types.  A field's definition is that of the first file with it, as if each file's schema
+    had been inferred by itself: fields of one file by name, types that meet in one file
+    joined by the rules of JSON inference (an array of both whole and pointed numbers is taken
+    for large integers if all its pointed ones end in .0).  Lines that are not JSON, and
+    values that are not objects, have no fields."""
+    r = spark.read.format("text")
+    for option, value in (("pathGlobFilter", glob), ("recursiveFileLookup", "true" if recursive else None),
+                          ("wholetext", "true" if multi_line else None)):
+        if value:
+            r = r.option(option, value)
+    lines = r.load(paths).select(F.try_parse_json("value").alias("v"), file_path().alias("path"))
+    one = F.expr("explode(coalesce(try_variant_get(v, '$', 'array<variant>'), array(v)))")
+    records = lines.select("path", one.alias("r"))
+    fields = records.select("path", F.expr("explode(try_cast(r as map<string, variant>))").alias("name", "value"))
+    kind = F.schema_of_variant("value")
+    for pattern in _POINT_NUMBERS:
+        kind = F.regexp_replace(kind, pattern, "DOUBLE")
+    date = F.concat(*[F.regexp_extract("path", DATE_PATTERN, i) for i in (1, 2, 3)])
+    age = F.struct(F.when(date == "", "99999999").otherwise(date).alias("date"), "path")
+    found = fields.select("name", kind.alias("kind"), age.alias("age")).groupBy("name", "kind").agg(F.min("age").alias("age")).collect()
+    first = {}
+    for name, kind, age in found:
+        first[name] = min(first.get(name, age), age)
+    types = {}
+    for name, kind, age in sorted(found):
+        if age == first[name]:
+            t = _variant_type(kind)
+            types[name] = _joined(types[name], t) if name in types else t
+    settled = [(first[n], n, s) for n, t in types.items() if (s := _settled(t)) is not None]
+    return StructType([StructField(n, t) for _, n, t in sorted(settled, key=lambda x: x[:2])])
+
+
 def infer_schema(spark: SparkSession, paths, policy: str = "merge", glob: str | None = None,
                  recursive: bool = False, sampling_ratio: float | None = None,
                  per_file: bool = False, multi_line: bool = False) -> StructType:
     """``merge``: one inference job over all paths (Spark merges nested
-    structs).  ``first``: one job per path, unified first-wins; with
-    ``per_file`` the paths are first expanded to their snapshot files in date
-    order (one job per file — only for a handful of files)."""
+    structs).  ``first``: one job per path, unified first-wins, each path a group of files;
+    with ``per_file`` every file is its own group, in date order: one job for all of them, see
+    ``first_schema``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if policy == "merge":
         return read_json(spark, paths, glob=glob, recursive=recursive, multi_line=multi_line,
                          sampling_ratio=sampling_ratio).schema
     if per_file:
-        paths, glob, recursive = snapshot_files(spark, paths, glob, recursive), None, False
+        return first_schema(spark, paths, glob, recursive, multi_line)
     schemas = [read_json(spark, p, glob=glob, recursive=recursive, multi_line=multi_line,
                          sampling_ratio=sampling_ratio).schema for p in paths]
     return unify_schemas(schemas, "first")

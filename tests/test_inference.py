@@ -1,0 +1,104 @@
+"""First-wins inference in one job against inference file by file; offset-paged responses."""
+
+import json
+import os
+
+import pytest
+
+from tessera.sources import BrokenPages, first_schema, read_offset_pages, unify_schemas
+from tessera.sources.snapshots import read_json, snapshot_files
+
+
+def file_by_file(spark, folder, multi_line=False):
+    files = snapshot_files(spark, folder, "*.json", True)
+    return unify_schemas([read_json(spark, f, multi_line=multi_line).schema for f in files], "first")
+
+
+def snapshots(folder, by_date, indent=None):
+    os.makedirs(folder, exist_ok=True)
+    for date, rows in by_date.items():
+        with open(f"{folder}/{date}_x.json", "w", encoding="utf-8") as f:
+            json.dump(rows, f, ensure_ascii=False, indent=indent)
+    return folder
+
+
+CASES = {
+    "2020_03_01": [{"b": 1.5, "late": True, "o": {"new": 1, "x y": [1]}}],
+    "2020_01_01": [{"b": 1, "a": "x", "o": {"q": None, "p": 2}}, {"b": 2, "o": {"p": 2.5, "r": [{"m": 1}, {"n": "t"}]}}],
+    "2020_01_02": [],
+    "2020_02_01": [{"b": "s", "z": None, "empty": {}, "list": [], "big": 12345678901234567890, "mix": 1, "e": 1e300},
+                   {"mix": True, "nested": [[1], [2.5]], "é `q`": 3}, {"long": 2**40, "n": -1, "t": "2020-01-01", "whole": 2.0, "weird.name": {"a.b": 1}}],
+    "2021_01_01": [{"whole": 3, "none": None, "n": 5}, {"only": 1}, {"only": 2.0}, {"only": 3}],
+}
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_job_equals_file_by_file(spark, tmp, indent):
+    folder = snapshots(f"{tmp}/land", CASES, indent)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("infer", "")
+    got = first_schema(spark, folder, "*.json", True, multi_line=indent is not None)
+    jobs = len(tracker.getJobIdsForGroup("infer"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == file_by_file(spark, folder, indent is not None)
+    more = snapshots(f"{tmp}/more", {f"2022_01_{d:02d}": [{"k": d}] for d in range(1, 29)})
+    spark.sparkContext.setJobGroup("infer more", "")
+    first_schema(spark, more, "*.json", True)
+    assert len(tracker.getJobIdsForGroup("infer more")) <= jobs        # the same for three times the files
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lines_that_are_not_json(spark, tmp):
+    folder = snapshots(f"{tmp}/land", {"2020_01_01": [{"a": 1}]})
+    with open(f"{folder}/2020_01_01_x.json", "a") as f:
+        f.write('\n{"b": \n7\n"s"\n{"c": "x"}\n[1, {"d": 1}]')
+    assert first_schema(spark, folder, "*.json").simpleString() == "struct<a:bigint,c:string,d:bigint>"
+    assert first_schema(spark, snapshots(f"{tmp}/none", {"2020_01_01": []}), "*.json").fields == []
+
+
+def pages(folder, by_offset):
+    for offset, records in by_offset.items():
+        os.makedirs(f"{folder}/offset={offset}", exist_ok=True)
+        with open(f"{folder}/offset={offset}/page.json", "w", encoding="utf-8") as f:
+            f.write(records if isinstance(records, str) else json.dumps({"help": "x", "result": {"records": records, "total": 9}}, indent=1))
+    return folder
+
+
+RECORDS = [{"_id": i, "Nom Barri": f"é{i}", "v": None if i == 3 else i / 2} for i in range(7)]
+
+
+def test_pages_to_the_first_empty_one(spark, tmp):
+    late = [{**RECORDS[5], "new": {"a": 1}, "n2": "t"}, {"_id": 6}]
+    folder = pages(f"{tmp}/p", {0: RECORDS[:3], 3: RECORDS[3:5], 5: late, 7: [], 9: [{"_id": 99}], 12: "broken{"})
+    df = read_offset_pages(spark, folder)
+    assert df.columns == ["_id", "Nom Barri", "v", "_extra"]
+    rows = sorted(map(tuple, df.collect()))
+    assert [r[0] for r in rows] == [str(i) for i in range(7)] and rows[3][2] is None and rows[2][1:3] == ("é2", "1")
+    assert json.loads(rows[5][3]) == {"new": {"a": 1}, "n2": "t"} and rows[6][1:] == (None, None, None)
+    assert all(r[3] is None for r in rows[:5])
+
+
+@pytest.mark.parametrize("stored, said", [
+    ({0: RECORDS[:3], 4: RECORDS[3:5], 6: []}, "no page at offset 3"),
+    ({0: RECORDS[:3], 3: RECORDS[3:5], 4: RECORDS[4:5], 5: []}, "no page ends at offset 4"),
+    ({3: RECORDS[3:5], 5: []}, "no page ends at offset 3"),
+    ({0: RECORDS[:3], 3: "broken{", 5: []}, "malformed"),
+    ({0: RECORDS[:3]}, "the end is missing"),
+])
+def test_broken_chains(spark, tmp, stored, said):
+    with pytest.raises(BrokenPages, match=said):
+        read_offset_pages(spark, pages(f"{tmp}/p", stored))
+
+
+def test_no_records_at_all(spark, tmp):
+    assert read_offset_pages(spark, pages(f"{tmp}/p", {0: [], 5: RECORDS[:1]})).isEmpty()
+
+
+def test_landing_table(spark, tmp):
+    from tessera.plans.zones import land_offset_pages
+    from tessera.sources import read_csv
+
+    landed = land_offset_pages(spark, pages(f"{tmp}/p", {0: RECORDS[:3], 3: RECORDS[3:7], 7: []}), f"{tmp}/csv")
+    df = read_csv(spark, landed, infer=True)
+    assert df.columns == ["_id", "Nom Barri", "v", "_extra"] and df.count() == 7
+    assert dict(df.dtypes)["_id"] == "int" and dict(df.dtypes)["v"] == "double"
