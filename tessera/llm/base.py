@@ -45,7 +45,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read back."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing still to be run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
@@ -124,7 +134,8 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> D
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = stored(arrange(star(both, True)).distinct(), "large")
-        now = stored(arrange(star(large, False)).distinct(), "small")
+        before, now = now, stored(arrange(star(large, False)).distinct(), "small")
+        discard(before, large)
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             break

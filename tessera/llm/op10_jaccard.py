@@ -4,7 +4,8 @@ A pair that is similar enough differs in few shingles.  Shingles are hashed into
 groups than two linked sets can differ in, so some group is the same in both: rows meet by
 the content of a group, which loses no link.  Among rows that meet, the counts of 32
 coarser groups are points of an R-tree; the summed coordinate minima bound the overlap and
-prune pairs; survivors are verified on the whole sets.
+prune pairs; survivors are counted where they meet, and the edges that join components are
+verified on the whole sets.
 
 (An R-tree over the whole table alone opens nearly every leaf: a linked pair may differ by
 about 0.16 n, while any one coordinate or sum of coordinates of unrelated texts of n
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-from .base import by_bucket, components, give_back, hash_words, map_batches, mix, small, stored
+from .base import by_bucket, components, discard, give_back, hash_words, map_batches, mix, small, stored
 
 WIDTH = 4                    # words a shingle
 PERCENT = 85                 # similarity from which two documents link, in percent
 DIMS = 32                    # coordinates of a point
-FINE = 256                   # finer groups: the same bound, closer, for what the tree lets through
+MARKS = 1 << 20              # bits of the table by which a set's overlap with others is bounded
 NODE = 16                    # entries of an R-tree node
 BLOCK = 512                  # rows of a group that one task compares with another such block
 BUCKET_ROWS = 750_000      # signatures a bucket should hold
@@ -67,51 +68,59 @@ def size_classes(largest: int, percent: int = PERCENT) -> np.ndarray:
     return np.array(edges, np.int64)
 
 
+def subgroups(percent: int) -> int:
+    """Parts a group is cut into.  Whole groups hold (100 + p) / 2(100 - p) shingles; where
+    that is under six, unrelated texts that share a passage often agree on one, so groups
+    are twice as large, may differ in one shingle, and have four parts of which three agree."""
+    return 1 if 100 + percent >= 12 * (100 - percent) else 4
+
+
 def signatures(sets: list, percent: int = PERCENT):
     """(signature, index of its set) of every set: the content of its groups, for the class
     of the larger partner being its own or the next.
 
     With sizes below u, linked sets differ in at most d = 2u(100 - p)/(100 + p) shingles.
-    d + 1 + s groups leave 1 + s equal ones.  Groups of at most one shingle, which unrelated
-    texts may share, are left out unless the set has more than s of them: of a linked pair,
-    the set with fewer then still has an equal larger group."""
+    d + 1 + s groups leave 1 + s equal ones; (d + 1)/2 + s groups leave 1 + s that differ in
+    at most one shingle, and then all but one of their four parts are equal: a signature is
+    the content of a group, or of a group without one of its parts.  Signatures of at most
+    one shingle, which unrelated texts may share, are left out unless the set has more than
+    s groups with such a one: of a linked pair, the set with fewer then still has a larger
+    signature in an equal group, which as it is equal is a larger one of the other set too."""
     n = np.array([len(s) for s in sets], np.int64)
     edges = size_classes(int(n.max(initial=1)), percent)
     own = np.searchsorted(edges, n, "right") - 1
+    parts = subgroups(percent)
     sigs, owners = [], []
     for step in (0, 1):
         scheme = own + step
         u = edges[scheme + 1] - 1
         differ = 2 * u * (100 - percent) // (100 + percent)
         spare = u // 60
-        m = differ + 1 + spare
         use = np.flatnonzero((n > 0) & (differ > 0))
         if not len(use):
             continue
-        flat = np.concatenate([sets[i] for i in use])
-        sizes = n[use]
-        rows = np.repeat(np.arange(len(use)), sizes)
-        start = np.cumsum(m[use]) - m[use]
-        part = ((flat >> np.uint64(32)) * np.repeat(m[use], sizes).astype(np.uint64)) >> np.uint64(32)
-        slot = start[rows] + part.astype(np.int64)
+        m = (differ + 1 if parts == 1 else (differ + 2) // 2)[use] + spare[use]
+        first = np.cumsum(m) - m                                     # each set's first group
+        flat, rows = np.concatenate([sets[i] for i in use]), np.repeat(np.arange(len(use)), n[use])
+        slot = ((flat >> np.uint64(32)) * (m * parts)[rows].astype(np.uint64)) >> np.uint64(32)
+        slot = first[rows] * parts + slot.astype(np.int64)           # ascending, as the sets are
         cut = np.concatenate(([0], np.flatnonzero(np.diff(slot)) + 1))
+        content, count = np.zeros(m.sum() * parts, np.uint64), np.zeros(m.sum() * parts, np.int64)
         with np.errstate(over="ignore"):
-            content = np.add.reduceat(mix(flat), cut)
-        count = np.diff(np.concatenate((cut, [len(flat)])))
-        at, row = slot[cut], rows[cut]
-        heavy = count > 1
-        light = m[use] - np.bincount(row[heavy], minlength=len(use))
-        all_of = light > spare[use]
-        keep = heavy | all_of[row]
-        with np.errstate(over="ignore"):
-            tag = mix((scheme[use][row] * np.int64(1 << 32) + (at - start[row])).astype(np.uint64))
+            content[slot[cut]] = np.add.reduceat(mix(flat), cut)
+            count[slot[cut]] = np.diff(np.concatenate((cut, [len(flat)])))
+            content, count = content.reshape(-1, parts), count.reshape(-1, parts)
+            if parts > 1:
+                content = content.sum(axis=1, dtype=np.uint64)[:, None] - content
+                count = count.sum(axis=1)[:, None] - count
+            light = count <= 1
+            all_of = np.add.reduceat(light.any(axis=1).astype(np.int64), first) > spare[use]
+            row = np.repeat(np.arange(len(use)), m)
+            place = (np.arange(len(row)) - first[row])[:, None] * parts + np.arange(parts)
+            tag = mix((scheme[use][row][:, None] * np.int64(1 << 32) + place).astype(np.uint64))
+            keep = ~light | all_of[row][:, None]
             sigs.append(mix(content + tag)[keep])
-        owners.append(use[row[keep]])
-        for i in np.flatnonzero(all_of):      # its empty groups as well
-            gone = np.setdiff1d(np.arange(m[use[i]]), at[row == i] - start[i])
-            tag = mix((scheme[use[i]] * np.int64(1 << 32) + gone).astype(np.uint64))
-            sigs.append(mix(tag))
-            owners.append(np.full(len(gone), use[i]))
+        owners.append(np.repeat(use[row], parts).reshape(-1, parts)[keep])
     return (np.concatenate(sigs), np.concatenate(owners)) if sigs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
@@ -146,10 +155,13 @@ def set_rows(docs: DataFrame, width: int, salt: int, carry: tuple = ("doc_id",))
 def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -> DataFrame:
     """(sig, k) of the signatures that different sets share, stored.
 
-    Each batch sends one row per bucket, holding its (signature, key) pairs as numbers.
+    Each batch sends one row per bucket, holding its (signature, key) pairs as numbers: 40
+    bits of a signature, which within a bucket tell it from the others (two taken for one
+    only meet in vain), and a key's place in the row's list of keys.
     Keys of a batch that share a signature are reported on the spot and only the smallest
     is sent on, so a signature of a third of all rows reaches its bucket once a batch."""
-    buckets = int(max(8, total * 0.4 // BUCKET_ROWS + 1))
+    share = 2 * (100 - percent) / (100 + percent) * (2.2 if subgroups(percent) == 1 else 4.4)
+    buckets = int(max(8, total * share // BUCKET_ROWS + 1))
 
     def send(batches):
         seen = set()
@@ -171,23 +183,32 @@ def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -
                 first = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
                 group = np.cumsum(first) - 1
                 shared = np.bincount(group, minlength=1)[group] > 1 if len(sig) else first
-                rows = [(-1, sig[shared].tobytes(), key[shared].tobytes())] if shared.any() else []
+                rows = [(-1, sig[shared].tobytes(), key[shared].tobytes(), None)] if shared.any() else []
                 sig, key = sig[first], key[first]
                 order, spans = by_bucket(sig, buckets)
-                rows += [(p, sig[order[x:y]].tobytes(), key[order[x:y]].tobytes()) for p, x, y in spans]
-                p, s, k = zip(*rows) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(s, pa.binary()),
-                                                  pa.array(k, pa.binary())], names=["bucket", "sigs", "ks"])
+                for p, x, y in spans:
+                    own, at = np.unique(key[order[x:y]], return_inverse=True)
+                    at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+                    rows.append((p, short(sig[order[x:y]]), own.tobytes(), at.tobytes()))
+                p, s, k, at = zip(*rows) if rows else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(s, pa.binary()), pa.array(k, pa.binary()),
+                                                  pa.array(at, pa.binary())], names=["bucket", "sigs", "ks", "places"])
         give_back()
 
-    sent = docs.select("text").mapInArrow(send, "bucket int, sigs binary, ks binary")
+    sent = docs.select("text").mapInArrow(send, "bucket int, sigs binary, ks binary, places binary")
     spread = F.when(F.col("bucket") < 0, F.xxhash64("sigs")).otherwise(F.lit(0))
     sent = sent.withColumn("own", spread)
 
     def meet(table: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(table.column("sigs").to_pylist()), np.uint64)
-        key = np.frombuffer(b"".join(table.column("ks").to_pylist()), np.int64)
-        if len(sig) and table.column("bucket")[0].as_py() >= 0:
+        bucket = table.column("bucket")[0].as_py()
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("sigs", "ks", "places"))))
+        if bucket < 0:
+            sig = np.concatenate([long_tag(np.frombuffer(x, np.uint64), buckets) for x, _, _ in rows])
+            key = np.concatenate([np.frombuffer(k, np.int64) for _, k, _ in rows])
+        else:
+            sig = np.concatenate([unshort(x, bucket) for x, _, _ in rows])
+            key = np.concatenate([keys_at(k, at, len(x) // 5) for x, k, at in rows])
+        if bucket >= 0:
             order = np.lexsort((key, sig))
             sig, key = sig[order], key[order]
             new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])))
@@ -201,6 +222,28 @@ def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -
     return stored(sent.groupBy("bucket", "own").applyInArrow(meet, "sig bigint, k bigint").distinct(), "meetings")
 
 
+def short(sig: np.ndarray) -> bytes:
+    """40 bits of each signature, as 4 + 1 bytes."""
+    return (sig & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (sig >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def unshort(data: bytes, bucket: int) -> np.ndarray:
+    """Names of the signatures of a bucket, from ``short``."""
+    n = len(data) // 5
+    low, high = np.frombuffer(data, np.uint32, n), np.frombuffer(data, np.uint8, n, 4 * n)
+    return (np.uint64(bucket) << np.uint64(40)) + (high.astype(np.uint64) << np.uint64(32)) + low
+
+
+def long_tag(sig: np.ndarray, buckets: int) -> np.ndarray:
+    """The same names from whole signatures (bucket as in ``by_bucket``)."""
+    bucket = (mix(sig) >> np.uint64(40)) % np.uint64(buckets)
+    return (bucket << np.uint64(40)) + (sig & np.uint64((1 << 40) - 1))
+
+
+def keys_at(keys: bytes, places: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(keys, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * n else np.uint32)]
+
+
 def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> DataFrame:
     """(k, grams) of the sets whose key is in ``keys``, stored: made anew from the texts, so
     the sets of all other documents are never written or shuffled while ``keys`` is small."""
@@ -224,21 +267,9 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")
 
 
-def fine_point(grams: np.ndarray) -> np.ndarray:
-    return np.bincount((grams & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
-
-
-def coarse(points: np.ndarray) -> np.ndarray:
-    """Counts of ``DIMS`` groups from those of the ``FINE`` ones."""
-    return points.reshape(len(points), FINE // DIMS, DIMS).sum(axis=1)
-
-
-def packed(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint16 if counts.max(initial=0) < 65536 else np.uint32).tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint16 if len(data) == 2 * FINE else np.uint32).astype(np.int64)
+def coarse(sets: list) -> np.ndarray:
+    """Points: counts of ``DIMS`` groups of each set's shingles."""
+    return np.array([np.bincount(s & np.uint32(DIMS - 1), minlength=DIMS) for s in sets], np.int64).reshape(-1, DIMS)
 
 
 def enough(overlap, a, b, percent: int = PERCENT):
@@ -247,7 +278,7 @@ def enough(overlap, a, b, percent: int = PERCENT):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, stored: first by the bound on count vectors, then by the sets."""
+    """The pairs (a, b) that link, by the whole sets, stored."""
     one = sets.select(F.col("k").alias("a"), F.col("grams").alias("ga"))
     two = sets.select(F.col("k").alias("b"), F.col("grams").alias("gb"))
 
@@ -255,8 +286,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         a, b = [], []
         for ka, kb, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ga", "gb"))):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if enough(min(len(x), len(y)), len(x), len(y), percent) \
-                    and enough(np.minimum(fine_point(x), fine_point(y)).sum(), len(x), len(y), percent):
+            if enough(min(len(x), len(y)), len(x), len(y), percent):
                 both = np.sort(np.concatenate((x, y)))
                 if enough(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent):
                     a.append(ka)
@@ -291,49 +321,82 @@ class RTree:
         return self.order[found]
 
 
-def more_pairs(met: DataFrame, labels: DataFrame, sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that still meet, are not in ``tried`` and whose
-    bound suffices, stored.
-
-    Groups with the same members count once.  A group is cut into blocks of about
-    ``BLOCK`` rows and two blocks meet in one task, so no task holds a whole large group.
-    A group of two is one pair as it is and needs no tree."""
-    points = map_batches(sets, "k bigint, point binary", lambda b: {
-        "k": b.column("k"), "point": [packed(fine_point(np.frombuffer(g, np.uint64))) for g in b.column("grams").to_pylist()]})
+def halves(sets: DataFrame, salt: int) -> DataFrame:
+    """(k, half): the sets with 32 bits a shingle, sorted.  Equal shingles stay equal, so
+    overlaps found with them are never too small."""
+    def run(batch):
+        return {"k": batch.column("k"), "half": [
+            np.sort((mix(np.frombuffer(g, np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.uint32)).tobytes()
+            for g in batch.column("grams").to_pylist()]}
+
+    return map_batches(sets, "k bigint, half binary", run)
+
+
+def overlaps(own: np.ndarray, others: list, marks: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of a set with others: shingles whose bits in a table are set."""
+    mask = np.uint32(len(marks) - 1)
+    marks[own & mask] = True
+    found = np.add.reduceat(marks[np.concatenate(others) & mask].astype(np.int64), np.cumsum([0] + [len(o) for o in others[:-1]]))
+    marks[own & mask] = False
+    return found
+
+
+def compare_blocks(sets: list, left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> list:
+    """(x, y) of edges that join the rows of two blocks as their links do.
+
+    The R-tree of the right block's points gives each left row's candidates; those with
+    another label are counted by a table of bits and, if that leaves them, exactly (to 32
+    bits a shingle).  Of the links found, only those that join two labels are kept."""
+    label = label.copy()
+    size = np.array([len(s) for s in sets], np.int64)
+    points, marks, edges = coarse(sets), np.zeros(MARKS, bool), []
+    tree, same = RTree(points[right]), np.array_equal(left, right)
+    for x in left.tolist():
+        hit = right[tree.search(points[x], percent)]
+        hit = hit[(label[hit] != label[x]) & ((hit > x) if same else True)]
+        if not len(hit):
+            continue
+        hit = hit[enough(overlaps(sets[x], [sets[y] for y in hit], marks), size[hit], size[x], percent)]
+        for y in hit.tolist():
+            if label[y] != label[x]:
+                both = np.sort(np.concatenate((sets[x], sets[y])))
+                if enough(int((both[1:] == both[:-1]).sum()), size[x], size[y], percent):
+                    edges.append((x, y))
+                    label[label == label[y]] = label[x]
+    return edges
+
+
+def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Edges (a, b) that join the components of ``labels`` as the links among rows that meet do, stored.
+
+    Only signatures met by several components count.  Those with the same smallest member
+    are one group, so the signatures that a cluster of copies shares are compared once and
+    not one by one.  A group is cut into blocks of about ``BLOCK`` rows and two blocks meet
+    in one task, so no task holds a whole large group; a task gives fewer edges than it has rows."""
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
-    groups = rows.groupBy("sig").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-        F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("members"), F.min("k").alias("a"), F.max("k").alias("b")) \
-        .where("low <> high").groupBy("n", "members").agg(F.min("sig").alias("sig"), F.min("a").alias("a"), F.max("b").alias("b"))
-    groups = stored(groups.select("sig", "n", "a", "b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
-    twos = groups.where("n = 2").select("a", "b")
-    groups = groups.where("n > 2").select("sig", "blocks")
-    own = rows.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
+    open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("k").alias("home")) \
+        .where("low <> high").select("sig", "home")
+    groups = stored(rows.join(open_, "sig").select("home", "k", "component").distinct(), "open")
+    discard(rows)
+    blocks = groups.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = groups.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = own.withColumn("other", other).select(
-        "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
-        .join(points, "k")
+        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
+        .join(halves(sets, salt), "k")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block, k, c = (table.column(x).to_numpy() for x in ("block", "k", "component"))
-        fine = np.array([unpacked(p) for p in table.column("point").to_pylist()]).reshape(-1, FINE)
-        pts, size = coarse(fine), fine.sum(axis=1)
+        sets = [np.frombuffer(h, np.uint32) for h in table.column("half").to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        if len(left) and len(right):
-            tree = RTree(pts[right])
-            for x in left:
-                hit = right[tree.search(pts[x], percent)]
-                hit = hit[c[hit] != c[x]]
-                hit = hit[enough(np.minimum(fine[hit], fine[x]).sum(axis=1), size[hit], size[x], percent)]
-                a.append(np.minimum(k[hit], k[x]))
-                b.append(np.maximum(k[hit], k[x]))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": pa.array(np.concatenate(a or empty)), "b": pa.array(np.concatenate(b or empty))})
+        found = compare_blocks(sets, left, right, c, percent) if len(left) and len(right) else []
+        a, b = (np.array([f[side] for f in found], np.int64) for side in (0, 1))
+        return pa.table({"a": pa.array(np.minimum(k[a], k[b])), "b": pa.array(np.maximum(k[a], k[b]))})
 
-    pairs = placed.groupBy("sig", "i", "j").applyInArrow(compare, "a bigint, b bigint").unionByName(twos).distinct()
-    return stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    edges = stored(placed.groupBy("home", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining")
+    discard(groups)
+    return edges
 
 
 def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("doc_id",)) -> DataFrame:
@@ -341,7 +404,7 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
 
     Equal sets are one vertex, so copies cost nothing more.  Rows that share a signature
     are first tried against the smallest of them, one partner each; once those links have
-    joined components, only pairs of different components that still meet are compared."""
+    joined components, only rows of different components that still meet are compared."""
     salt = 1
     while True:   # a clash of 64-bit keys shows in the second key; another salt then resolves it
         rows = stored(set_rows(docs, width, salt, carry), "rows")
@@ -357,10 +420,18 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
     links = verified(first.select("a", "b"), sets, percent)
     vertices = members.select(F.col("k").alias("v"))
     labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
-    rest = more_pairs(met, labels, sets, first.select("a", "b"), percent)
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest, sets, percent))
-        labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
+    while True:
+        edges = more_edges(met, labels, sets, percent, salt)
+        if edges.isEmpty():
+            break
+        sure = verified(edges, sets, percent)
+        links = links.unionByName(sure)
+        before, labels = labels, stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
+        discard(before)
+        if sure.count() == edges.count():      # all rows that link are joined now
+            break
+        salt += 2                              # one was not a link: with other bits it will not seem one
+    discard(met, sets)
     return rows.join(small(labels), "k", "left").withColumn("c", F.coalesce("component", "k"))
 
 
