@@ -27,6 +27,8 @@ PERCENT = 85                 # similarity from which two documents link, in perc
 DIMS = 32                    # coordinates of a point
 MARKS = 1 << 20              # bits of the table by which a set's overlap with others is bounded
 NODE = 16                    # entries of an R-tree node
+PACKED = (128, 4096)         # sizes of sets that are compared by 24 bits a shingle
+ROUNDS = 20                  # of comparing, should 24 or 32 bits a shingle not tell all shingles apart
 BLOCK = 512                  # rows of a group that one task compares with another such block
 BUCKET_ROWS = 750_000      # signatures a bucket should hold
 PORTION = 1_000_000          # characters of texts hashed at once
@@ -244,9 +246,10 @@ def keys_at(keys: bytes, places: bytes, n: int) -> np.ndarray:
     return np.frombuffer(keys, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * n else np.uint32)]
 
 
-def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> DataFrame:
-    """(k, grams) of the sets whose key is in ``keys``, stored: made anew from the texts, so
-    the sets of all other documents are never written or shuffled while ``keys`` is small."""
+def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int, form=np.ndarray.tobytes) -> DataFrame:
+    """(k, grams) of the sets whose key is in ``keys``, in the given form, stored: made anew
+    from the texts, so the sets of all other documents are never written or shuffled while
+    ``keys`` is small."""
     def run(batches):
         seen = set()
         for batch in batches:
@@ -258,7 +261,7 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
                     if k is not None and k not in seen:
                         seen.add(k)
                         ks.append(k)
-                        grams.append(s.tobytes())
+                        grams.append(form(s))
                 yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(grams, pa.binary())],
                                                  names=["k", "grams"])
         give_back()
@@ -267,6 +270,34 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")
 
 
+def half(grams: np.ndarray, salt: int) -> bytes:
+    """A set in few bytes: 32 bits a shingle, or, of ``PACKED`` sizes, 24: how many begin with
+    each of 256 first bytes, then the other two bytes in order.  Equal shingles stay equal,
+    so overlaps found with it are never too small."""
+    with np.errstate(over="ignore"):
+        bits = np.sort((mix(grams + np.uint64(salt)) >> np.uint64(32)).astype(np.uint32))
+    if not PACKED[0] <= len(bits) <= PACKED[1]:
+        return b"w" + bits.tobytes()
+    first = np.bincount(bits >> np.uint32(24), minlength=256).astype(np.uint16)
+    return b"p" + first.tobytes() + (bits >> np.uint32(8)).astype(np.uint16).tobytes()
+
+
+def opened(data: bytes) -> tuple:
+    """(sorted numbers, whether they have 24 bits only) of ``half``."""
+    if data[:1] == b"w":
+        return np.frombuffer(data, np.uint32, -1, 1), False
+    first = np.repeat(np.arange(256, dtype=np.uint32), np.frombuffer(data, np.uint16, 256, 1))
+    return (first << np.uint32(16)) | np.frombuffer(data, np.uint16, -1, 513), True
+
+
+def halves(data: list) -> list:
+    """The sets of ``half``, all with 24 bits if one of them has."""
+    sets = [opened(d) for d in data]
+    if any(packed for _, packed in sets):
+        return [bits if packed else bits >> np.uint32(8) for bits, packed in sets]
+    return [bits for bits, _ in sets]
+
+
 def coarse(sets: list) -> np.ndarray:
     """Points: counts of ``DIMS`` groups of each set's shingles."""
     return np.array([np.bincount(s & np.uint32(DIMS - 1), minlength=DIMS) for s in sets], np.int64).reshape(-1, DIMS)
@@ -321,17 +352,6 @@ class RTree:
         return self.order[found]
 
 
-def halves(sets: DataFrame, salt: int) -> DataFrame:
-    """(k, half): the sets with 32 bits a shingle, sorted.  Equal shingles stay equal, so
-    overlaps found with them are never too small."""
-    def run(batch):
-        return {"k": batch.column("k"), "half": [
-            np.sort((mix(np.frombuffer(g, np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.uint32)).tobytes()
-            for g in batch.column("grams").to_pylist()]}
-
-    return map_batches(sets, "k bigint, half binary", run)
-
-
 def overlaps(own: np.ndarray, others: list, marks: np.ndarray) -> np.ndarray:
     """Upper bounds of the overlaps of a set with others: shingles whose bits in a table are set."""
     mask = np.uint32(len(marks) - 1)
@@ -366,8 +386,9 @@ def compare_blocks(sets: list, left: np.ndarray, right: np.ndarray, label: np.nd
     return edges
 
 
-def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Edges (a, b) that join the components of ``labels`` as the links among rows that meet do, stored.
+def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that join the components of ``labels`` as the links among rows that meet do,
+    stored; ``sets`` has them as ``half``.
 
     Only signatures met by several components count.  Those with the same smallest member
     are one group, so the signatures that a cluster of copies shares are compared once and
@@ -377,34 +398,34 @@ def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
     open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("k").alias("home")) \
         .where("low <> high").select("sig", "home")
     groups = stored(rows.join(open_, "sig").select("home", "k", "component").distinct(), "open")
-    discard(rows)
-    blocks = groups.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = groups.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
+    large = groups.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    large = stored(large, "large-groups")
+    own = groups.join(small(large), "home", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
+        .withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = own.withColumn("other", other).select(
         "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
-        .join(halves(sets, salt), "k")
+        .join(sets, "k")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block, k, c = (table.column(x).to_numpy() for x in ("block", "k", "component"))
-        sets = [np.frombuffer(h, np.uint32) for h in table.column("half").to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = compare_blocks(sets, left, right, c, percent) if len(left) and len(right) else []
+        found = compare_blocks(halves(table.column("grams").to_pylist()), left, right, c, percent) if len(left) and len(right) else []
         a, b = (np.array([f[side] for f in found], np.int64) for side in (0, 1))
         return pa.table({"a": pa.array(np.minimum(k[a], k[b])), "b": pa.array(np.maximum(k[a], k[b]))})
 
     edges = stored(placed.groupBy("home", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining")
-    discard(groups)
+    discard(rows, groups, large)
     return edges
 
 
 def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("doc_id",)) -> DataFrame:
     """``carry``, n and c, the component of the row's set (null without shingles), of every row.
 
-    Equal sets are one vertex, so copies cost nothing more.  Rows that share a signature
-    are first tried against the smallest of them, one partner each; once those links have
-    joined components, only rows of different components that still meet are compared."""
+    Equal sets are one vertex, so copies cost nothing more.  Rows that meet are compared and
+    joined where they meet, in 24 or 32 bits a shingle; only the edges found are verified on
+    the whole sets.  Should one not be a link, the rest is done again with other bits."""
     salt = 1
     while True:   # a clash of 64-bit keys shows in the second key; another salt then resolves it
         rows = stored(set_rows(docs, width, salt, carry), "rows")
@@ -414,24 +435,25 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
     total = int(rows.agg(F.sum("n")).first()[0] or 0)
     met = meetings(docs, width, percent, salt, total)
     members = stored(met.select("k").distinct(), "members")
-    sets = needed_sets(docs, members, width, salt)
-    low = met.groupBy("sig").agg(F.min("k").alias("low"))
-    first = met.join(low, "sig").where("k <> low").groupBy(F.col("k").alias("b")).agg(F.min("low").alias("a"))
-    links = verified(first.select("a", "b"), sets, percent)
     vertices = members.select(F.col("k").alias("v"))
-    labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
-    while True:
-        edges = more_edges(met, labels, sets, percent, salt)
+    labels, links = stored(members.select("k", F.col("k").alias("component")), "labels"), None
+    for again in range(ROUNDS):
+        few = needed_sets(docs, members, width, salt, lambda grams, bits=salt + again: half(grams, bits))
+        edges = more_edges(met, labels, few, percent)
+        discard(few)
         if edges.isEmpty():
             break
+        ends = stored(edges.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "ends")
+        sets = needed_sets(docs, ends, width, salt)
         sure = verified(edges, sets, percent)
-        links = links.unionByName(sure)
+        links = sure if links is None else links.unionByName(sure)
         before, labels = labels, stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
-        discard(before)
+        discard(before, ends, sets)
         if sure.count() == edges.count():      # all rows that link are joined now
             break
-        salt += 2                              # one was not a link: with other bits it will not seem one
-    discard(met, sets)
+    else:
+        raise RuntimeError(f"pairs seemed to link that do not, in {ROUNDS} rounds of different bits")
+    discard(met)
     return rows.join(small(labels), "k", "left").withColumn("c", F.coalesce("component", "k"))
 
 
