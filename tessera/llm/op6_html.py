@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ SAMPLE_CHARS = 50_000        # longest page taken into that sample
 ROUNDS, RATE, PULL = 30, 0.5, 0.02
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+TAG_NAME = re.compile(r"</?[A-Za-z][^\s/>]*+")
+QUOTED = re.compile(r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)")
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
 BLOCKS = frozenset(
@@ -46,6 +49,38 @@ PRIOR |= {f"name={w}": 1.5 for w in FOR} | {f"name={w}": -4.0 for w in AGAINST}
 EDGE = {(0, 0): 1.0, (0, 1): -1.0, (1, 0): 0.0, (1, 1): 2.0}
 
 
+class Unclosed:
+    """Places where no tag can begin because its end is missing, so that none is looked for twice.
+
+    A tag that has begun runs from its name's end, past quoted values, to the next ">".  If
+    there is none, the same holds for every tag whose name ends outside of those quoted
+    values, as it runs on alike from there.  One whose name ends inside runs differently;
+    as a run is outside, in double or in single quotes, and two that agree once agree for
+    good, there are three different ones at most."""
+
+    def __init__(self, page: str):
+        self.page, self.runs, self.name = page, [], (0, 0)
+
+    def name_end(self, at: int) -> int:
+        """Where the name of a tag at ``at`` ends, 0 if none begins there."""
+        if self.name[0] < at < self.name[1] - 1 and self.page[at + 1].isascii() and self.page[at + 1].isalpha():
+            return self.name[1]                      # inside a longer name, which ends there too
+        name = TAG_NAME.match(self.page, at)
+        self.name = name.span() if name else (0, 0)
+        return self.name[1]
+
+    def has(self, at: int) -> bool:
+        end = self.name_end(at)
+        return end > 0 and any(end >= begin and (not (i := bisect_right(begins, end)) or end >= ends[i - 1])
+                               for begin, begins, ends in self.runs)
+
+    def add(self, at: int) -> None:
+        end = self.name_end(at)
+        if end:
+            spans = [m.span() for m in QUOTED.finditer(self.page, end)]
+            self.runs.append((end, [a for a, _ in spans], [b for _, b in spans]))
+
+
 def parse(page: str):
     """Blocks of a page as (tags, parents, names, segments, linked): parents come before their
     children; a segment is (block, text) in page order; linked counts a block's characters in links.
@@ -55,6 +90,8 @@ def parse(page: str):
     tags, parents, names, linked, segments = ["#root"], [-1], [()], [0], []
     stack, inline, links = [0], [], 0
     buffer: list = []
+    closed, unclosed = page.rfind(">"), Unclosed(page)
+    opened: dict = {}                 # how many of each tag are open
 
     def flush():
         if buffer:
@@ -65,6 +102,8 @@ def parse(page: str):
 
     def close(depth):
         flush()
+        for block in stack[depth:]:
+            opened[tags[block]] -= 1
         del stack[depth:]
 
     at = 0
@@ -78,8 +117,11 @@ def parse(page: str):
                 linked[stack[-1]] += start - at
         if start == len(page):
             break
-        m = TOKEN.match(page, start)
+        m = TOKEN.match(page, start) if start < closed and not unclosed.has(start) else \
+            TOKEN.match(page, start) if page.startswith("<!--", start) else None
         if not m:
+            if start < closed and not unclosed.has(start):
+                unclosed.add(start)
             buffer.append("&lt;")
             at = start + 1
             continue
@@ -90,7 +132,7 @@ def parse(page: str):
         if m[1]:
             if tag == "a":
                 links = 0
-            elif tag in BLOCKS:
+            elif opened.get(tag):
                 for d in range(len(stack) - 1, 0, -1):
                     if tags[stack[d]] == tag:
                         close(d)
@@ -119,6 +161,7 @@ def parse(page: str):
                 continue
             links = 0
             words = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(m[3])).lower()
+            opened[tag] = opened.get(tag, 0) + 1
             tags.append(tag)
             parents.append(stack[-1])
             names.append(tuple(sorted(set(NAME.findall(words)))))
@@ -244,19 +287,23 @@ def main_text(page: str | None, model: dict) -> str:
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict:
-    """Fit on the ``sample_pages`` pages with one article, of ``SAMPLE_CHARS`` characters at
-    most, whose addresses hash lowest; without any, the starting weights hold."""
+    """Fit on the ``sample_pages`` different pages with one article, of ``SAMPLE_CHARS``
+    characters at most, that hash lowest; without any, the starting weights hold.  Their
+    hashes are found first, so only the pages themselves come to the driver."""
     marked = pages.where(F.regexp_count("html", F.lit(r"(?i)<article[\s>]")) == 1) \
         .where(F.length("html") <= SAMPLE_CHARS)
-    rows = marked.select("html").orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect()
-    return fit([r.html for r in rows])
+    low = [r.h for r in marked.select(F.xxhash64("html").alias("h")).distinct().orderBy("h").limit(sample_pages).collect()]
+    rows = marked.select(F.xxhash64("html").alias("h"), "html").where(F.col("h").isin(low)) \
+        .groupBy("h").agg(F.min("html").alias("html")).collect() if low else []
+    return fit([r.html for r in sorted(rows, key=lambda r: r.h)])
 
 
 def extract(pages: DataFrame, model: dict | None = None) -> DataFrame:
     """page_id, url, text, n_chars for every row.
 
     Null and empty pages, and pages without content, give an empty text.  Broken mark-up
-    is read as far as it goes (a stray "<" is text).  Rows are independent."""
+    is read as far as it goes (a stray "<" is text), in time linear in the page, however long.
+    Rows are independent."""
     model = train(pages) if model is None else model
     types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     schema = f"page_id {types['page_id']}, url {types['url']}, text string, n_chars bigint"
