@@ -11,6 +11,7 @@ from tessera.operators.moments import co_moments, correlation_matrix
 from tessera.operators.partitioning import balance
 from tessera.operators.profile import preview, table_profile
 from tessera.operators.sets import distinct_values, union_all, union_by_name
+from tessera.operators.skew import heavy_keys, skew_join
 from tessera.operators.split import key_split, random_split, random_split_labelled, split_parts
 from tessera.operators.stats import correlation_ranking, select_features
 
@@ -19,9 +20,9 @@ __all__ = [
     "correlation_ranking",
     "discover_values", "distinct_values", "drop_columns", "drop_corrupt",
     "drop_duplicates", "duplicate_keys", "enrich", "filter_equal",
-    "filter_not_equal", "global_means", "group_mean", "has_columns", "impute_with", "keep_one",
+    "filter_not_equal", "global_means", "group_mean", "has_columns", "heavy_keys", "impute_with", "keep_one",
     "key_split", "materialise", "mean_impute", "one_hot", "preview",
     "random_split", "random_split_labelled", "rename", "rmse", "row_count",
-    "select_features", "split_parts", "table_profile", "union_all",
+    "select_features", "skew_join", "split_parts", "table_profile", "union_all",
     "union_by_name", "with_constant",
 ]

@@ -5,7 +5,8 @@ Strategy:
   checkpoint folder, measures it, and broadcasts it only when its rows are
   within ``max_broadcast_rows`` and their bytes within ``MAX_BROADCAST_BYTES``; otherwise it stays a shuffle join, where
   AQE's skew-join split handles hot keys on the fact side.
-* ``broadcast`` / ``shuffle`` force one side of that choice.
+* ``broadcast`` / ``shuffle`` force one side of that choice; ``skew`` splits the keys
+  that are heavy on either side (``tessera.operators.skew``).
 
 The dimension is deduplicated on its key by construction in the recipes
 (grouped aggregates); ``check_unique`` verifies it with one distributed
@@ -83,10 +84,16 @@ def enrich(fact: DataFrame, dim: DataFrame, keys, how: str = "left",
             raise ValueError(f"the dimension has more than {max_broadcast_rows} rows or {MAX_BROADCAST_BYTES} bytes: too many to broadcast")
     elif strategy == "shuffle":
         side = dim
+    elif strategy == "skew":
+        side = materialise(dim, "dimension") if materialise_dim else dim
     else:
         raise ValueError(f"unknown join strategy {strategy!r}")
     if check_unique and duplicate_keys(side.filter(_not_null(keys)), keys).limit(1).count() > 0:
         raise DimensionNotUnique(f"dimension key {keys} is not unique")
+    if strategy == "skew":
+        from tessera.operators.skew import skew_join
+
+        return skew_join(fact, side, keys, how)
     return fact.join(side, keys, how)
 
 

@@ -29,12 +29,14 @@ QUERIES = {
     "mixed_concat_key": c.mixed_concat_key,
     "separated_key": c.separated_key,
     "canonicalise": c.canonicalise_q,
+    "canonicalise_rules": c.canonicalise_rules,
     "casts": c.casts,
     "year_from_name": c.year_from_name_q,
     "left_join": c.left_join,
     "left_join_two_keys_null": c.left_join_two_keys_null,
     "star_join_two_keys": c.star_join_two_keys,
     "left_join_fanout": c.left_join_fanout,
+    "skewed_join": c.skewed_join,
     "union_positional": c.union_positional,
     "union_by_name": c.union_by_name_q,
     "distinct_values": c.distinct_values_q,
@@ -90,12 +92,14 @@ COVERS = {
     "mixed_concat_key": "F4",
     "separated_key": "F4",
     "canonicalise": "F1 F5",
+    "canonicalise_rules": "F1 F5",
     "casts": "F7 F8",
     "year_from_name": "F9 S6",
     "left_join": "J1",
     "left_join_two_keys_null": "J1",
     "star_join_two_keys": "J1 J2",
     "left_join_fanout": "J3",
+    "skewed_join": "J1 J3",
     "union_positional": "U2",
     "union_by_name": "U1",
     "distinct_values": "U3",

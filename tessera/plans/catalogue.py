@@ -58,6 +58,7 @@ from tessera.operators import (
     rename,
     rmse,
     select_features,
+    skew_join,
     table_profile,
     union_all,
     union_by_name,
@@ -375,6 +376,21 @@ def canonicalise_q(spark: SparkSession, sf: str) -> DataFrame:
     return cust.select("c_custkey", seg.alias("segment"))
 
 
+def canonicalise_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The same names by a versioned rule table that also has a rule for every part name;
+    an older version of it had others."""
+    from tessera.functions.mapping import RuleTable, canonicalise_by_rules, rule_rows
+
+    more = _t(spark, sf, "part").select(F.lit("post").alias("stage"), F.concat(F.col("p_name"), F.lit("#"), "p_partkey").alias("value"),
+                                        F.lit("part").alias("output"))
+    rules = rule_rows(spark, {"BUILDING": "The Building"}, {"machinery": "machines", "household": "home"})
+    table = RuleTable(spark, scratch_path(spark, "rules"))
+    table.replace(rule_rows(spark, post={"machinery": "old"}))
+    version = table.replace(rules.unionByName(more))
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return canonicalise_by_rules(cust, "c_mktsegment", table.rules(version)).withColumnRenamed("c_mktsegment", "segment")
+
+
 def casts(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem")
     return li.select("l_orderkey", to_decimal_via_float("l_extendedprice").alias("price"),
@@ -425,6 +441,18 @@ def left_join_fanout(spark: SparkSession, sf: str) -> DataFrame:
     return enrich(nation, sup, ["n_nationkey"], materialise_dim=False)
 
 
+def skewed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items and suppliers by a key that a third of both sides share (the rest by supplier
+    key, some of it unknown): number of pairs and their balances, by key."""
+    li, sup = _t(spark, sf, "lineitem"), _t(spark, sf, "supplier")
+    fact = li.select(F.when(F.col("l_orderkey") % 3 == 0, -1).when(F.col("l_orderkey") % 50 == 1, -2)
+                     .otherwise(F.col("l_suppkey")).alias("k"), "l_quantity")
+    dim = sup.select(F.when(F.col("s_suppkey") % 3 == 0, -1).otherwise(F.col("s_suppkey")).alias("k"),
+                     F.round(F.col("s_acctbal") * 100).cast("long").alias("cents"))
+    joined = skew_join(fact, dim, "k", "left", target_rows=5_000)
+    return joined.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").cast("long").alias("cents"))
+
+
 # ---------------------------------------------------------------- set operations
 
 def union_positional(spark: SparkSession, sf: str) -> DataFrame:

@@ -202,4 +202,10 @@ SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice + 1000 E
     "offset_pages": """
 SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, role, text,
        CASE WHEN role = 'system' AND conv_id > 50 THEN '{"note":' || length(text) || '}' END AS _extra FROM conversations""",
+    "skewed_join": """
+SELECT f.k, count(*) AS n, sum(d.cents)::BIGINT AS cents
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 WHEN l_orderkey % 50 = 1 THEN -2 ELSE l_suppkey END AS k FROM lineitem) f
+LEFT JOIN (SELECT CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_suppkey END AS k, round(s_acctbal * 100)::BIGINT AS cents FROM supplier) d
+  ON f.k = d.k GROUP BY f.k""",
 }
+ORACLE_SQL["canonicalise_rules"] = ORACLE_SQL["canonicalise"]
