@@ -246,30 +246,50 @@ def keys_at(keys: bytes, places: bytes, n: int) -> np.ndarray:
     return np.frombuffer(keys, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * n else np.uint32)]
 
 
-def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int, form=np.ndarray.tobytes) -> DataFrame:
-    """(k, grams) of the sets whose key is in ``keys``, in the given form, stored: made anew
-    from the texts, so the sets of all other documents are never written or shuffled while
-    ``keys`` is small."""
+def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int, **forms) -> DataFrame:
+    """k and one column a form (default: grams, the whole set) of the sets whose key is in
+    ``keys``, stored: made anew from the texts, so the sets of all other documents are never
+    written or shuffled while ``keys`` is small."""
+    forms = forms or {"grams": np.ndarray.tobytes}
+
     def run(batches):
         seen = set()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in portions(texts):
-                ks, grams = [], []
+                ks, out = [], [[] for _ in forms]
                 for s in shingle_sets(texts[a:b], width):
                     k = set_key(s, salt) if len(s) else None
                     if k is not None and k not in seen:
                         seen.add(k)
                         ks.append(k)
-                        grams.append(form(s))
-                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(grams, pa.binary())],
-                                                 names=["k", "grams"])
+                        for column, form in zip(out, forms.values()):
+                            column.append(form(s))
+                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), *(pa.array(c, pa.binary()) for c in out)], names=["k", *forms])
         give_back()
 
-    made = docs.select("text").mapInArrow(run, "k bigint, grams binary")
+    made = docs.select("text").mapInArrow(run, ", ".join(["k bigint", *(f"{f} binary" for f in forms)]))
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")
 
 
+def point(grams: np.ndarray) -> bytes:
+    """Counts of groups of the shingles: a power of two of them, four to eight shingles each
+    (``DIMS`` groups at least), so the bound of unrelated sets' overlaps stays well below
+    what a link needs at any size."""
+    groups = max(DIMS, 1 << max(0, (len(grams) // 4).bit_length() - 1))
+    counts = np.bincount((grams & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return b"b" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"w" + counts.astype(np.uint32).tobytes()
+
+
+def counts_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if data[:1] == b"b" else np.uint32, -1, 1).astype(np.int64)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts (in rows) of fewer groups: a power of two, so each is a sum of whole groups."""
+    return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2)
+
+
 def half(grams: np.ndarray, salt: int) -> bytes:
     """A set in few bytes: 32 bits a shingle, or, of ``PACKED`` sizes, 24: how many begin with
     each of 256 first bytes, then the other two bytes in order.  Equal shingles stay equal,
@@ -361,12 +381,37 @@ def overlaps(own: np.ndarray, others: list, marks: np.ndarray) -> np.ndarray:
     return found
 
 
+def promising(points: list, left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Rows that the bound by counts allows a link with a row of another label: an R-tree of
+    the right block's ``DIMS`` counts gives each left row's candidates, which are bounded by
+    the counts of as many groups as both have."""
+    size, alive = np.array([p.sum() for p in points]), np.zeros(len(points), bool)
+    low = np.array([folded(p, DIMS) for p in points])
+    tree, same = RTree(low[right]), np.array_equal(left, right)
+    groups = np.array([len(p) for p in points])
+    stacked, place = {}, np.zeros(len(points), np.int64)
+    for g in np.unique(groups).tolist():
+        own = np.flatnonzero(groups == g)
+        stacked[g], place[own] = np.array([points[i] for i in own]), np.arange(len(own))
+    for x in left.tolist():
+        hit = right[tree.search(low[x], percent)]
+        hit = hit[(label[hit] != label[x]) & ((hit > x) if same else True)]
+        for g in np.unique(groups[hit]).tolist():
+            own = hit[groups[hit] == g]
+            n = min(g, len(points[x]))
+            bound = np.minimum(folded(stacked[g][place[own]], n), folded(points[x], n)).sum(axis=1)
+            good = own[enough(bound, size[own], size[x], percent)]
+            if len(good):
+                alive[x] = alive[good] = True
+    return alive
+
+
 def compare_blocks(sets: list, left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> list:
     """(x, y) of edges that join the rows of two blocks as their links do.
 
-    The R-tree of the right block's points gives each left row's candidates; those with
-    another label are counted by a table of bits and, if that leaves them, exactly (to 32
-    bits a shingle).  Of the links found, only those that join two labels are kept."""
+    An R-tree of the right block's points gives each left row's candidates; those with
+    another label are counted by a table of bits and, if that leaves them, exactly (to the
+    bits a shingle has).  Of the links found, only those that join two labels are kept."""
     label = label.copy()
     size = np.array([len(s) for s in sets], np.int64)
     points, marks, edges = coarse(sets), np.zeros(MARKS, bool), []
@@ -388,12 +433,13 @@ def compare_blocks(sets: list, left: np.ndarray, right: np.ndarray, label: np.nd
 
 def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that join the components of ``labels`` as the links among rows that meet do,
-    stored; ``sets`` has them as ``half``.
+    stored; ``sets`` has them as ``point`` and ``half``.
 
     Only signatures met by several components count.  Those with the same smallest member
     are one group, so the signatures that a cluster of copies shares are compared once and
     not one by one.  A group is cut into blocks of about ``BLOCK`` rows and two blocks meet
-    in one task, so no task holds a whole large group; a task gives fewer edges than it has rows."""
+    in one task, so no task holds a whole large group.  Points go there first; only rows that
+    their bound allows a link send their shingles, and a task gives fewer edges than it has rows."""
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
     open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("k").alias("home")) \
         .where("low <> high").select("sig", "home")
@@ -404,19 +450,32 @@ def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
         .withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = own.withColumn("other", other).select(
-        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
-        .join(sets, "k")
+        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component")
+    names = placed.columns
+
+    def prune(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block, c = (table.column(x).to_numpy() for x in ("block", "component"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        points = [counts_of(p) for p in table.column("point").to_pylist()]
+        alive = promising(points, left, right, c, percent) if len(left) and len(right) else np.zeros(len(block), bool)
+        return table.select(names).filter(pa.array(alive))
+
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
+    kept = placed.join(sets.select("k", "point"), "k").groupBy("home", "i", "j").applyInArrow(prune, types)
+    kept = stored(kept, "promising")
+    placed = kept.join(sets.select("k", "half"), "k")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block, k, c = (table.column(x).to_numpy() for x in ("block", "k", "component"))
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = compare_blocks(halves(table.column("grams").to_pylist()), left, right, c, percent) if len(left) and len(right) else []
+        found = compare_blocks(halves(table.column("half").to_pylist()), left, right, c, percent) if len(left) and len(right) else []
         a, b = (np.array([f[side] for f in found], np.int64) for side in (0, 1))
         return pa.table({"a": pa.array(np.minimum(k[a], k[b])), "b": pa.array(np.maximum(k[a], k[b]))})
 
     edges = stored(placed.groupBy("home", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining")
-    discard(rows, groups, large)
+    discard(rows, groups, large, kept)
     return edges
 
 
@@ -438,7 +497,7 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
     vertices = members.select(F.col("k").alias("v"))
     labels, links = stored(members.select("k", F.col("k").alias("component")), "labels"), None
     for again in range(ROUNDS):
-        few = needed_sets(docs, members, width, salt, lambda grams, bits=salt + again: half(grams, bits))
+        few = needed_sets(docs, members, width, salt, point=point, half=lambda grams, bits=salt + again: half(grams, bits))
         edges = more_edges(met, labels, few, percent)
         discard(few)
         if edges.isEmpty():

@@ -46,6 +46,25 @@ def test_few_bytes_keep_equal_shingles_equal():
         assert 0 <= len(np.intersect1d(x, y)) - (n // 2 + 1) <= 0.02 * n or len(np.unique(x)) < len(x)
 
 
+def test_pruning_keeps_every_row_with_a_link():
+    rng = np.random.default_rng(6)
+    for n in (5, 40, 130, 600, 3000):
+        sets = []
+        for _ in range(12):
+            base = rng.integers(0, 2**64, n, dtype=np.uint64)
+            for _ in range(4):
+                cut = rng.integers(0, n // 4 + 1)
+                sets.append(np.unique(np.concatenate((base[cut:], rng.integers(0, 2**64, rng.integers(0, n // 5 + 1), dtype=np.uint64)))))
+        points, label = [op.counts_of(op.point(s)) for s in sets], rng.integers(0, 30, 48)
+        size = np.array([len(s) for s in sets])
+        for left, right in ((np.arange(48), np.arange(48)), (np.arange(20), np.arange(20, 48))):
+            alive = op.promising(points, left, right, label, 80)
+            linked = {z for x in left for y in right if label[x] != label[y] and op.enough(len(np.intersect1d(sets[x], sets[y])), size[x], size[y], 80)
+                      for z in (x, y)}
+            assert linked <= set(np.flatnonzero(alive).tolist())
+            assert n < 600 or alive.sum() <= len(linked) + 24
+
+
 def test_blocks_are_joined_as_their_links_join_them():
     rng = np.random.default_rng(2)
     for _ in range(20):
@@ -130,7 +149,7 @@ def test_there_are_fewer_edges_than_meetings(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
     salt, total = 1, 60_000
     met = op.meetings(docs, 4, 85, salt, total)
-    sets = op.needed_sets(docs, met.select("k").distinct(), 4, salt, lambda grams: op.half(grams, 1))
+    sets = op.needed_sets(docs, met.select("k").distinct(), 4, salt, point=op.point, half=lambda grams: op.half(grams, 1))
     labels = met.select("k").distinct().withColumn("component", F.col("k"))
     edges = op.more_edges(met, labels, sets, 85)
     assert 0 < edges.count() < met.count()
