@@ -41,10 +41,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Spark's setting by which a query's shuffle files are removed once it has ended
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared checkpoint folder and read back."""
+    """Cut lineage: write to the shared checkpoint folder and read back.
+
+    Nothing reads the write's own shuffles afterwards, so Spark removes their files then."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table

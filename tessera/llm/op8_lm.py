@@ -1,8 +1,8 @@
-"""Language-model scoring: stupid backoff over bigram tables partitioned by hash.
+"""Language-model scoring: stupid backoff over tables of n-gram counts partitioned by hash.
 
-Every document is scored by the counts of the other half of the texts (halves by hash of
-the text, so equal texts never score each other).  Words outside the vocabulary, the
-corpus' most frequent words, count as one unknown word; all words of all texts count."""
+All words of all texts count, up to trigrams, with no vocabulary.  A document is scored by
+the counts of all other rows: the whole table's counts less its own.  So a text that occurs
+twice, or shares passages with others, scores higher than one that stands alone."""
 
 from __future__ import annotations
 
@@ -16,200 +16,173 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-from .base import by_bucket, hash_words, stored, text_of
+from .base import by_bucket, give_back, hash_words, mix, stored, text_of
 
-VOCABULARY = 1 << 16         # words at most; ids take 17 bits
 BACKOFF = 0.4
-BUCKET_TOKENS = 2_000_000    # bigrams a bucket should hold
-SPLIT_TOKENS = 4_000_000     # bigrams one task scores; a larger bucket is scored in parts
-BITS = 17
+BLOCK_CHARS = 8 << 20        # characters of the texts that are counted and scored together
+BUCKET_GRAMS = 4_000_000     # exploded n-grams a bucket should hold, before those of a block are summed
+WORD_CHARS = 6               # characters a word, by which the number of buckets is chosen
+#: keys of the empty n-gram, counted once a word, and of the start of a text, once a text with words
+NOTHING, START = np.uint64(0x51ED270B7F4A7C15), np.uint64(0x2545F4914F6CDD1D)
+SPECIAL = np.array([NOTHING, START], np.uint64)
 
 
-def halves(batch) -> np.ndarray:
-    return batch.column("half").to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def with_half(docs: DataFrame) -> DataFrame:
-    text = text_of()
-    return docs.withColumn("text", text).withColumn("half", F.pmod(F.xxhash64(F.lit("half"), text), F.lit(2)).cast("int"))
+def text_blocks(docs: DataFrame) -> DataFrame:
+    """(home, ids, texts, chars): rows of about ``BLOCK_CHARS`` characters, stored."""
+    from pyspark.sql.pandas.types import to_arrow_type
 
+    id_type = docs.schema["doc_id"].dataType
+    id_arrow = to_arrow_type(id_type)
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n0, n1): occurrences of each word hash in either half, stored."""
     def run(batches):
+        home = TaskContext.get().partitionId() << 32
         for b in batches:
-            words, sizes = hash_words(b.column("text").to_pylist())
-            half = np.repeat(halves(b), sizes)
-            word, at = np.unique(words, return_inverse=True)
-            n0 = np.bincount(at[half == 0], minlength=len(word))
-            n1 = np.bincount(at[half == 1], minlength=len(word))
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n0), pa.array(n1)], names=["word", "n0", "n1"])
-
-    rows = docs.select("text", "half").mapInArrow(run, "word bigint, n0 bigint, n1 bigint")
-    return stored(rows.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "words")
-
-
-def vocabulary(words: DataFrame, most: int = VOCABULARY):
-    """Sorted hashes and per-half counts of the words above the frequency at which at most
-    ``most`` are left (frequencies in steps of a sixteenth of a doubling)."""
-    level = F.floor(F.log2(F.col("n0") + F.col("n1")) * 16)
-    steps = words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
-    held, cut = 0, None
-    for s in steps:                 # a thousand rows at most
-        if held + s.n > most:
-            break
-        held, cut = held + s.n, s.level
-    kept = words.where(level >= cut).collect() if cut is not None else []     # ``most`` rows at most
-    kept = np.array(sorted((r.word, r.n0, r.n1) for r in kept), np.int64).reshape(-1, 3)
-    total = words.agg(F.sum("n0"), F.sum("n1")).first()
-    return kept[:, 0], kept[:, 1:], np.array([total[0] or 0, total[1] or 0], np.int64)
-
-
-def bigrams(texts: list, words: np.ndarray):
-    """Bigram keys (first id, second id) of all texts in order, and how many each text has.
-
-    Ids are places in ``words``; len(words) is the unknown word, and one more the start of a text."""
-    flat, sizes = hash_words(texts)
-    flat = flat.view(np.int64)
-    if len(words):
-        at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
-        ids = np.where(words[at] == flat, at, len(words))
-    else:
-        ids = np.zeros(len(flat), np.int64)
-    before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
-    first = (np.cumsum(sizes) - sizes)[sizes > 0]
-    before[first] = len(words) + 1
-    return (before << BITS) | ids, sizes
-
-
-def bigram_tables(docs: DataFrame, words, buckets: int) -> DataFrame:
-    """One row a bucket: sorted keys and their counts in either half, stored."""
+            ids, texts = b.column("doc_id"), b.column("text")
+            ends = np.cumsum(pa.compute.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            part = (ends - 1) // BLOCK_CHARS if len(ends) else ends
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(ends)])).tolist()
+            for x, y in zip(edges[:-1], edges[1:]):
+                if y > x:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([home], pa.int64()), pa.array([ids[x:y].to_pylist()], pa.list_(id_arrow)),
+                         pa.array([texts[x:y].to_pylist()], pa.list_(pa.string())), pa.array([int(ends[y - 1] - (ends[x - 1] if x else 0))])],
+                        names=["home", "ids", "texts", "chars"])
+                    home += 1
+
+    return stored(docs.select("doc_id", text_of().alias("text")).mapInArrow(
+        run, f"home bigint, ids array<{id_type.simpleString()}>, texts array<string>, chars bigint"), "texts")
+
+
+def explode(texts: list):
+    """Keys of the unigrams, bigrams and trigrams that end at each word, the text of each
+    word, whether it is its text's first, and the texts' numbers of words.
+
+    The start of a text counts as the word before its first; a first word has no trigram."""
+    words, sizes = hash_words(texts)
+    first = np.zeros(len(words), bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    before = np.concatenate(([START], words[:-1])) if len(words) else words
+    before[first] = START
+    with np.errstate(over="ignore"):
+        a, b, c = mix(np.arange(1, 4, dtype=np.uint64)) | np.uint64(1)
+        two = before * a + words * b
+        three = (np.concatenate(([START], before[:-1])) if len(words) else words) * c + two
+        keys = [mix(words + a), mix(two + b), mix(three + c)[~first]]
+    return keys, np.repeat(np.arange(len(sizes)), sizes), first, sizes
+
+
+def packed(n: np.ndarray) -> bytes:
+    """Counts as one byte each, those from 255 on in eight bytes behind them."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    n = np.frombuffer(data, np.uint8, size).astype(np.int64)
+    n[n == 255] = np.frombuffer(data, np.uint8, offset=size).copy().view(np.int64)
+    return n
+
+
+def short(keys: np.ndarray) -> bytes:
+    """48 bits of each key, which tell it from the others of its bucket (two of four million
+    taken for one: a chance of about 1e-8 for each)."""
+    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + ((keys >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+
+
+def unshort(data: bytes) -> np.ndarray:
+    n = len(data) // 6
+    return np.frombuffer(data, np.uint32, n).astype(np.uint64) | (np.frombuffer(data, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32))
+
+
+def totals(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(home, bucket, ns): for every n-gram of a block its count in the whole table, stored.
+
+    A block sends each of its n-grams once, with its count there, to the bucket its hash
+    names; so a very common n-gram is one key a block, and no bucket is hot."""
     def send(batches):
         for b in batches:
-            keys, sizes = bigrams(b.column("text").to_pylist(), words.value[0])
-            key, n = np.unique((keys << 1) | np.repeat(halves(b), sizes), return_counts=True)
-            order, spans = by_bucket((key >> 1).view(np.uint64), buckets)
-            key, n = key[order], n[order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _, _ in spans], pa.int32()), pa.array([key[x:y].tobytes() for _, x, y in spans], pa.binary()),
-                 pa.array([n[x:y].astype(np.uint32).tobytes() for _, x, y in spans], pa.binary())], names=["bucket", "ks", "ns"])
+            for home, texts in zip(*(b.column(c).to_pylist() for c in ("home", "texts"))):
+                keys, _, _, sizes = explode(texts)
+                each = [np.unique(k, return_counts=True) for k in keys]
+                key = np.concatenate([SPECIAL, *(k for k, _ in each)])
+                n = np.concatenate([np.array([sizes.sum(), (sizes > 0).sum()], np.int64), *(n for _, n in each)])
+                order, spans = by_bucket(key, buckets)
+                key, n = key[order], n[order]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _, _ in spans], pa.int32()), pa.array([home] * len(spans), pa.int64()),
+                     pa.array([short(key[x:y]) for _, x, y in spans], pa.binary()),
+                     pa.array([packed(n[x:y]) for _, x, y in spans], pa.binary())], names=["bucket", "home", "ks", "ns"])
+        give_back()
 
     def add(table: pa.Table) -> pa.Table:
-        key = np.frombuffer(b"".join(table.column("ks").to_pylist()), np.int64)
-        n = np.frombuffer(b"".join(table.column("ns").to_pylist()), np.uint32)
-        gram, at = np.unique(key >> 1, return_inverse=True)
-        counts = np.stack([np.bincount(at[(key & 1) == h], n[(key & 1) == h], len(gram)) for h in (0, 1)], 1)
-        return pa.table({"bucket": table.column("bucket").slice(0, 1), "ks": pa.array([gram.tobytes()], pa.binary()),
-                         "ns": pa.array([counts.astype(np.int64).tobytes()], pa.binary()), "total": pa.array([int(n.sum())], pa.int64())})
-
-    sent = docs.select("text", "half").mapInArrow(send, "bucket int, ks binary, ns binary")
-    return stored(sent.groupBy("bucket").applyInArrow(add, "bucket int, ks binary, ns binary, total bigint"), "bigrams")
+        ks, ns = (table.column(c).to_pylist() for c in ("ks", "ns"))
+        ends = np.cumsum([len(k) // 6 for k in ks]).tolist()
+        _, at = np.unique(np.concatenate([unshort(k) for k in ks]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([unpacked(n, len(k) // 6) for k, n in zip(ks, ns)])).astype(np.int64)
+        out = [packed(total[at[x:y]]) for x, y in zip([0, *ends[:-1]], ends)]
+        return pa.table({"home": table.column("home"), "bucket": table.column("bucket"), "ns": pa.array(out, pa.binary())})
+
+    sent = blocks.select("home", "texts").mapInArrow(send, "bucket int, home bigint, ks binary, ns binary")
+    return stored(sent.groupBy("bucket").applyInArrow(add, "home bigint, bucket int, ns binary"), "totals")
+
+
+def others(keys: list, doc: np.ndarray, first: np.ndarray, sizes: np.ndarray, answers: list, buckets: int) -> tuple:
+    """Counts in all other rows of each word's unigram, bigram and trigram (0 at a first
+    word), and of all words and of all starts for each text."""
+    each = [np.unique(k, return_inverse=True) for k in keys]
+    key = np.concatenate([SPECIAL, *(k for k, _ in each)])
+    order, spans = by_bucket(key, buckets)
+    total = np.empty(len(key), np.int64)
+    total[order] = np.concatenate([unpacked(ns, y - x) for ns, (_, x, y) in zip(answers, spans)])
+    counts, base = [], len(SPECIAL)
+    for (gram, at), whose in zip(each, (doc, doc, doc[~first])):
+        _, pair, own = np.unique(at * np.int64(len(sizes)) + whose, return_inverse=True, return_counts=True)
+        counts.append(total[base + at] - own[pair])
+        base += len(gram)
+    three = np.zeros(len(doc), np.int64)
+    three[~first] = counts[2]
+    return counts[0], counts[1], three, total[0] - sizes, total[1] - (sizes > 0)
+
+
+def score(docs: DataFrame, backoff: float = BACKOFF) -> DataFrame:
+    """doc_id, n_words, log_prob and score (log_prob / n_words) for every row of ``docs``.
 
+    With c the counts in all other rows and N their words: S(w | u v) = c(uvw) / c(uv) if that
+    is not 0, else backoff * S(w | v); S(w | v) = c(vw) / c(v), else backoff * S(w); S(w) =
+    c(w) / N, else the floor backoff / N (N at least 1).  A text's first word has the start of
+    a text before it and begins at S(w | start), its second at S(w | start v).
 
-def score(docs: DataFrame, most: int = VOCABULARY, backoff: float = BACKOFF) -> DataFrame:
-    """doc_id, n_words, log_prob and score (log_prob / n_words) for every row of ``docs``.
+    Null and empty texts have no words: log_prob 0, score null.  Repeated rows are rows like
+    others and score each other; ties cannot matter; an empty table gives none.  Other columns
+    are not read.  A text is handled by one task, which holds about 100 bytes a word of it."""
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    S(w | v) = c(vw) / c(v) if the other half has the bigram, else backoff * c(w) / N, else
-    (a word of the vocabulary that the other half lacks) backoff**2 / (vocabulary + 1).  Null
-    and empty texts have no words: log_prob 0, score null.
-
-    Exploded bigrams travel as blocks of numbers, one a bucket and batch, meet their bucket's
-    table, and return one sum a document.  A bucket that holds a very common bigram is scored
-    in several parts, each with a copy of its table; batches are dealt to the parts."""
-    spark = docs.sparkSession
-    docs = with_half(docs.select("doc_id", "text"))
-    counted = word_counts(docs)
-    shared = spark.sparkContext.broadcast(vocabulary(counted, most))     # ``most`` rows at most
-    total = int(shared.value[2].sum())
-    buckets = max(8, total // BUCKET_TOKENS + 1)
-    tables = bigram_tables(docs, shared, buckets)
-    parts = {r.bucket: -(-r.total // SPLIT_TOKENS) for r in tables.where(F.col("total") > SPLIT_TOKENS).select("bucket", "total").collect()}
     id_type = docs.schema["doc_id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
     id_arrow = to_arrow_type(id_type)
-
-    def send(batches):
-        home = TaskContext.get().partitionId() << 32
-        for b in batches:
-            keys, sizes = bigrams(b.column("text").to_pylist(), shared.value[0])
-            doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-            order, spans = by_bucket(keys.view(np.uint64), buckets)
-            keys, doc = keys[order], doc[order]
-            half = halves(b).astype(np.uint8).tobytes()
-            rows = [(-1, 0, home, sizes.tobytes(), b"", half)]
-            for p, x, y in spans:
-                own = np.bincount(doc[x:y], minlength=len(sizes)).astype(np.uint16 if y - x < 65536 else np.uint32)
-                rows.append((p, home % parts.get(p, 1), home, keys[x:y].tobytes(), own.tobytes(), half))
-            cols = list(zip(*rows))
-            ids = [b.column("doc_id").to_pylist()] + [None] * len(spans)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary()),
-                 pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary()), pa.array(ids, pa.list_(id_arrow))],
-                names=["bucket", "part", "home", "ks", "sizes", "half", "ids"])
-            home += 1
-
-    sent = docs.mapInArrow(send, f"bucket int, part int, home bigint, ks binary, sizes binary, half binary, ids array<{id_type.simpleString()}>")
-    sent = sent.withColumn("own", F.when(F.col("bucket") < 0, F.col("home")).otherwise(F.lit(0)))
-    copies = F.explode(F.sequence(F.lit(0), F.ceil(F.greatest(F.col("total"), F.lit(1)) / SPLIT_TOKENS).cast("int") - 1))
-    table_parts = tables.select(F.col("bucket").alias("tb"), copies.alias("tp"), F.lit(0).cast("bigint").alias("to"),
-                                F.col("ks").alias("tks"), F.col("ns").alias("tns"))
-
-    def lookup(right: pa.Table, left: pa.Table) -> pa.Table:
-        words, unigrams, totals = shared.value
-        out = []
-        grams = np.frombuffer(b"".join(left.column("tks").to_pylist()), np.int64)
-        counts = np.frombuffer(b"".join(left.column("tns").to_pylist()), np.int64).reshape(-1, 2)
-        if len(unigrams):
-            rest = totals - unigrams.sum(axis=0)
-        else:
-            rest = totals
-        # occurrences of every id as a context or a word: vocabulary, unknown
-        known = np.concatenate((unigrams, rest[None], np.zeros((1, 2), np.int64)))
-        for r in right.select(["bucket", "home", "ks", "sizes", "half"]).to_pylist():
-            if r["bucket"] < 0:
-                continue
-            keys = np.frombuffer(r["ks"], np.int64)
-            half = np.frombuffer(r["half"], np.uint8).astype(np.int64)
-            own = np.frombuffer(r["sizes"], np.uint16 if len(r["sizes"]) == 2 * len(half) else np.uint32)
-            doc = np.repeat(np.arange(len(half)), own)
-            other = 1 - half[doc]
-            at = np.searchsorted(grams, keys)
-            c = counts[at, other]
-            v, w = keys >> BITS, keys & ((1 << BITS) - 1)
-            context = np.where(v == len(words) + 1, starts_of(half)[other], known[v, other])
-            n, size = known[w, other], np.maximum(totals[other], 1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                p = np.where(c > 0, np.log(c) - np.log(np.maximum(context, 1)),
-                             np.where(n > 0, math.log(backoff) + np.log(n) - np.log(size),
-                                      2 * math.log(backoff) - math.log(len(words) + 1)))
-            out.append((r["home"], r["bucket"], np.bincount(doc, p, len(half)).tobytes()))
-        names = right.filter(pa.compute.less(right.column("bucket"), 0))
-        home = pa.array([o[0] for o in out] + names.column("home").to_pylist(), pa.int64())
-        bucket = pa.array([o[1] for o in out] + [-1] * len(names), pa.int32())
-        sums = pa.array([o[2] for o in out] + names.column("ks").to_pylist(), pa.binary())
-        ids = pa.array([None] * len(out) + names.column("ids").to_pylist(), pa.list_(id_arrow))
-        return pa.table({"home": home, "bucket": bucket, "sums": sums, "ids": ids})
-
-    start_counts = [int(x or 0) for x in docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(
-        F.count(F.when(F.col("half") == 0, 1)), F.count(F.when(F.col("half") == 1, 1))).first()]
-
-    def starts_of(_):
-        return np.array(start_counts, np.int64)
-
-    summed = sent.groupBy("bucket", "part", "own").cogroup(table_parts.groupBy("tb", "tp", "to")) \
-        .applyInArrow(lookup, f"home bigint, bucket int, sums binary, ids array<{id_type.simpleString()}>")
-
-    def gather(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        ids, sizes = rows[0]["ids"], np.frombuffer(rows[0]["sums"], np.int64)
-        p = np.zeros(len(sizes))
-        for r in rows[1:]:
-            p = p + np.frombuffer(r["sums"], np.float64)
-        mean = [float(x / n) if n else None for x, n in zip(p, sizes)]
+    blocks = text_blocks(docs)
+    chars = blocks.agg(F.sum("chars")).first()[0] or 0
+    buckets = int(max(8, 3 * chars // WORD_CHARS // BUCKET_GRAMS + 1))
+    counted = totals(blocks, buckets)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, texts = left.column("ids")[0].as_py(), left.column("texts")[0].as_py()
+        keys, doc, first, sizes = explode(texts)
+        answers = [ns for _, ns in sorted(zip(right.column("bucket").to_pylist(), right.column("ns").to_pylist()))]
+        one, two, three, words, starts = others(keys, doc, first, sizes, answers, buckets)
+        v, uv = np.concatenate(([0], one[:-1])), np.concatenate(([0], two[:-1]))
+        v = np.where(first, starts[doc], v[:len(doc)])
+        size, back = np.maximum(words[doc], 1), math.log(backoff)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            p = np.where(one > 0, np.log(one), back) - np.log(size) + back
+            p = np.where(two > 0, np.log(two) - np.log(v), p)
+            p = np.where(first, p, np.where(three > 0, np.log(three) - np.log(uv[:len(doc)]), p + back))
+        total = np.bincount(doc, p, len(sizes)).astype(np.float64)
+        mean = [float(x / n) if n else None for x, n in zip(total, sizes)]
+        give_back()
         return pa.table({"doc_id": pa.array(ids, id_arrow), "n_words": pa.array(sizes),
-                         "log_prob": pa.array(p), "score": pa.array(mean, pa.float64())})
+                         "log_prob": pa.array(total), "score": pa.array(mean, pa.float64())})
 
-    return summed.groupBy("home").applyInArrow(gather, f"doc_id {id_type.simpleString()}, n_words bigint, log_prob double, score double")
+    return blocks.select("home", "ids", "texts").groupBy("home").cogroup(counted.groupBy("home")) \
+        .applyInArrow(run, f"doc_id {id_type.simpleString()}, n_words bigint, log_prob double, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,36 +263,61 @@ def test_suffix_automaton_statistics():
     assert op7_substring.SuffixAutomaton(ref).statistics(text) == want
 
 
+def brute_backoff(texts):
+    """(words, log probability) of every text by the counts of all other texts."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    counts = []
+    for ws in split:
+        c = collections.Counter()
+        for i, w in enumerate(ws):
+            before = ["^", *ws][:i + 1]
+            c.update([(), (w,), (before[-1], w)] + ([(before[-2], before[-1], w)] if i else []))
+        c["^",] += bool(ws)
+        counts.append(c)
+    whole = sum(counts, collections.Counter())
+    out = []
+    for ws, own in zip(split, counts):
+        n, p = lambda *g: whole[g] - own[g], 0.0
+        for i, w in enumerate(ws):
+            before, back, s = ["^", *ws][:i + 1], 0, None
+            if i:
+                u, v = before[-2:]
+                s = n(u, v, w) and n(u, v, w) / n(u, v)
+                back += not s
+            if not s:
+                s = n(before[-1], w) and n(before[-1], w) / n(before[-1])
+                back += not s
+            if not s:
+                s, back = (n(w) / n(), back) if n(w) else (1 / max(n(), 1), back + 1)
+            p += math.log(s) + back * math.log(0.4)
+        out.append((len(ws), p))
+    return out
+
+
 def test_lm(spark, docs, rows, none):
-    got = op8_lm.score(docs, most=200).collect()
-    assert len(got) == len(rows) and op8_lm.score(none).count() == 0
-    half = {r.text: r.half for r in op8_lm.with_half(docs.select("text")).collect()}
-    words = [(r[1] or "", base.hash_words([r[1]])[0].view(np.int64).tolist()) for r in rows]
-    counted = op8_lm.word_counts(op8_lm.with_half(docs.select("text")))
-    kept = set(op8_lm.vocabulary(counted, 200)[0].tolist())
-    uni, bi, size = collections.Counter(), collections.Counter(), collections.Counter()
-    for t, ws in words:
-        ids = [w if w in kept else "?" for w in ws]
-        for v, w in zip(["^", *ids], ids):
-            uni[half[t], w] += 1
-            bi[half[t], v, w] += 1
-            size[half[t]] += 1
-        uni[half[t], "^"] += bool(ids)
-    want = collections.Counter()
-    for r, (t, ws) in zip(rows, words):
-        ids, h, p = [w if w in kept else "?" for w in ws], 1 - half[t], 0.0
-        for v, w in zip(["^", *ids], ids):
-            if bi[h, v, w]:
-                p += math.log(bi[h, v, w] / uni[h, v])
-            elif uni[h, w]:
-                p += math.log(0.4 * uni[h, w] / size[h])
-            else:
-                p += 2 * math.log(0.4) - math.log(len(kept) + 1)
-        want[r[0], len(ws), round(p, 6)] += 1
+    got = op8_lm.score(docs).collect()
+    assert op8_lm.score(none).count() == 0
+    want = collections.Counter((r[0], n, round(p, 6)) for r, (n, p) in zip(rows, brute_backoff([r[1] for r in rows])))
     assert collections.Counter((r.doc_id, r.n_words, round(r.log_prob, 6)) for r in got) == want
     assert all((r.score is None) == (r.n_words == 0) for r in got)
 
 
+def test_lm_blocks_and_buckets(spark, monkeypatch):
+    """Many blocks and buckets, counts over 255, words of count 1, a text alone, clashing columns."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("a b c d e") if rng.random() < 0.9 else f"once{rng.random()}" for _ in range(rng.randrange(60))) for _ in range(300)]
+    texts += ["copied text of its own kind"] * 2 + ["word " * 3000, None, "", " \t"]
+    monkeypatch.setattr(op8_lm, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(op8_lm, "BUCKET_GRAMS", 700)
+    docs = spark.createDataFrame([(str(i), t, 1, "x", None) for i, t in enumerate(texts)],
+                                 "doc_id string, text string, home long, ns string, n_words long").repartition(3)
+    got = {int(r.doc_id): (r.n_words, r.log_prob) for r in op8_lm.score(docs).collect()}
+    want = brute_backoff(texts)
+    assert len(got) == len(texts) and all(got[i][0] == n and math.isclose(got[i][1], p, abs_tol=1e-6) for i, (n, p) in enumerate(want))
+    alone = op8_lm.score(docs.where("doc_id = '300'")).first()
+    assert math.isclose(alone.log_prob, brute_backoff(["copied text of its own kind"])[0][1], abs_tol=1e-9)
+
+
 def test_packing(spark, docs, rows, none):
     from tokenizers import Tokenizer
 
