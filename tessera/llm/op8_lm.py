@@ -19,7 +19,7 @@ from tessera.session import read_table
 from .base import by_bucket, give_back, hash_words, mix, stored, text_of
 
 BACKOFF = 0.4
-BLOCK_CHARS = 8 << 20        # characters of the texts that are counted and scored together
+BLOCK_CHARS = 6 << 20        # characters of the texts that are counted and scored together
 BUCKET_GRAMS = 4_000_000     # exploded n-grams a bucket should hold, before those of a block are summed
 WORD_CHARS = 6               # characters a word, by which the number of buckets is chosen
 #: keys of the empty n-gram, counted once a word, and of the start of a text, once a text with words
@@ -71,26 +71,37 @@ def explode(texts: list):
     return keys, np.repeat(np.arange(len(sizes)), sizes), first, sizes
 
 
-def packed(n: np.ndarray) -> bytes:
-    """Counts as one byte each, those from 255 on in eight bytes behind them."""
-    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes()
+def packed(n: np.ndarray, wide=np.int64) -> bytes:
+    """Numbers as one byte each, those from 255 on as ``wide`` behind them."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(wide).tobytes()
 
 
-def unpacked(data: bytes, size: int) -> np.ndarray:
+def unpacked(data: bytes, size: int, wide=np.int64) -> np.ndarray:
     n = np.frombuffer(data, np.uint8, size).astype(np.int64)
-    n[n == 255] = np.frombuffer(data, np.uint8, offset=size).copy().view(np.int64)
+    n[n == 255] = np.frombuffer(data[size:], wide)
     return n
 
 
-def short(keys: np.ndarray) -> bytes:
-    """48 bits of each key, which tell it from the others of its bucket (two of four million
-    taken for one: a chance of about 1e-8 for each)."""
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + ((keys >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+def in_buckets(keys: np.ndarray, buckets: int):
+    """Names of the keys in the order of their buckets, ascending in each; that order; (bucket, from, to).
 
+    A name is 48 bits of a key, which tell it from the others of its bucket (two of four
+    million are taken for one with a chance of about 1e-8 each)."""
+    names = keys & np.uint64((1 << 48) - 1)
+    ascending = np.argsort(names)
+    order, spans = by_bucket(keys[ascending], buckets)
+    order = ascending[order]
+    return names[order], order, spans
 
-def unshort(data: bytes) -> np.ndarray:
-    n = len(data) // 6
-    return np.frombuffer(data, np.uint32, n).astype(np.uint64) | (np.frombuffer(data, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32))
+
+def gaps(names: np.ndarray) -> bytes:
+    """Steps of the upper 16 bits of ascending names, most of them below 255."""
+    return packed(np.diff((names >> np.uint64(32)).astype(np.int64), prepend=0), np.uint16)
+
+
+def names_of(steps: bytes, low: bytes) -> np.ndarray:
+    low = np.frombuffer(low, np.uint32).astype(np.uint64)
+    return (np.cumsum(unpacked(steps, len(low), np.uint16)).astype(np.uint64) << np.uint64(32)) | low
 
 
 def totals(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -100,28 +111,32 @@ def totals(blocks: DataFrame, buckets: int) -> DataFrame:
     names; so a very common n-gram is one key a block, and no bucket is hot."""
     def send(batches):
         for b in batches:
-            for home, texts in zip(*(b.column(c).to_pylist() for c in ("home", "texts"))):
-                keys, _, _, sizes = explode(texts)
+            for i in range(b.num_rows):
+                home = b.column("home")[i].as_py()
+                keys, _, _, sizes = explode(b.column("texts")[i].as_py())
                 each = [np.unique(k, return_counts=True) for k in keys]
                 key = np.concatenate([SPECIAL, *(k for k, _ in each)])
                 n = np.concatenate([np.array([sizes.sum(), (sizes > 0).sum()], np.int64), *(n for _, n in each)])
-                order, spans = by_bucket(key, buckets)
-                key, n = key[order], n[order]
+                names, order, spans = in_buckets(key, buckets)
+                n = n[order]
+                del keys, each, key, order
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _, _ in spans], pa.int32()), pa.array([home] * len(spans), pa.int64()),
-                     pa.array([short(key[x:y]) for _, x, y in spans], pa.binary()),
-                     pa.array([packed(n[x:y]) for _, x, y in spans], pa.binary())], names=["bucket", "home", "ks", "ns"])
-        give_back()
+                     pa.array([gaps(names[x:y]) for _, x, y in spans], pa.binary()),
+                     pa.array([names[x:y].astype(np.uint32).tobytes() for _, x, y in spans], pa.binary()),
+                     pa.array([packed(n[x:y]) for _, x, y in spans], pa.binary())], names=["bucket", "home", "steps", "low", "ns"])
+                give_back()
 
     def add(table: pa.Table) -> pa.Table:
-        ks, ns = (table.column(c).to_pylist() for c in ("ks", "ns"))
-        ends = np.cumsum([len(k) // 6 for k in ks]).tolist()
-        _, at = np.unique(np.concatenate([unshort(k) for k in ks]), return_inverse=True)
-        total = np.bincount(at, np.concatenate([unpacked(n, len(k) // 6) for k, n in zip(ks, ns)])).astype(np.int64)
+        steps, low, ns = (table.column(c).to_pylist() for c in ("steps", "low", "ns"))
+        ends = np.cumsum([len(k) // 4 for k in low]).tolist()
+        _, at = np.unique(np.concatenate([names_of(g, k) for g, k in zip(steps, low)]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([unpacked(n, len(k) // 4) for k, n in zip(low, ns)])).astype(np.int64)
         out = [packed(total[at[x:y]]) for x, y in zip([0, *ends[:-1]], ends)]
+        give_back()
         return pa.table({"home": table.column("home"), "bucket": table.column("bucket"), "ns": pa.array(out, pa.binary())})
 
-    sent = blocks.select("home", "texts").mapInArrow(send, "bucket int, home bigint, ks binary, ns binary")
+    sent = blocks.select("home", "texts").mapInArrow(send, "bucket int, home bigint, steps binary, low binary, ns binary")
     return stored(sent.groupBy("bucket").applyInArrow(add, "home bigint, bucket int, ns binary"), "totals")
 
 
@@ -130,7 +145,7 @@ def others(keys: list, doc: np.ndarray, first: np.ndarray, sizes: np.ndarray, an
     word), and of all words and of all starts for each text."""
     each = [np.unique(k, return_inverse=True) for k in keys]
     key = np.concatenate([SPECIAL, *(k for k, _ in each)])
-    order, spans = by_bucket(key, buckets)
+    _, order, spans = in_buckets(key, buckets)
     total = np.empty(len(key), np.int64)
     total[order] = np.concatenate([unpacked(ns, y - x) for ns, (_, x, y) in zip(answers, spans)])
     counts, base = [], len(SPECIAL)
