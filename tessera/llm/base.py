@@ -45,7 +45,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read back.
 
     Nothing reads the write's own shuffles afterwards, so Spark removes their files then."""
@@ -54,7 +54,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEANUP)
     conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         conf.set(CLEANUP, before)
     table = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ from tessera.session import read_table
 from .base import by_bucket, give_back, hash_words, mix, stored, text_of
 
 BACKOFF = 0.4
-BLOCK_CHARS = 6 << 20        # characters of the texts that are counted and scored together
+BLOCK_CHARS = 4 << 20        # characters of the texts that are counted and scored together
 BUCKET_GRAMS = 4_000_000     # exploded n-grams a bucket should hold, before those of a block are summed
 WORD_CHARS = 6               # characters a word, by which the number of buckets is chosen
 #: keys of the empty n-gram, counted once a word, and of the start of a text, once a text with words
@@ -50,7 +50,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                     home += 1
 
     return stored(docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"home bigint, ids array<{id_type.simpleString()}>, texts array<string>, chars bigint"), "texts")
+        run, f"home bigint, ids array<{id_type.simpleString()}>, texts array<string>, chars bigint"), "texts", "zstd")
 
 
 def explode(texts: list):
@@ -105,7 +105,7 @@ def names_of(steps: bytes, low: bytes) -> np.ndarray:
 
 
 def totals(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(home, bucket, ns): for every n-gram of a block its count in the whole table, stored.
+    """(home, bucket, ns): for every n-gram of a block its count in all other blocks, stored.
 
     A block sends each of its n-grams once, with its count there, to the bucket its hash
     names; so a very common n-gram is one key a block, and no bucket is hot."""
@@ -131,25 +131,26 @@ def totals(blocks: DataFrame, buckets: int) -> DataFrame:
         steps, low, ns = (table.column(c).to_pylist() for c in ("steps", "low", "ns"))
         ends = np.cumsum([len(k) // 4 for k in low]).tolist()
         _, at = np.unique(np.concatenate([names_of(g, k) for g, k in zip(steps, low)]), return_inverse=True)
-        total = np.bincount(at, np.concatenate([unpacked(n, len(k) // 4) for k, n in zip(low, ns)])).astype(np.int64)
-        out = [packed(total[at[x:y]]) for x, y in zip([0, *ends[:-1]], ends)]
+        own = np.concatenate([unpacked(n, len(k) // 4) for k, n in zip(low, ns)])
+        rest = np.bincount(at, own).astype(np.int64)[at] - own
+        out = [packed(rest[x:y]) for x, y in zip([0, *ends[:-1]], ends)]
         give_back()
         return pa.table({"home": table.column("home"), "bucket": table.column("bucket"), "ns": pa.array(out, pa.binary())})
 
     sent = blocks.select("home", "texts").mapInArrow(send, "bucket int, home bigint, steps binary, low binary, ns binary")
-    return stored(sent.groupBy("bucket").applyInArrow(add, "home bigint, bucket int, ns binary"), "totals")
+    return stored(sent.groupBy("bucket").applyInArrow(add, "home bigint, bucket int, ns binary"), "totals", "zstd")
 
 
 def others(keys: list, doc: np.ndarray, first: np.ndarray, sizes: np.ndarray, answers: list, buckets: int) -> tuple:
     """Counts in all other rows of each word's unigram, bigram and trigram (0 at a first
     word), and of all words and of all starts for each text."""
-    each = [np.unique(k, return_inverse=True) for k in keys]
-    key = np.concatenate([SPECIAL, *(k for k, _ in each)])
+    each = [np.unique(k, return_inverse=True, return_counts=True) for k in keys]
+    key = np.concatenate([SPECIAL, *(k for k, _, _ in each)])
+    total = np.concatenate([np.array([sizes.sum(), (sizes > 0).sum()], np.int64), *(n for _, _, n in each)])
     _, order, spans = in_buckets(key, buckets)
-    total = np.empty(len(key), np.int64)
-    total[order] = np.concatenate([unpacked(ns, y - x) for ns, (_, x, y) in zip(answers, spans)])
+    total[order] += np.concatenate([unpacked(ns, y - x) for ns, (_, x, y) in zip(answers, spans)])
     counts, base = [], len(SPECIAL)
-    for (gram, at), whose in zip(each, (doc, doc, doc[~first])):
+    for (gram, at, _), whose in zip(each, (doc, doc, doc[~first])):
         _, pair, own = np.unique(at * np.int64(len(sizes)) + whose, return_inverse=True, return_counts=True)
         counts.append(total[base + at] - own[pair])
         base += len(gram)
