@@ -4,8 +4,9 @@ A pair that is similar enough differs in few shingles.  Shingles are hashed into
 groups than two linked sets can differ in, so some group is the same in both: rows meet by
 the content of a group, which loses no link.  Among rows that meet, the counts of 32
 coarser groups are points of an R-tree; the summed coordinate minima bound the overlap and
-prune pairs; survivors are counted where they meet, and the edges that join components are
-verified on the whole sets.
+prune pairs, and a bitmap of each set (at most a byte a shingle) prunes most of the rest.  Only rows
+with a pair left have their shingles shuffled; those pairs are counted where they meet, and
+the edges that join components are verified on the whole sets.
 
 (An R-tree over the whole table alone opens nearly every leaf: a linked pair may differ by
 about 0.16 n, while any one coordinate or sum of coordinates of unrelated texts of n
@@ -25,6 +26,7 @@ from .base import by_bucket, components, discard, give_back, hash_words, map_bat
 WIDTH = 4                    # words a shingle
 PERCENT = 85                 # similarity from which two documents link, in percent
 DIMS = 32                    # coordinates of a point
+SPARSE = 4                   # bits of a set's bitmap, per shingle and at least
 MARKS = 1 << 20              # bits of the table by which a set's overlap with others is bounded
 NODE = 16                    # entries of an R-tree node
 BLOCK = 512                  # rows of a group that one task compares with another such block
@@ -137,19 +139,49 @@ def portions(texts: list, chars: int = PORTION):
 
 
 def set_rows(docs: DataFrame, width: int, salt: int, carry: tuple = ("doc_id",)) -> DataFrame:
-    """``carry``, n_shingles, key and a second key of every row's set (keys null if empty)."""
+    """``carry``, n_shingles, key, a second key, point and bitmap of every row's set (null if empty)."""
     types = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batch):
-        n, k, k2, texts = [], [], [], batch.column("text").to_pylist()
+        n, k, k2, point, bits, texts = [], [], [], [], [], batch.column("text").to_pylist()
         for a, b in portions(texts):
             for s in shingle_sets(texts[a:b], width):
                 n.append(len(s))
                 k.append(set_key(s, salt) if len(s) else None)
                 k2.append(set_key(s, salt + 1) if len(s) else None)
-        return {**{c: batch.column(c) for c in carry}, "n": n, "k": k, "k2": k2}
+                point.append(counts(s).tobytes() if len(s) else None)
+                bits.append(bitmap(s).tobytes() if len(s) else None)
+        return {**{c: batch.column(c) for c in carry}, "n": n, "k": k, "k2": k2, "point": point, "bits": bits}
 
-    return map_batches(docs.select(*carry, "text"), f"{types}, n bigint, k bigint, k2 bigint", run)
+    return map_batches(docs.select(*carry, "text"), f"{types}, n bigint, k bigint, k2 bigint, point binary, bits binary", run)
+
+
+def counts(grams: np.ndarray) -> np.ndarray:
+    """A set's point: how many of its shingles each of ``DIMS`` groups has."""
+    return np.bincount((grams >> np.uint64(40)).astype(np.int64) & (DIMS - 1), minlength=DIMS).astype(np.uint32)
+
+
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """A set's bits, one a shingle, in 64-bit words: a power of two of at least ``SPARSE`` bits a shingle."""
+    size = max(64, 1 << (SPARSE * len(grams) - 1).bit_length())
+    out = np.zeros(size, bool)
+    out[(grams & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(out).view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap the same set has with fewer words."""
+    while len(bits) > words:
+        bits = bits[:len(bits) // 2] | bits[len(bits) // 2:]
+    return bits
+
+
+def within(x: np.ndarray, ys: np.ndarray, n, ns, percent: int) -> np.ndarray:
+    """Whether a set of size n may link to others by their bitmaps (a row each): a bit that
+    only one of the two has is a shingle that the other lacks."""
+    both = np.bitwise_count(ys & x).sum(axis=1, dtype=np.int64)
+    most = np.minimum(n - np.bitwise_count(x).sum(dtype=np.int64) + both, ns - np.bitwise_count(ys).sum(axis=1, dtype=np.int64) + both)
+    return enough(most, n, ns, percent)
 
 
 def meetings(docs: DataFrame, width: int, percent: int, salt: int, total: int) -> DataFrame:
@@ -321,6 +353,52 @@ class RTree:
         return self.order[found]
 
 
+def plausible(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may link by their bitmaps, stored."""
+    one = outlines.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    two = outlines.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+
+    def run(batch):
+        a, b = [], []
+        for ka, kb, na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "xa", "xb"))):
+            if enough(min(na, nb), na, nb, percent):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                if within(folded(x, words), folded(y, words)[None, :], na, nb, percent)[0]:
+                    a.append(ka)
+                    b.append(kb)
+        return {"a": a, "b": b}
+
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "xa", "xb")
+    return stored(map_batches(joined, "a bigint, b bigint", run), "plausible")
+
+
+def paired_rows(points: np.ndarray, bits: list, left: np.ndarray, right: np.ndarray, label: np.ndarray,
+                percent: int) -> np.ndarray:
+    """Whether each row of two blocks may link, by R-tree and bitmaps, to one of the other
+    block with another label.  A pair is looked at only while one of its rows is undecided."""
+    size, width = points.sum(axis=1), np.array([len(b) for b in bits])
+    tables = {}          # bitmaps of one width; rows of twice that width are folded to it
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero((width == w) | (width == 2 * w))
+        place = np.full(len(bits), -1)
+        place[own] = np.arange(len(own))
+        tables[w] = place, np.stack([folded(bits[i], w) for i in own])
+    alive, tree, same = np.zeros(len(bits), bool), RTree(points[right]), np.array_equal(left, right)
+    for x in left.tolist():
+        hit = right[tree.search(points[x], percent)]
+        hit = hit[(label[hit] != label[x]) & ((hit > x) if same else True) & ~(alive[hit] & alive[x])]
+        common = np.minimum(width[hit], width[x])
+        for w in np.unique(common).tolist():
+            place, table = tables[w]
+            ys = hit[common == w]
+            ys = ys[(place[ys] >= 0)] if place[x] >= 0 else ys[:0]     # sizes further apart don't link
+            good = ys[within(table[place[x]], table[place[ys]], size[x], size[ys], percent)] if len(ys) else ys
+            if len(good):
+                alive[x] = alive[good] = True
+    return alive
+
+
 def halves(sets: DataFrame, salt: int) -> DataFrame:
     """(k, half): the sets with 32 bits a shingle, sorted.  Equal shingles stay equal, so
     overlaps found with them are never too small."""
@@ -366,13 +444,14 @@ def compare_blocks(sets: list, left: np.ndarray, right: np.ndarray, label: np.nd
     return edges
 
 
-def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Edges (a, b) that join the components of ``labels`` as the links among rows that meet do, stored.
+def rows_to_compare(met: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
+    """The rows that have, where they meet, a row of another component to be compared with,
+    stored: (home, i, j) is a task, ``block`` the row's side.
 
     Only signatures met by several components count.  Those with the same smallest member
     are one group, so the signatures that a cluster of copies shares are compared once and
     not one by one.  A group is cut into blocks of about ``BLOCK`` rows and two blocks meet
-    in one task, so no task holds a whole large group; a task gives fewer edges than it has rows."""
+    in one task, so no task holds a whole large group."""
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
     open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("k").alias("home")) \
         .where("low <> high").select("sig", "home")
@@ -383,8 +462,26 @@ def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = own.withColumn("other", other).select(
         "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
-        .join(halves(sets, salt), "k")
+        .join(outlines.select("k", "point", "bits"), "k")
+
+    def prune(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block, c = (table.column(x).to_numpy() for x in ("block", "component"))
+        points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, DIMS).astype(np.int64)
+        bits = [np.frombuffer(b, np.uint64) for b in table.column("bits").to_pylist()]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        alive = paired_rows(points, bits, left, right, c, percent) if len(left) and len(right) else np.zeros(len(c), bool)
+        return table.select(["home", "i", "j", "block", "k", "component"]).filter(pa.array(alive))
+
+    types = "home bigint, i int, j int, block int, k bigint, component bigint"
+    pruned = stored(placed.groupBy("home", "i", "j").applyInArrow(prune, types), "pruned")
+    discard(groups)
+    return pruned
+
 
+def joining_edges(rows: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Edges (a, b) that join the components of ``rows_to_compare`` as their links do, stored:
+    fewer in a task than it has rows."""
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block, k, c = (table.column(x).to_numpy() for x in ("block", "k", "component"))
@@ -394,17 +491,34 @@ def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
         a, b = (np.array([f[side] for f in found], np.int64) for side in (0, 1))
         return pa.table({"a": pa.array(np.minimum(k[a], k[b])), "b": pa.array(np.maximum(k[a], k[b]))})
 
-    edges = stored(placed.groupBy("home", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining")
-    discard(groups)
-    return edges
+    placed = rows.join(halves(sets, salt), "k")
+    return stored(placed.groupBy("home", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining")
+
+
+def more_edges(met: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Edges (a, b) that join the components of ``labels`` as the links among rows that meet
+    do, stored, with all rows' sets at hand."""
+    def run(batch):
+        sets = [np.frombuffer(g, np.uint64) for g in batch.column("grams").to_pylist()]
+        return {"k": batch.column("k"), "point": [counts(s).tobytes() for s in sets], "bits": [bitmap(s).tobytes() for s in sets]}
+
+    outlines = map_batches(sets, "k bigint, point binary, bits binary", run)
+    return joining_edges(rows_to_compare(met, labels, outlines, percent), sets, percent, salt)
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """(k) of all rows in ``pairs``."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
 
 
 def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("doc_id",)) -> DataFrame:
     """``carry``, n and c, the component of the row's set (null without shingles), of every row.
 
     Equal sets are one vertex, so copies cost nothing more.  Rows that share a signature
-    are first tried against the smallest of them, one partner each; once those links have
-    joined components, only rows of different components that still meet are compared."""
+    are first tried against the smallest of them, one partner each, if their bitmaps let
+    them link; once those links have joined components, only rows of different components
+    that still meet are compared.  Whole sets are made anew from the texts for rows that
+    have a pair left, so no others are stored or shuffled."""
     salt = 1
     while True:   # a clash of 64-bit keys shows in the second key; another salt then resolves it
         rows = stored(set_rows(docs, width, salt, carry), "rows")
@@ -414,24 +528,34 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
     total = int(rows.agg(F.sum("n")).first()[0] or 0)
     met = meetings(docs, width, percent, salt, total)
     members = stored(met.select("k").distinct(), "members")
-    sets = needed_sets(docs, members, width, salt)
+    outlines = stored(rows.where("k is not null").select("k", "n", "point", "bits").join(small(members), "k", "left_semi")
+                      .dropDuplicates(["k"]), "outlines")
     low = met.groupBy("sig").agg(F.min("k").alias("low"))
     first = met.join(low, "sig").where("k <> low").groupBy(F.col("k").alias("b")).agg(F.min("low").alias("a"))
-    links = verified(first.select("a", "b"), sets, percent)
+    first = plausible(first.select("a", "b"), outlines, percent)
+    sets = needed_sets(docs, stored(ends(first), "tried"), width, salt)
+    links = verified(first, sets, percent)
+    discard(sets, first)
+    first_salt = salt
     vertices = members.select(F.col("k").alias("v"))
     labels = stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
     while True:
-        edges = more_edges(met, labels, sets, percent, salt)
-        if edges.isEmpty():
+        pruned = rows_to_compare(met, labels, outlines, percent)
+        if pruned.isEmpty():
             break
+        sets = needed_sets(docs, stored(pruned.select("k").distinct(), "compared"), width, first_salt)
+        edges = joining_edges(pruned, sets, percent, salt)
         sure = verified(edges, sets, percent)
+        discard(pruned, sets)
+        if edges.isEmpty():
+            break
         links = links.unionByName(sure)
         before, labels = labels, stored(components(vertices, links).select(F.col("v").alias("k"), "component"), "labels")
         discard(before)
         if sure.count() == edges.count():      # all rows that link are joined now
             break
         salt += 2                              # one was not a link: with other bits it will not seem one
-    discard(met, sets)
+    discard(met, outlines)
     return rows.join(small(labels), "k", "left").withColumn("c", F.coalesce("component", "k"))
 
 

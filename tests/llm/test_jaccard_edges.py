@@ -135,3 +135,39 @@ def test_there_are_fewer_edges_than_meetings(spark):
     labels = met.select("k").distinct().withColumn("component", F.col("k"))
     edges = op.more_edges(met, labels, sets, 85, salt)
     assert 0 < edges.count() < met.count()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_bitmaps_lose_no_link(percent):
+    rng = np.random.default_rng(percent)
+    links = dropped = 0
+    for _ in range(1500):
+        base = np.unique(rng.integers(0, 2**64, int(rng.integers(1, 1500)), dtype=np.uint64))
+        keep = rng.random(len(base)) > rng.random() * 0.4
+        other = np.unique(np.concatenate((base[keep], rng.integers(0, 2**64, int((~keep).sum() * rng.random() * 1.5) + 1, dtype=np.uint64))))
+        x, y = op.bitmap(base), op.bitmap(other)
+        words = min(len(x), len(y))
+        may = op.within(op.folded(x, words), op.folded(y, words)[None, :], len(base), len(other), percent)[0]
+        inter = len(np.intersect1d(base, other))
+        link = 100 * inter >= percent * (len(base) + len(other) - inter)
+        assert may or not link
+        links, dropped = links + link, dropped + (not may)
+    assert links > 100 and dropped > 100
+
+
+def test_rows_with_a_link_across_labels_stay():
+    rng = np.random.default_rng(5)
+    for n in (30, 250, 3000):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        sets = []
+        for _ in range(50):
+            own = base[rng.random(len(base)) > rng.random() * 0.3]
+            sets.append(np.unique(np.concatenate((own, rng.integers(0, 2**64, int(rng.integers(1, n)), dtype=np.uint64)))))
+        label = rng.integers(0, 6, 50)
+        points, bits = np.array([op.counts(s) for s in sets], np.int64), [op.bitmap(s) for s in sets]
+        for left, right in ((np.arange(50), np.arange(50)), (np.arange(20), np.arange(20, 50))):
+            alive = op.paired_rows(points, bits, left, right, label, 80)
+            for x in left:
+                for y in right:
+                    if label[x] != label[y] and op.enough(len(np.intersect1d(sets[x], sets[y])), len(sets[x]), len(sets[y]), 80):
+                        assert alive[x] and alive[y]
