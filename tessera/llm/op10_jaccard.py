@@ -30,6 +30,7 @@ SPARSE = 4                   # bits of a set's bitmap, per shingle and at least
 MARKS = 1 << 20              # bits of the table by which a set's overlap with others is bounded
 NODE = 16                    # entries of an R-tree node
 BLOCK = 512                  # rows of a group that one task compares with another such block
+LOT_ROWS = 2000              # rows of small groups that are looked at together
 BUCKET_ROWS = 750_000      # signatures a bucket should hold
 PORTION = 1_000_000          # characters of texts hashed at once
 
@@ -276,9 +277,11 @@ def keys_at(keys: bytes, places: bytes, n: int) -> np.ndarray:
     return np.frombuffer(keys, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * n else np.uint32)]
 
 
-def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> DataFrame:
+def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int, outlines: DataFrame | None = None) -> DataFrame:
     """(k, grams) of the sets whose key is in ``keys``, stored: made anew from the texts, so
-    the sets of all other documents are never written or shuffled while ``keys`` is small."""
+    the sets of all other documents are never written or shuffled while ``keys`` is small.
+    ``outlines`` has the hash ``t`` of a text of every key; then only texts with such a hash
+    are hashed into shingles, if their number allows a broadcast."""
     def run(batches):
         seen = set()
         for batch in batches:
@@ -295,7 +298,13 @@ def needed_sets(docs: DataFrame, keys: DataFrame, width: int, salt: int) -> Data
                                                  names=["k", "grams"])
         give_back()
 
-    made = docs.select("text").mapInArrow(run, "k bigint, grams binary")
+    texts = docs.select("text")
+    if outlines is not None:
+        wanted = stored(outlines.join(small(keys), "k", "left_semi").select("t").distinct(), "wanted")
+        few = small(wanted)
+        if few is not wanted:
+            texts = texts.join(few, F.xxhash64("text") == F.col("t"), "left_semi")
+    made = texts.mapInArrow(run, "k bigint, grams binary")
     return stored(made.join(small(keys), "k", "left_semi").dropDuplicates(["k"]), "sets")
 
 
@@ -451,7 +460,7 @@ def rows_to_compare(met: DataFrame, labels: DataFrame, outlines: DataFrame, perc
     Only signatures met by several components count.  Those with the same smallest member
     are one group, so the signatures that a cluster of copies shares are compared once and
     not one by one.  A group is cut into blocks of about ``BLOCK`` rows and two blocks meet
-    in one task, so no task holds a whole large group."""
+    in one task, so no task holds a whole large group; small groups are dealt to lots."""
     rows = stored(met.join(labels, "k").select("sig", "k", "component"), "labelled")
     open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("k").alias("home")) \
         .where("low <> high").select("sig", "home")
@@ -460,21 +469,27 @@ def rows_to_compare(met: DataFrame, labels: DataFrame, outlines: DataFrame, perc
     blocks = groups.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = groups.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = own.withColumn("other", other).select(
-        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k", "component") \
+    lots = groups.count() // LOT_ROWS + 1
+    lot = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("home"), F.lit(lots))).otherwise(F.xxhash64("home", "i", "j"))
+    placed = own.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}) \
+        .select(lot.alias("lot"), "home", "i", "j", "block", "k", "component") \
         .join(outlines.select("k", "point", "bits"), "k")
 
     def prune(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        block, c = (table.column(x).to_numpy() for x in ("block", "component"))
+        home, i, j, block, c = (table.column(x).to_numpy() for x in ("home", "i", "j", "block", "component"))
         points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, DIMS).astype(np.int64)
         bits = [np.frombuffer(b, np.uint64) for b in table.column("bits").to_pylist()]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        alive = paired_rows(points, bits, left, right, c, percent) if len(left) and len(right) else np.zeros(len(c), bool)
+        order = np.lexsort((j, i, home))
+        cuts = np.flatnonzero((np.diff(home[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+        alive = np.zeros(len(c), bool)
+        for own in np.split(order, cuts):
+            left, right = np.flatnonzero(block[own] == i[own[0]]), np.flatnonzero(block[own] == j[own[0]])
+            if len(left) and len(right):
+                alive[own] = paired_rows(points[own], [bits[x] for x in own], left, right, c[own], percent)
         return table.select(["home", "i", "j", "block", "k", "component"]).filter(pa.array(alive))
 
     types = "home bigint, i int, j int, block int, k bigint, component bigint"
-    pruned = stored(placed.groupBy("home", "i", "j").applyInArrow(prune, types), "pruned")
+    pruned = stored(placed.groupBy("lot").applyInArrow(prune, types), "pruned")
     discard(groups)
     return pruned
 
@@ -521,19 +536,19 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
     have a pair left, so no others are stored or shuffled."""
     salt = 1
     while True:   # a clash of 64-bit keys shows in the second key; another salt then resolves it
-        rows = stored(set_rows(docs, width, salt, carry), "rows")
+        rows = stored(set_rows(docs.withColumn("t", F.xxhash64("text")), width, salt, (*carry, "t")), "rows")
         if rows.groupBy("k").agg(F.min("k2").alias("x"), F.max("k2").alias("y")).where("x <> y").isEmpty():
             break
         salt += 2
     total = int(rows.agg(F.sum("n")).first()[0] or 0)
     met = meetings(docs, width, percent, salt, total)
     members = stored(met.select("k").distinct(), "members")
-    outlines = stored(rows.where("k is not null").select("k", "n", "point", "bits").join(small(members), "k", "left_semi")
+    outlines = stored(rows.where("k is not null").select("k", "n", "t", "point", "bits").join(small(members), "k", "left_semi")
                       .dropDuplicates(["k"]), "outlines")
     low = met.groupBy("sig").agg(F.min("k").alias("low"))
     first = met.join(low, "sig").where("k <> low").groupBy(F.col("k").alias("b")).agg(F.min("low").alias("a"))
     first = plausible(first.select("a", "b"), outlines, percent)
-    sets = needed_sets(docs, stored(ends(first), "tried"), width, salt)
+    sets = needed_sets(docs, stored(ends(first), "tried"), width, salt, outlines)
     links = verified(first, sets, percent)
     discard(sets, first)
     first_salt = salt
@@ -543,7 +558,7 @@ def labelled_rows(docs: DataFrame, width: int, percent: int, carry: tuple = ("do
         pruned = rows_to_compare(met, labels, outlines, percent)
         if pruned.isEmpty():
             break
-        sets = needed_sets(docs, stored(pruned.select("k").distinct(), "compared"), width, first_salt)
+        sets = needed_sets(docs, stored(pruned.select("k").distinct(), "compared"), width, first_salt, outlines)
         edges = joining_edges(pruned, sets, percent, salt)
         sure = verified(edges, sets, percent)
         discard(pruned, sets)
