@@ -154,10 +154,12 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
         return [Run(family, params, float(score), model, path)]
 
     if parallelism > 1:
-        # inheritable: pool threads keep the caller's job group / description / pool
+        # inheritable: pool threads keep the caller's job group / description / pool.  A wrapper
+        # holds one copy of those properties and gives it to every thread that calls it, so each
+        # task has its own: Spark keeps a running query's id there
+        own = [inheritable_thread_target(train.sparkSession)(one) for _ in tasks]
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            target = inheritable_thread_target(train.sparkSession)(one)
-            return [r for own in pool.map(target, tasks) for r in own]
+            return [r for runs in pool.map(lambda run, task: run(task), own, tasks) for r in runs]
     return [r for t in tasks for r in one(t)]
 
 

@@ -64,3 +64,48 @@ def test_registered_searches_fit_the_full_grids(monkeypatch):
         with pytest.raises(Stop):
             query(None, "")
     assert given == [DEFAULT_GRIDS, DEFAULT_GRIDS]
+
+
+def test_concurrent_fits_share_no_local_properties(spark, monkeypatch):
+    import threading
+
+    from tessera.models import search
+
+    together, sc, name = threading.Barrier(3, timeout=60), spark.sparkContext, "tessera.test.fit"
+    seen = {}
+
+    class Model:
+        def transform(self, df):
+            return df
+
+    class Estimator:
+        def fit(self, df, params):
+            sc.setLocalProperty(name, str(params[0][1]))
+            together.wait()
+            seen[params[0][1]] = (sc.getLocalProperty(name), sc.getLocalProperty("tessera.test.caller"))
+            return Model()
+
+    class Param:
+        name = "numTrees"
+
+    class Evaluator:
+        def __init__(self, **kwargs):
+            pass
+
+        def evaluate(self, df):
+            return 1.0
+
+    class Point(dict):
+        def __getitem__(self, key):
+            return dict.__getitem__(self, Param) if key is Param else (key, dict.__getitem__(self, Param))
+
+    monkeypatch.setattr(search, "make_estimator", lambda *a: Estimator())
+    monkeypatch.setattr(search, "grid", lambda est, spec: [Point({Param: v}) for v in spec["numTrees"]])
+    monkeypatch.setattr(search, "RegressionEvaluator", Evaluator)
+    sc.setLocalProperty("tessera.test.caller", "kept")
+    try:
+        runs = search.search_grids({"RF": {"numTrees": [1, 2, 3]}}, spark.range(1), spark.range(1), "y", parallelism=3)
+    finally:
+        sc.setLocalProperty("tessera.test.caller", None)
+    assert [r.params for r in runs] == [{"numTrees": n} for n in (1, 2, 3)]
+    assert seen == {n: (str(n), "kept") for n in (1, 2, 3)}
