@@ -110,3 +110,27 @@ def test_many_rules_equal_the_case_chain(spark):
         got = canonicalise_by_rules(df, "name", rules, out="done").collect()
         key = lambda p: (p[0] is None, p[0] or "", p[1] or "")
         assert sorted(((r.name, r.done) for r in got), key=key) == sorted(zip(names, want), key=key)
+
+
+def test_skewed_join_query_makes_no_pairs(spark, tmp, monkeypatch):
+    from tessera.plans import catalogue
+
+    rng = random.Random(5)
+    lines = [(rng.choice([None, *range(60)]), rng.choice([None, *range(12)]), 1.0) for _ in range(9000)] + [(3, 1, 2.0)] * 6000
+    supp = [(rng.choice([None, *range(9)]), rng.choice([None, -7.25, 0.1, 900.0])) for _ in range(80)] + [(10, None)] * 2
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp}/lineitem.parquet")
+    spark.createDataFrame(supp, "s_suppkey long, s_acctbal double").write.parquet(f"{tmp}/supplier.parquet")
+    made, join = [], catalogue.skew_join
+    monkeypatch.setattr(catalogue, "skew_join", lambda *a, **kw: made.append(join(*a, **kw)) or made[-1])
+    got = {r.k: (r.n, r.cents) for r in catalogue.skewed_join(spark, tmp).collect()}
+    dim, want = collections.defaultdict(list), {}
+    for s, bal in supp:
+        dim[-1 if s is not None and s % 3 == 0 else s].append(None if bal is None else round(bal * 100))
+    for o, s, _ in lines:
+        k = s if o is None else -1 if o % 3 == 0 else -2 if o % 50 == 1 else s
+        found = dim.get(k, [None]) if k is not None else [None]
+        n, cents = want.get(k, (0, None))
+        known = [c for c in found if c is not None]
+        want[k] = (n + len(found), (cents or 0) + sum(known) if known else cents)
+    assert got == want and got[-1][0] > 100_000 and got[10][1] is None and got[10][0] > 2
+    assert made[0].count() == len(lines)
