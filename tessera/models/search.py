@@ -125,6 +125,8 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
             tasks.append((family, None, 0, spec))
             continue
         est = make_estimator(family, label, features, seed)
+        if family == "RF":       # a pass goes one level down in each tree, not down from all roots; the model is the same
+            est = est.setCacheNodeIds(True)
         tasks += [(family, est, i, pm) for i, pm in enumerate(grid(est, spec))]
 
     def linear(spec):
