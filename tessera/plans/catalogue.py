@@ -646,13 +646,15 @@ def _fit_and_score(spark: SparkSession, sf: str, family: str, params: dict) -> D
 
     vec, _, _ = prepare(_model_input(spark, sf), MODEL_FEATURES, "net_price",
                         keep=["l_orderkey"])
-    train, val = split(balance(vec), "key", "l_orderkey")
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # every tree pass re-reads it
+    train, _ = split(balance(vec), "key", "l_orderkey")
+    _, val = split(vec, "key", "l_orderkey")
+    # a fit reads it a few times, then works on its own copy, which needs the memory
+    train = train.persist(StorageLevel.DISK_ONLY)
     try:
         model = make_estimator(family, "net_price", "selected_features").setParams(**params).fit(train)
     finally:
         train.unpersist()
-    return scored(model, val, keep=["l_orderkey", "net_price"])
+    return scored(model, balance(val), keep=["l_orderkey", "net_price"])
 
 
 def random_forest(spark: SparkSession, sf: str) -> DataFrame:

@@ -109,3 +109,26 @@ def test_concurrent_fits_share_no_local_properties(spark, monkeypatch):
         sc.setLocalProperty("tessera.test.caller", None)
     assert [r.params for r in runs] == [{"numTrees": n} for n in (1, 2, 3)]
     assert seen == {n: (str(n), "kept") for n in (1, 2, 3)}
+
+
+def test_forests_of_a_search_keep_node_ids(spark):
+    from tessera.models import assemble, make_estimator, search_grids
+
+    rows = [(float(i % 97), float(i * 7 % 31), float(i % 97) ** 2 - 3.0 * (i * 7 % 31)) for i in range(2000)]
+    data = assemble(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "v").select("v", "y").coalesce(2).cache()
+    run, = search_grids({"RF": {"numTrees": [4], "maxDepth": [7]}}, data, data, "y", "v")
+    plain = make_estimator("RF", "y", "v").setParams(numTrees=4, maxDepth=7).fit(data)
+    assert run.model.getCacheNodeIds() and not plain.getCacheNodeIds()
+    assert run.model.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
+def test_only_rows_to_be_scored_are_spread_for_scoring(spark, tmp, monkeypatch):
+    from tessera.plans import catalogue
+
+    lines = [(i, float(i % 50), 1000.0 + 37 * (i % 113), (i % 11) / 100, 0.02, i % 7) for i in range(1500)]
+    spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                                 "l_linenumber int").write.parquet(f"{tmp}/lineitem.parquet")
+    spread, balance = [], catalogue.balance
+    monkeypatch.setattr(catalogue, "balance", lambda df, *a: spread.append(df.count()) or balance(df, *a))
+    keys = [r.l_orderkey for r in catalogue._fit_and_score(spark, tmp, "RF", {"numTrees": 2, "maxDepth": 3}).collect()]
+    assert 200 < len(keys) == len(set(keys)) < 400 and spread == [1500, len(keys)]
