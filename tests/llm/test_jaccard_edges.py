@@ -171,3 +171,26 @@ def test_rows_with_a_link_across_labels_stay():
                 for y in right:
                     if label[x] != label[y] and op.enough(len(np.intersect1d(sets[x], sets[y])), len(sets[x]), len(sets[y]), 80):
                         assert alive[x] and alive[y]
+
+
+def test_outlines_are_shuffled_a_part_of_the_lots_at_a_time(spark, monkeypatch):
+    texts = cluster_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(op, "BLOCK", 30)
+    met = op.meetings(docs, 4, 85, 1, 60_000)
+    outlines = op.stored(op.set_rows(docs, 4, 1).where("k is not null").dropDuplicates(["k"]), "outlines")
+    labels = met.select("k").distinct().withColumn("component", F.col("k"))
+    written, stored = [], op.stored
+
+    def counted(df, name, *more):
+        out = stored(df, name, *more)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(op, "stored", counted)
+    once = sorted(map(tuple, op.rows_to_compare(met, labels, outlines, 85).collect()))
+    written.clear()
+    monkeypatch.setattr(op, "TURN_ROWS", 0)
+    assert once and sorted(map(tuple, op.rows_to_compare(met, labels, outlines, 85).collect())) == once
+    parts = [n for name, n in written if name == "pruned"]
+    assert len(parts) == op.TURNS and sum(parts) == len(once) and max(parts) < len(once) / 2
