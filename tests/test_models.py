@@ -79,6 +79,9 @@ def test_concurrent_fits_share_no_local_properties(spark, monkeypatch):
             return df
 
     class Estimator:
+        def setCacheNodeIds(self, value):
+            return self
+
         def fit(self, df, params):
             sc.setLocalProperty(name, str(params[0][1]))
             together.wait()
