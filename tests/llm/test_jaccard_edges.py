@@ -194,3 +194,33 @@ def test_outlines_are_shuffled_a_part_of_the_lots_at_a_time(spark, monkeypatch):
     assert once and sorted(map(tuple, op.rows_to_compare(met, labels, outlines, 85).collect())) == once
     parts = [n for name, n in written if name == "pruned"]
     assert len(parts) == op.TURNS and sum(parts) == len(once) and max(parts) < len(once) / 2
+
+
+def test_meetings_by_turns_are_those_of_one(spark):
+    docs = spark.createDataFrame([(t,) for t in cluster_texts()], "text string").repartition(3)
+    whole = {tuple(r) for r in op.met_in_turn(docs, 5, 80, 1, 8, 0, 1).collect()}
+    parts = [{tuple(r) for r in op.met_in_turn(docs, 5, 80, 1, 8, turn, 3).collect()} for turn in range(3)]
+    assert all(parts) and set.union(*parts) == whole and sum(map(len, parts)) == len(whole)
+
+
+def test_short_bitmaps_lose_no_link(spark):
+    """A quarter of the bits is shuffled for all rows that meet; linked sets stay candidates."""
+    rng, rows, sets = np.random.default_rng(3), [], []
+    for n in (3, 20, 60, 130, 1500):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        gone = max(1, n // 12)
+        sets += [base, np.unique(np.concatenate((base[gone:], rng.integers(0, 2**64, gone // 2, dtype=np.uint64)))),
+                 np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))]
+    rows = [(i, bytearray(op.narrow(op.counts(s))), bytearray(op.bitmap(s).tobytes())) for i, s in enumerate(sets)]
+    got = sorted(op.shortened(spark.createDataFrame(rows, "k bigint, point binary, bits binary")).collect())
+    points = op.widened([bytes(r.point) for r in got])
+    bits = [np.frombuffer(bytes(r.bits), np.uint64) for r in got]
+    assert np.array_equal(points, [op.counts(s) for s in sets]) and len(got[0].point) == op.DIMS
+    assert all(len(b) == max(1, len(op.bitmap(s)) // 4) for b, s in zip(bits, sets))
+    linked = {i for i, x in enumerate(sets) for j, y in enumerate(sets)
+              if i != j and op.enough(len(np.intersect1d(x, y)), len(x), len(y), 80)}
+    every = np.arange(len(sets))
+    alive = set(np.flatnonzero(op.paired_rows(points, bits, every, every, every, 80)).tolist())
+    assert len(linked) >= 6 and linked <= alive and alive != set(every.tolist())
+    big = np.full(op.DIMS, 300, np.uint32)
+    assert np.array_equal(op.widened([op.narrow(big)])[0], big)
