@@ -29,7 +29,7 @@ def test_tallies_and_own_counts_equal_brute_force():
 
 
 def test_a_block_is_sorted_once(monkeypatch):
-    """Three sorts for unique keys and two more of all of them took a third of the time."""
+    """No sort of its own for each order's unique keys and for own counts."""
     keys, doc, first, sizes = op.explode(["a b c d"] * 50)
     tokens = np.sort(op.in_buckets(np.concatenate(keys), 8))
     spans = op.tallied(tokens, sizes, 8)[-1]
