@@ -224,3 +224,62 @@ def test_short_bitmaps_lose_no_link(spark):
     assert len(linked) >= 6 and linked <= alive and alive != set(every.tolist())
     big = np.full(op.DIMS, 300, np.uint32)
     assert np.array_equal(op.widened([op.narrow(big)])[0], big)
+
+
+@pytest.mark.parametrize("block", [40, 512])
+def test_rows_left_are_compared_by_cluster(spark, monkeypatch, block):
+    """Rows alike meet at many homes; by cluster each is compared once, or once a block, and no link is lost."""
+    texts = cluster_texts()
+    monkeypatch.setattr(op, "BLOCK", block)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    met = op.meetings(docs, 5, 80, 1, 60_000)
+    outlines = op.stored(op.set_rows(docs, 5, 1).where("k is not null").dropDuplicates(["k"]), "outlines")
+    labels = met.select("k").distinct().withColumn("component", F.col("k"))
+    at_homes = op.rows_to_compare(met, labels, outlines, 80).count()
+    monkeypatch.setattr(op, "CLUSTER_ROWS", 0)
+    rows = op.rows_to_compare(met, labels, outlines, 80)
+    keys = rows.select("k").distinct().count()
+    assert keys and rows.count() <= keys * -(-len(texts) // block) and rows.count() < at_homes
+    got = {r.doc_id: r.component_id for r in op.link_groups(docs, 5, 80).collect()}
+    assert got == smallest(texts, 5, 80)
+
+
+def test_partners_are_the_rows_reached_over_pairs():
+    rng = np.random.default_rng(8)
+    for n in (40, 300):
+        bases = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for _ in range(5)]
+        sets = []
+        for i in range(45):
+            own = bases[i % 5][rng.random(len(bases[i % 5])) > rng.random() * 0.15]
+            sets.append(np.unique(np.concatenate((own, rng.integers(0, 2**64, int(rng.integers(1, n // 8)), dtype=np.uint64)))))
+        label = rng.integers(0, 12, 45)
+        points, bits = np.array([op.counts(s) for s in sets], np.int64), [op.bitmap(s) for s in sets]
+        for left, right in ((np.arange(45), np.arange(45)), (np.arange(20), np.arange(20, 45))):
+            root = op.partners(points, bits, left, right, label, 80)
+            assert np.array_equal(root >= 0, op.paired_rows(points, bits, left, right, label, 80))
+            assert len(set(root[root >= 0].tolist())) > 1
+            for x in left:
+                for y in right:
+                    if label[x] != label[y] and op.enough(len(np.intersect1d(sets[x], sets[y])), len(sets[x]), len(sets[y]), 80):
+                        assert root[x] == root[y] >= 0
+
+
+def test_lots_take_as_many_rounds_as_keep_one_small(spark, monkeypatch):
+    monkeypatch.setattr(op, "TURN_ROWS", 10)
+    seen, rows = [], op.stored(spark.range(1000).select(F.col("id").alias("lot")), "lots")
+
+    def step(lots):
+        seen.append(lots.count())
+        return lots
+
+    assert op.in_turns(rows, step, "turn", 100).count() == 1000
+    assert len(seen) == 10 and sum(seen) == 1000 and max(seen) < 200
+    seen.clear()
+    assert op.in_turns(rows, step, "turn", 900).count() == 1000 and len(seen) == op.TURNS
+
+
+def test_a_key_is_sent_once_for_its_signatures_of_a_bucket():
+    keys = np.array([-5, 3, 9], np.int64)
+    for counts in ([2, 1, 3], [2, 1000, 3]):
+        counts = np.array(counts, np.uint8 if max(counts) < 256 else np.uint32)
+        assert np.array_equal(op.spread_keys(keys.tobytes(), counts.tobytes()), np.repeat(keys, counts))
