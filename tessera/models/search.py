@@ -7,6 +7,7 @@
   ties).  Independent fits may run from a small thread pool
   (``parallelism``), each one an ordinary distributed Spark ML job.  Linear
   regressions are not fitted point by point: all of a grid come from one pass.
+  On larger tables neither are forests and boosted trees (``tessera.models.cells``).
 * ``run_log`` — the results as an append-only DataFrame
   ``(experiment, run_name, family, params, metric, value, is_best, model_path)``.
 """
@@ -33,6 +34,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tessera.models.cells import fit_points
 from tessera.models.elastic import grid_rmse, solve, sufficient
 
 FAMILIES = {
@@ -117,7 +119,8 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
                  save_dir: str | None = None) -> list[Run]:
     """Every grid point of every family; with ``parallelism > 1`` all of them
     share one pool, so fits of different families overlap.  Runs come back in
-    family order, then grid order."""
+    family order, then grid order.  Where ``fit_points`` fits the tree families' points
+    together, only their models are left to be made one by one."""
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     tasks = []
     for family, spec in grids.items():
@@ -129,6 +132,10 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
             est = est.setCacheNodeIds(True)
         tasks += [(family, est, i, pm) for i, pm in enumerate(grid(est, spec))]
 
+    trees = [t for t in tasks if t[1] is not None]
+    together = fit_points([(f, e, pm) for f, e, _, pm in trees], train, val, label, features, seed) if trees else None
+    fitted = {(f, i): point for (f, _, i, _), point in zip(trees, together or [])}
+
     def linear(spec):
         """All points of a linear grid: one pass over ``train``, one over ``val``."""
         stats = sufficient(train, None, label, vector=features)
@@ -146,12 +153,14 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
         family, est, i, pm = task
         if est is None:
             return linear(pm)
+        params = {p.name: pm[p] for p in pm}
+        path = os.path.join(save_dir, f"{family}_{i:03d}") if save_dir else None
+        if (family, i) in fitted:
+            score, stored = fitted[family, i]
+            return [Run(family, params, score, stored(path), path)]
         model = est.fit(train, pm)
         score = evaluator.evaluate(model.transform(val))
-        params = {p.name: pm[p] for p in pm}
-        path = None
-        if save_dir:
-            path = os.path.join(save_dir, f"{family}_{i:03d}")
+        if path:
             model.write().overwrite().save(path)
         return [Run(family, params, float(score), model, path)]
 
