@@ -147,3 +147,30 @@ def test_spark_fits_few_rows_many_cells_and_what_is_not_finite(spark, monkeypatc
     broken = data.withColumn("y", F.when(F.col("y") > 60, float("nan")).otherwise(F.col("y")))
     with pytest.raises(Exception, match="(?i)label"):
         search_grids(spec, broken, data, "y", "v")
+
+
+def test_run_log_saves_the_models_of_all_points(spark, joint, tmp, monkeypatch):
+    from tessera.models import DEFAULT_GRIDS
+    from tessera.plans import catalogue
+
+    i = F.col("id")
+    price = F.when(i % 50 == 0, F.lit(None)).otherwise(900.0 + 37 * (i % 113))
+    lines = spark.range(1500).select(i.alias("l_orderkey"), (i % 50).cast("double").alias("l_quantity"), price.alias("l_extendedprice"),
+                                     (i % 11 / 100).alias("l_discount"), F.lit(0.02).alias("l_tax"), (i % 7).cast("int").alias("l_linenumber"))
+    lines.write.parquet(f"{tmp}/lineitem.parquet")
+    monkeypatch.setattr(catalogue, "scratch_path", lambda spark, name: f"{tmp}/{name}")
+    sc = spark.sparkContext
+    sc.setJobGroup("run-log", "")
+    try:
+        log = catalogue.run_log_q(spark, tmp).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(sc.statusTracker().getJobIdsForGroup("run-log")) < 400
+    fits = [r for r in log if not r.is_best]
+    assert len(log) == 28 and len(fits) == 25 and len({r.model_path for r in fits}) == 25 and all(r.value > 0 for r in fits)
+    for r in fits:
+        model = load_model(spark, r.family, r.model_path)
+        if r.family in TREES:
+            assert model.getNumTrees == (int(r.params["numTrees"]) if r.family == "RF" else 20)
+            assert {k: str(model.getOrDefault(k)) for k in r.params} == r.params
+    assert set(DEFAULT_GRIDS) == {r.family for r in fits}
