@@ -8,11 +8,12 @@ sample.  Every row is read and draws its own Poisson(1) count for every tree, as
 and that trees grow from cells, not from rows.
 
 Thresholds, gains, leaves and boosting follow ``pyspark.ml`` (4.1).  Boosted trees are the
-models that ``GBTRegressor`` gives, but for rounding.  Forests draw other random numbers, as
-Spark's do too when the rows lie in other partitions.
+models that ``GBTRegressor`` gives, but for rounding (and splits whose gain is nothing else).
+Forests draw other random numbers, as Spark's do too when the rows lie in other partitions.
 
-``fit_points`` returns None where this does not apply, and the caller fits with Spark: few
-rows, many cells for the rows, other parameters, labels or features that are not finite.
+``fit_points`` leaves out what this does not apply to, and the caller fits it with Spark:
+forests of few rows, many cells for the rows, other parameters, labels or features that are
+not finite.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from tessera.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need not have this package
 
-#: fewer rows are fitted by Spark
+#: forests of fewer rows are fitted by Spark
 FEW_ROWS = 100_000
 #: a cell has so many rows on average, and there are so many cells, at most
 ROWS_A_CELL, MOST_CELLS = 32, 1 << 19
@@ -470,21 +471,25 @@ def understood(family: str, est, given: set) -> bool:
         and all(est.getOrDefault(p) == v for p, v in plain.items())
 
 
-def fit_points(points: list, train: DataFrame, val: DataFrame, label: str, features: str, seed: int | None) -> list | None:
+def fit_points(points: list, train: DataFrame, val: DataFrame, label: str, features: str, seed: int | None) -> dict:
     """``points``: (family, estimator, the point's parameters as ``ParamGridBuilder`` gives
-    them).  For each, (RMSE on ``val``, a function that makes its model, given a path or None);
-    or None, see above."""
+    them).  {place in ``points``: (RMSE on ``val``, a function that makes its model, given a
+    path or None)} of those that are fitted here, see above."""
     rows = train.count()
-    if rows < FEW_ROWS or seed is None or not all(f in GRID and understood(f, e, {p.name for p in pm}) for f, e, pm in points):
-        return None
+    mine = [i for i, (family, _, _) in enumerate(points) if family == "GBT" or rows >= FEW_ROWS]
+    if not mine or not rows or seed is None:
+        return {}
+    points = [points[i] for i in mine]
+    if not all(f in GRID and understood(f, e, {p.name for p in pm}) for f, e, pm in points):
+        return {}
     points = [(f, e.copy(pm)) for f, e, pm in points]
     if any("vals" in a for kind in train.schema[features].metadata.get("ml_attr", {}).get("attrs", {}).values() for a in kind):
-        return None         # categories
+        return {}           # categories
     k = len(vector_names(train, features))
     cuts = sampled_thresholds(train, features, rows, sorted({e.getMaxBins() for _, e in points}), seed)
     axes = Axes([np.unique(np.concatenate([cuts[b][i] for b in cuts])) for i in range(k)])
     if not k or math.prod(axes.widths) >= 2 ** 62:
-        return None
+        return {}
     fits = []
     for i, (family, e) in enumerate(points):
         own = cuts[e.getMaxBins()]
@@ -495,12 +500,14 @@ def fit_points(points: list, train: DataFrame, val: DataFrame, label: str, featu
     try:
         most = min(rows // ROWS_A_CELL, MOST_CELLS)
         if known.count() > most or not 0 < asked.count() <= most or known.where("cell < 0").count() or asked.where("cell < 0").count():
-            return None
+            return {}
         stats, want = known.toPandas(), asked.select("cell").toPandas()["cell"].to_numpy().copy()
-        nodes = _grow_all(spark, lambda heavy: cell_rows(train, axes, label, features, heavy), fits, axes, stats, want, rows, seed, {i: e.getStepSize() for i, (f, e) in enumerate(points) if f == "GBT"})
+        nodes = _grow_all(spark, lambda heavy: cell_rows(train, axes, label, features, heavy), fits, axes, stats, want, rows, seed,
+                          {i: e.getStepSize() for i, (f, e) in enumerate(points) if f == "GBT"})
         found = spark.read.parquet(nodes).where("cell is not null").groupBy("fit", "cell").agg(F.sum("total").alias("p"))
         error = F.sum(F.col("m2") + F.col("n") * (F.col("p") - F.col("mean")) ** 2) / F.sum("n")
-        scores = {r.fit: float(r.e) for r in found.join(asked, "cell").groupBy("fit").agg(F.sqrt(error).alias("e")).collect()}
+        # the order of sums is open: without the last digits equal models tie
+        scores = {r.fit: float(f"{r.e:.13g}") for r in found.join(asked, "cell").groupBy("fit").agg(F.sqrt(error).alias("e")).collect()}
     finally:
         known.unpersist()
         asked.unpersist()
@@ -509,7 +516,7 @@ def fit_points(points: list, train: DataFrame, val: DataFrame, label: str, featu
         weights = [1.0] * fit.trees if fit.family == "RF" else [1.0] + [e.getStepSize()] * (fit.trees - 1)
         return lambda path: StoredModel(spark, nodes, fit.index, e, weights, k, path)
 
-    return [(scores.get(f.index, float("nan")), model(f, e)) for f, (_, e) in zip(fits, points)]
+    return {i: (scores[f.index], model(f, e)) for i, f, (_, e) in zip(mine, fits, points)}
 
 
 def _grow_all(spark: SparkSession, lines_of, fits: list, axes: Axes, stats, want: np.ndarray, rows: int, seed: int, rates: dict) -> str:

@@ -7,7 +7,7 @@
   ties).  Independent fits may run from a small thread pool
   (``parallelism``), each one an ordinary distributed Spark ML job.  Linear
   regressions are not fitted point by point: all of a grid come from one pass.
-  On larger tables neither are forests and boosted trees (``tessera.models.cells``).
+  Neither are boosted trees nor, on larger tables, forests (``tessera.models.cells``).
 * ``run_log`` — the results as an append-only DataFrame
   ``(experiment, run_name, family, params, metric, value, is_best, model_path)``.
 """
@@ -133,8 +133,8 @@ def search_grids(grids: dict, train: DataFrame, val: DataFrame, label: str,
         tasks += [(family, est, i, pm) for i, pm in enumerate(grid(est, spec))]
 
     trees = [t for t in tasks if t[1] is not None]
-    together = fit_points([(f, e, pm) for f, e, _, pm in trees], train, val, label, features, seed) if trees else None
-    fitted = {(f, i): point for (f, _, i, _), point in zip(trees, together or [])}
+    together = fit_points([(f, e, pm) for f, e, _, pm in trees], train, val, label, features, seed) if trees else {}
+    fitted = {(trees[k][0], trees[k][2]): point for k, point in together.items()}
 
     def linear(spec):
         """All points of a linear grid: one pass over ``train``, one over ``val``."""

@@ -174,3 +174,11 @@ def test_run_log_saves_the_models_of_all_points(spark, joint, tmp, monkeypatch):
             assert model.getNumTrees == (int(r.params["numTrees"]) if r.family == "RF" else 20)
             assert {k: str(model.getOrDefault(k)) for k in r.params} == r.params
     assert set(DEFAULT_GRIDS) == {r.family for r in fits}
+
+
+def test_boosted_points_of_few_rows_need_no_jobs_of_their_own(spark):
+    data = vectors(table(spark, 6000), ["a"])
+    forest, boosted = search_grids({"RF": {"numTrees": [2], "maxDepth": [2]}, "GBT": {"maxIter": [3], "maxDepth": [2]}}, data, data, "y", "v")
+    assert isinstance(forest.model, RandomForestRegressionModel) and isinstance(boosted.model, cells.StoredModel)
+    plain = make_estimator("GBT", "y", "v").setParams(maxIter=3, maxDepth=2).fit(data)
+    assert splits(boosted.model) == splits(plain) and math.isclose(boosted.rmse, score(plain, data), rel_tol=1e-9)
